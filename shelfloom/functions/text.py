@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Iterable
 from functools import lru_cache
 
 from pyspark.sql import Column
@@ -48,6 +49,25 @@ def ascii_folds() -> tuple[str, str, tuple[tuple[str, str], ...]]:
     return "".join(single), "".join(folded), tuple(longer)
 
 
+def _ranges(codes: Iterable[int]) -> str:
+    """Sorted code points as the inside of a character class."""
+    runs: list[list[int]] = []
+    for code in codes:
+        if runs and runs[-1][1] == code - 1:
+            runs[-1][1] = code
+        else:
+            runs.append([code, code])
+    return "".join(f"\\x{{{first:x}}}-\\x{{{last:x}}}" for first, last in runs)
+
+
+@lru_cache(maxsize=1)
+def _longer_pattern() -> str:
+    """A character with a longer fold; the common letters are ruled out by a first test."""
+    longer = {ord(c) for c, _ in ascii_folds()[2]}
+    common = _ranges(c for c in range(0x180) if c not in longer)
+    return f"(?![{common}])[{_ranges(sorted(longer))}]"
+
+
 def fold_to_ascii(text: Column) -> Column:
     """Compatibility-decompose and keep the ASCII part, without leaving the JVM.
 
@@ -60,9 +80,7 @@ def fold_to_ascii(text: Column) -> Column:
         text,
         lambda acc, pair: F.replace(acc, F.substring(pair, 1, 1), pair.substr(F.lit(2), F.length(pair))),
     )
-    with_longer = F.when(
-        text.rlike("[" + "".join(c for c, _ in longer) + "]"), expanded
-    ).otherwise(text)
+    with_longer = F.when(text.rlike(_longer_pattern()), expanded).otherwise(text)
     plain = F.regexp_replace(F.translate(with_longer, single, folded), r"[^\x00-\x7F]", "")
     return F.when(text.rlike(r"[^\x00-\x7F]"), plain).otherwise(text)
 

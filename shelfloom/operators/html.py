@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator, Sequence
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -42,63 +43,64 @@ def _trees(batch: pa.RecordBatch) -> Iterator[tuple[int, PageTree]]:
             yield page.as_py(), tree
 
 
-_NODE_TYPES = pa.schema(
-    [
-        ("page_id", pa.int64()),
-        ("node_id", pa.int32()),
-        ("end_id", pa.int32()),
-        ("parent_id", pa.int32()),
-        ("depth", pa.int32()),
-        ("tag", pa.string()),
-        ("classes", pa.list_(pa.string())),
-        ("attrs", pa.map_(pa.string(), pa.string())),
-        ("text", pa.string()),
-    ]
-)
-
-
-def _in_batches(rows: Iterator[tuple], types: pa.Schema) -> Iterator[pa.RecordBatch]:
-    """Arrow batches of a bounded number of rows, so that a big page never is one batch."""
-    buffer: list[tuple] = []
-
-    def flush() -> pa.RecordBatch:
-        columns = [pa.array(c, t) for c, t in zip(zip(*buffer), types.types, strict=True)]
-        buffer.clear()
-        return pa.RecordBatch.from_arrays(columns, schema=types)
-
-    for row in rows:
-        buffer.append(row)
-        if len(buffer) >= _ROWS_PER_BATCH:
-            yield flush()
-    if buffer:
-        yield flush()
+def _lists(rows: Sequence[Sequence[str]]) -> tuple[pa.Array, pa.Array]:
+    """Offsets and flat values of a list column."""
+    offsets = pa.array(accumulate(map(len, rows), initial=0), pa.int32())
+    return offsets, pa.array([v for row in rows for v in row], pa.string())
+
+
+def _node_batch(trees: Sequence[tuple[int, PageTree]]) -> pa.RecordBatch:
+    """Elements, then texts, of some pages."""
+
+    def column(elements, texts, kind: pa.DataType) -> pa.Array:
+        values = [v for _, t in trees for v in elements(t)]
+        return pa.array(values + [v for _, t in trees for v in texts(t)], kind)
+
+    def nothing(tree: PageTree) -> list:
+        return [None] * len(tree.texts)
+
+    pages = [page for page, tree in trees for _ in tree.ids]
+    pages += [page for page, tree in trees for _ in tree.texts]
+    attrs = [a for _, tree in trees for a in tree.attrs]
+    attrs += [{} for _, tree in trees for _ in tree.texts]
+    offsets, names = _lists([tuple(a) for a in attrs])
+    _, values = _lists([tuple(a.values()) for a in attrs])
+    int32, text = pa.int32(), pa.string()
+    columns = {
+        "page_id": pa.array(pages, pa.int64()),
+        "node_id": column(lambda t: t.ids, lambda t: t.text_ids, int32),
+        "end_id": column(lambda t: t.ends, lambda t: t.text_ids, int32),
+        "parent_id": column(lambda t: t.parents, lambda t: t.text_parents, int32),
+        "depth": column(lambda t: t.depths, lambda t: t.text_depths, int32),
+        "tag": column(lambda t: t.tags, nothing, text),
+        "classes": pa.ListArray.from_arrays(*_lists([a.get("class", "").split() for a in attrs])),
+        "attrs": pa.MapArray.from_arrays(offsets, names, values),
+        "text": column(lambda t: [None] * len(t.ids), lambda t: t.texts, text),
+    }
+    return pa.RecordBatch.from_pydict(columns)
 
 
 def html_nodes(pages: DataFrame) -> DataFrame:
-    """One row per element and per text, in document order (see ``schemas.NODES``).
+    """One row per element and per text of each page (see ``schemas.NODES``).
 
-    ``node_id`` counts both kinds together, and an element holds exactly the nodes with
-    ``node_id < x <= end_id`` of its page. A text row has a NULL ``tag``.
+    ``node_id`` counts both kinds together in document order, and an element holds exactly
+    the nodes with ``node_id < x <= end_id`` of its page. A text row has a NULL ``tag``.
     """
 
-    def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
+    def parse(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            trees: list[tuple[int, PageTree]] = []
+            nodes = 0
             for page, tree in _trees(batch):
-                elements = zip(
-                    tree.ids, tree.ends, tree.parents, tree.depths, tree.tags, tree.attrs, strict=True
-                )
-                for node, end, parent, depth, tag, attrs in elements:
-                    classes = attrs.get("class", "").split()
-                    yield page, node, end, parent, depth, tag, classes, list(attrs.items()), None
-                texts = zip(
-                    tree.text_ids, tree.text_parents, tree.text_depths, tree.texts, strict=True
-                )
-                for node, parent, depth, text in texts:
-                    yield page, node, node, parent, depth, None, None, None, text
+                trees.append((page, tree))
+                nodes += tree.count
+                if nodes >= _ROWS_PER_BATCH:
+                    yield _node_batch(trees)
+                    trees, nodes = [], 0
+            if trees:
+                yield _node_batch(trees)
 
-    return pages.select("page_id", "html").mapInArrow(
-        lambda batches: _in_batches(rows(batches), _NODE_TYPES), schemas.NODES
-    )
+    return pages.select("page_id", "html").mapInArrow(parse, schemas.NODES)
 
 
 _MATCH_TYPES = pa.schema(
@@ -117,6 +119,23 @@ _MATCH_DDL = (
 )
 
 
+def _in_batches(rows: Iterator[tuple], types: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Arrow batches of a bounded number of rows."""
+    buffer: list[tuple] = []
+
+    def flush() -> pa.RecordBatch:
+        columns = [pa.array(c, t) for c, t in zip(zip(*buffer), types.types, strict=True)]
+        buffer.clear()
+        return pa.RecordBatch.from_arrays(columns, schema=types)
+
+    for row in rows:
+        buffer.append(row)
+        if len(buffer) >= _ROWS_PER_BATCH:
+            yield flush()
+    if buffer:
+        yield flush()
+
+
 def find_all(pages: DataFrame, selectors: Sequence[Selector]) -> DataFrame:
     """Every element one of the selectors picks, with its texts.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from shelfloom.functions.text import node_text
@@ -9,8 +10,9 @@ from shelfloom.operators import html as ht
 from shelfloom.operators.extract import extract_listing, good_rows, next_page_links
 from shelfloom.operators.html import TOKEN_PATTERN
 from shelfloom.operators.nested import descendants, first_descendant
-from shelfloom.plans.queries.registry import load, query
+from shelfloom.plans.queries.registry import load_pages, load_part, query
 from shelfloom.plans.render import listing_pages_a, listing_pages_b
+from shelfloom.sources.scratch import materialize
 from shelfloom.rules import SITES, PageRule, Selector, SiteRule
 
 _TOKENS = f"""tokens AS (
@@ -21,7 +23,7 @@ _TOKENS = f"""tokens AS (
 @query("html_tokens", f"""
 WITH {_TOKENS} SELECT page_id, CAST(pos AS INTEGER) AS pos, token FROM tokens""")
 def html_tokens(spark, sf_dir):
-    return ht.html_tokens(load(spark, sf_dir, "pages"))
+    return ht.html_tokens(load_pages(spark, sf_dir))
 
 
 # The tree, walked token by token over all pages at once with the open elements in a list.
@@ -59,7 +61,8 @@ nodes AS (
          CASE WHEN f.kind = 'open' THEN nullif(regexp_extract(f.token, 'href="([^"]*)"', 1), '') END
            AS href,
          CASE WHEN f.kind = 'text' THEN
-           replace(replace(replace(f.token, '&copy;', '©'), '&middot;', '·'), '&amp;', '&') END AS text
+           regexp_replace(replace(replace(replace(f.token, '&copy;', '©'), '&middot;', '·'),
+                                  '&quot;', '"'), '&amp;?', '&', 'g') END AS text
   FROM walk w JOIN facts f ON f.page_id = w.page_id AND f.pos = w.pos + 1 WHERE f.adds = 1),
 ends AS (
   SELECT page_id, id AS node_id, max(made) - 1 AS end_id
@@ -71,7 +74,7 @@ FROM nodes n LEFT JOIN ends e ON e.page_id = n.page_id AND e.node_id = n.node_id
 
 @query("html_elements", _TREE_SQL)
 def html_elements(spark, sf_dir):
-    return ht.html_nodes(load(spark, sf_dir, "pages")).select(
+    return ht.html_nodes(load_pages(spark, sf_dir)).select(
         "page_id", "node_id", "end_id", "parent_id", "depth", "tag",
         F.nullif(F.array_join("classes", " "), F.lit("")).alias("class_list"),
         F.try_element_at("attrs", F.lit("href")).alias("href"), "text",
@@ -84,7 +87,7 @@ _ITEM = SITES["mercadolibre"].listing.container
 @query("find_all_by_class", """
 SELECT p_partkey AS page_id, count(*) AS n FROM part, range(p_size % 8) t(i) GROUP BY ALL""")
 def find_all_by_class(spark, sf_dir):
-    nodes = ht.html_nodes(listing_pages_b(load(spark, sf_dir, "part")))
+    nodes = ht.html_nodes(listing_pages_b(load_part(spark, sf_dir)))
     return ht.elements_by_class(nodes, _ITEM.tag, _ITEM.class_).groupBy("page_id").agg(
         F.count("*").alias("n")
     )
@@ -94,7 +97,7 @@ def find_all_by_class(spark, sf_dir):
 SELECT p_partkey AS page_id, count(*) AS n FROM part, range(p_size % 5) t(i) GROUP BY ALL""")
 def find_all_by_attr(spark, sf_dir):
     name, value = SITES["amazon"].listing.container.attr
-    nodes = ht.html_nodes(listing_pages_a(load(spark, sf_dir, "part")))
+    nodes = ht.html_nodes(listing_pages_a(load_part(spark, sf_dir)))
     return ht.elements_by_attr(nodes, "div", name, value).groupBy("page_id").agg(
         F.count("*").alias("n")
     )
@@ -106,7 +109,7 @@ SELECT p_partkey AS page_id, count(*) FILTER ((p_partkey + i) % 10 <> 0) AS whol
 FROM part, generate_series(1, p_size % 5) t(i) GROUP BY ALL""")
 def class_match(spark, sf_dir):
     listed = SITES["amazon"].listing.slots[0].class_
-    nodes = ht.html_nodes(listing_pages_a(load(spark, sf_dir, "part")))
+    nodes = ht.html_nodes(listing_pages_a(load_part(spark, sf_dir)))
     heads = nodes.filter(F.col("tag") == "h2")
     whole = ht.class_match(F.col("classes"), listed)
     word = ht.class_match(F.col("classes"), "a-color-base")
@@ -116,10 +119,11 @@ def class_match(spark, sf_dir):
 
 
 @query("node_text", """
-SELECT page_id, trim(replace(regexp_extract(html, '<h1>([^<]*)</h1>', 1), '&amp;', '&'))
+SELECT page_id, trim(replace(regexp_replace(
+         regexp_extract(html, '<h1>([^<]*)</h1>', 1), '&amp;?', '&', 'g'), '&quot;', '"'))
        AS text FROM pages""")
 def text_of_titles(spark, sf_dir):
-    found = ht.find_all(load(spark, sf_dir, "pages"), [Selector("title", "h1")])
+    found = ht.find_all(load_pages(spark, sf_dir), [Selector("title", "h1")])
     return found.select("page_id", node_text(F.col("text_nodes")).alias("text"))
 
 
@@ -131,6 +135,12 @@ _NAME = (
 )
 
 
+def _stored_nodes(spark, sf_dir):
+    """(nodes, containers): pages are parsed once, then both sides read the node table."""
+    nodes = materialize(ht.html_nodes(listing_pages_b(load_part(spark, sf_dir))), "nodes")
+    return nodes, ht.elements_by_class(nodes, _ITEM.tag, _ITEM.class_)
+
+
 @query("descendants", f"""
 SELECT p_partkey AS page_id, CAST(i AS BIGINT) AS item,
        1 + 1 + CASE WHEN {_TURN} % 11 = 0 THEN 0 ELSE 1 END
@@ -139,8 +149,7 @@ SELECT p_partkey AS page_id, CAST(i AS BIGINT) AS item,
        2 + CASE WHEN {_TURN} % 9 IN (1, 2) THEN 0 ELSE 1 END + 2 AS texts
 FROM {_ITEMS}""")
 def descendant_counts(spark, sf_dir):
-    nodes = ht.html_nodes(listing_pages_b(load(spark, sf_dir, "part")))
-    items = ht.elements_by_class(nodes, _ITEM.tag, _ITEM.class_)
+    nodes, items = _stored_nodes(spark, sf_dir)
     per_item = (
         descendants(items, nodes).groupBy("page_id", "container_id")
         .agg(
@@ -153,8 +162,6 @@ def descendant_counts(spark, sf_dir):
 
 def _item_number():
     """Place of a container on its page, by the order of the node ids."""
-    from pyspark.sql import Window
-
     order = Window.partitionBy("page_id").orderBy("container_id")
     return F.row_number().over(order).cast("bigint")
 
@@ -166,8 +173,7 @@ SELECT p_partkey AS page_id, CAST(i AS BIGINT) AS item,
             WHEN {_TURN} % 7 IN (1, 4, 5, 6) THEN 'data:image/gif;base64,R0lGOD' END AS src
 FROM {_ITEMS}""")
 def first_images(spark, sf_dir):
-    nodes = ht.html_nodes(listing_pages_b(load(spark, sf_dir, "part")))
-    items = ht.elements_by_class(nodes, _ITEM.tag, _ITEM.class_)
+    nodes, items = _stored_nodes(spark, sf_dir)
     first = first_descendant(items, nodes.filter(F.col("tag") == "img"))
     src = F.try_element_at("attrs", F.lit("src"))
     return first.select("page_id", _item_number().alias("item"), src.alias("src"))
@@ -178,7 +184,7 @@ SELECT p_partkey AS page_id, CASE WHEN p_size % 5 <> 0 THEN
        'https://listado.example.com/' || p_partkey || '_Desde_49_NoIndex_True' END AS next_url
 FROM part""")
 def next_page_link(spark, sf_dir):
-    pages = listing_pages_b(load(spark, sf_dir, "part"))
+    pages = listing_pages_b(load_part(spark, sf_dir))
     return next_page_links(pages).select("page_id", "next_url")
 
 
@@ -204,6 +210,6 @@ SELECT page_id, CAST(pos AS INTEGER) AS pos,
        replace(regexp_extract(entry, 'href="([^"]*)"', 1), '&amp;', '&') AS link
 FROM entries""")
 def site_adapter(spark, sf_dir):
-    pages = load(spark, sf_dir, "pages").withColumn("site", F.lit(NAVIGATION.site))
+    pages = load_pages(spark, sf_dir).withColumn("site", F.lit(NAVIGATION.site))
     rows = good_rows(extract_listing(pages, {NAVIGATION.site: NAVIGATION}))
     return rows.select("page_id", "pos", "name", "link")

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shelfloom.sources.tables import read_spread
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -26,3 +28,13 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def load_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The page table, spread for parsing."""
+    return read_spread(spark, f"{sf_dir}/pages.parquet", "page_id")
+
+
+def load_part(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The part table, spread before pages are rendered from it."""
+    return read_spread(spark, f"{sf_dir}/part.parquet", "p_partkey")

@@ -17,6 +17,7 @@ def make_session():
         "shelfloom-tests",
         spark__master="local[8]",
         spark__ui__enabled="false",
+        spark__ui__showConsoleProgress="false",
         spark__sql__shuffle__partitions="8",
         spark__driver__memory="8g",
     )
