@@ -1 +1,376 @@
-"""."""
+"""Queries on the frontier, the product queue and their logs."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from shelfloom.functions import status as st
+from shelfloom.operators import frontier as fr
+from shelfloom.operators import history as hi
+from shelfloom.operators import products as pr
+from shelfloom.operators.keys import number_rows
+from shelfloom.plans.queries.extraction import PAGE_ITEMS
+from shelfloom.plans.queries.registry import load, load_part, query
+from shelfloom.plans.queries.values import page_requests
+from shelfloom.plans.render import product_pages, product_url
+
+# The frontier: one row per captured page, in every status.
+FRONTIER = """frontier AS (
+  SELECT page_id AS id, CASE WHEN page_id % 11 <> 0 THEN url END AS url,
+         CASE WHEN page_id % 3 = 0 THEN 'page_' || page_id || '.html' END AS filename,
+         CASE page_id % 5 WHEN 1 THEN 'pending' WHEN 2 THEN 'in_progress' WHEN 3 THEN 'fetched'
+              WHEN 4 THEN 'failed' END AS status
+  FROM pages)"""
+
+
+def frontier(spark, sf_dir):
+    page = F.col("page_id")
+    status = (
+        F.when(page % 5 == 1, F.lit(st.PENDING)).when(page % 5 == 2, F.lit(st.IN_PROGRESS))
+        .when(page % 5 == 3, F.lit(st.FETCHED)).when(page % 5 == 4, F.lit(st.FAILED))
+    )
+    name = F.concat(F.lit("page_"), page.cast("string"), F.lit(".html"))
+    return load(spark, sf_dir, "pages").select(
+        page.alias("id"), F.when(page % 11 != 0, F.col("url")).alias("url"),
+        F.lit("2024-01-01 00:00:00").cast("timestamp").alias("discovered_at"),
+        F.when(page % 3 == 0, name).alias("filename"), status.alias("status"),
+    )
+
+
+# Seeds: every page of every request; the first page of a request is the captured page.
+SEEDS = """seeds AS (
+  SELECT page_id AS request_no, k AS page_no,
+         CASE WHEN k = 1 THEN url ELSE url || '_Desde_' || CAST((k - 1) * 49 AS VARCHAR) || '_NoIndex_True'
+         END AS url
+  FROM pages, generate_series(1, page_id % 4) t(k))"""
+
+
+def seeds(spark, sf_dir):
+    requests = page_requests(spark, sf_dir).select(
+        F.col("page_id").alias("request_no"), F.col("seed_url").alias("base"), "pages_to_crawl",
+        F.lit("offset").alias("url_style"), F.lit(49).alias("items_per_page"),
+    )
+    return fr.expand_pages(requests).select("request_no", "page_no", "url")
+
+
+@query("already_queued", f"""
+WITH {FRONTIER}, {SEEDS}
+SELECT s.url, coalesce(f.status IN ('pending', 'fetched'), false) AS queued
+FROM (SELECT DISTINCT url FROM seeds) s LEFT JOIN frontier f ON f.url = s.url""")
+def already_queued(spark, sf_dir):
+    return fr.already_queued(seeds(spark, sf_dir), frontier(spark, sf_dir))
+
+
+@query("unseen_urls", f"""
+WITH {FRONTIER}, {SEEDS}
+SELECT DISTINCT url FROM seeds WHERE NOT EXISTS (
+  SELECT 1 FROM frontier f WHERE f.url = seeds.url AND f.status IN ('pending', 'fetched'))""")
+def unseen_urls(spark, sf_dir):
+    return fr.unseen_urls(seeds(spark, sf_dir), frontier(spark, sf_dir))
+
+
+@query("seed_new_urls", f"""
+WITH {FRONTIER}, {SEEDS}
+SELECT DISTINCT url FROM seeds WHERE NOT EXISTS (SELECT 1 FROM frontier f WHERE f.url = seeds.url)""")
+def seed_new_urls(spark, sf_dir):
+    return fr.seed_new_urls(seeds(spark, sf_dir), frontier(spark, sf_dir))
+
+
+_REQUEUED = """requeued AS (
+  SELECT id, url, filename, CASE WHEN url IN (SELECT url FROM seeds)
+         AND coalesce(status NOT IN ('pending', 'fetched'), true) THEN 'pending' ELSE status END AS status
+  FROM frontier)"""
+
+
+@query("requeue_seeds", f"""
+WITH {FRONTIER}, {SEEDS}, {_REQUEUED} SELECT id, url, filename, status FROM requeued""")
+def requeue_seeds(spark, sf_dir):
+    rows = fr.requeue_seeds(frontier(spark, sf_dir), seeds(spark, sf_dir))
+    return rows.select("id", "url", "filename", "status")
+
+
+@query("frontier_union", f"""
+WITH {FRONTIER}, {SEEDS}, {_REQUEUED}, firsts AS (
+  SELECT url, min(request_no * 1000 + page_no) AS first FROM seeds
+  WHERE url NOT IN (SELECT url FROM frontier WHERE url IS NOT NULL) GROUP BY url)
+SELECT id, url, status FROM requeued
+UNION ALL
+SELECT (SELECT max(id) FROM frontier) + row_number() OVER (ORDER BY first), url, 'pending' FROM firsts""")
+def frontier_union(spark, sf_dir):
+    stamp = F.lit("2024-02-01 00:00:00")
+    rows = fr.seed_frontier(frontier(spark, sf_dir), seeds(spark, sf_dir), stamp)
+    return rows.select("id", "url", "status")
+
+
+@query("surrogate_id", """
+SELECT o_orderkey, 1000 + row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS id FROM orders""")
+def surrogate_id(spark, sf_dir):
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    return number_rows(orders, ["o_orderdate", "o_orderkey"], after=1000).select("o_orderkey", "id")
+
+
+@query("scan_frontier", f"WITH {FRONTIER} SELECT id, url FROM frontier WHERE status = 'pending'")
+def scan_frontier(spark, sf_dir):
+    return fr.claim_batch(frontier(spark, sf_dir)).select("id", "url")
+
+
+@query("status_is", f"""
+WITH {FRONTIER} SELECT id, status FROM frontier WHERE status = 'failed'""")
+def status_is(spark, sf_dir):
+    return fr.claim_batch(frontier(spark, sf_dir), wanted=st.FAILED).select("id", "status")
+
+
+@query("claim_batch", f"""
+WITH {FRONTIER} SELECT id, url FROM frontier WHERE status = 'pending' ORDER BY id LIMIT 20""")
+def claim_batch(spark, sf_dir):
+    return fr.claim_batch(frontier(spark, sf_dir), n=20).select("id", "url")
+
+
+@query("claim", f"""
+WITH {FRONTIER}
+SELECT id, CASE WHEN id IN (SELECT id FROM frontier WHERE status = 'pending' ORDER BY id LIMIT 20)
+       THEN 'in_progress' ELSE status END AS status FROM frontier""")
+def claim(spark, sf_dir):
+    return fr.claim(frontier(spark, sf_dir), st.IN_PROGRESS, n=20).select("id", "status")
+
+
+@query("reset_stuck", f"""
+WITH {FRONTIER} SELECT id, CASE status WHEN 'in_progress' THEN 'pending' ELSE status END AS status
+FROM frontier""")
+def reset_stuck(spark, sf_dir):
+    table = fr.reset_stuck(frontier(spark, sf_dir), "status", st.IN_PROGRESS, st.PENDING)
+    return table.select("id", "status")
+
+
+# Seeded rows against the captured pages: only a request's first page was ever captured.
+_SEEDED = """seeded AS (
+  SELECT request_no * 4 + page_no AS id, CASE WHEN request_no % 11 <> 0 THEN url END AS url,
+         CASE WHEN request_no % 3 = 0 THEN 'old_' || request_no || '.html' END AS filename,
+         CASE request_no % 2 WHEN 0 THEN 'failed' ELSE 'in_progress' END AS status FROM seeds)"""
+
+
+def _seeded(spark, sf_dir):
+    number = F.col("request_no")
+    return seeds(spark, sf_dir).select(
+        (number * 4 + F.col("page_no")).alias("id"),
+        F.when(number % 11 != 0, F.col("url")).alias("url"),
+        F.when(number % 3 == 0, F.format_string("old_%d.html", number)).alias("filename"),
+        F.when(number % 2 == 0, F.lit(st.FAILED)).otherwise(F.lit(st.IN_PROGRESS)).alias("status"),
+    )
+
+
+@query("fetch_outcome", f"""
+WITH {SEEDS}, {_SEEDED}, marked AS (
+  SELECT *, status = 'in_progress' AS chosen,
+         coalesce(url IN (SELECT url FROM pages WHERE length(html) > 0), false) AS captured FROM seeded)
+SELECT id, url, CASE WHEN NOT chosen THEN status WHEN captured THEN 'fetched' ELSE 'failed' END AS status,
+       CASE WHEN chosen AND captured THEN coalesce(filename, 'page_' || id || '.html') ELSE filename END
+         AS filename
+FROM marked""")
+def fetch_outcome(spark, sf_dir):
+    rows = fr.fetch_outcome(_seeded(spark, sf_dir), load(spark, sf_dir, "pages"))
+    return rows.select("id", "url", "status", "filename")
+
+
+@query("filename_once", f"""
+WITH {SEEDS}, {_SEEDED}
+SELECT s.id, coalesce(s.filename, 'page_' || p.page_id || '.html') AS filename
+FROM seeded s LEFT JOIN pages p ON p.url = s.url""")
+def filename_once(spark, sf_dir):
+    name = F.format_string("page_%d.html", "page_id").alias("new_filename")
+    names = load(spark, sf_dir, "pages").select("url", name)
+    return fr.filename_once(_seeded(spark, sf_dir), names).select("id", "filename")
+
+
+# Three products per part: its captured page, one never captured, and one without a URL.
+PRODUCTS = """products AS (
+  SELECT p_partkey * 3 + v AS id, p_partkey, v,
+         CASE v WHEN 0 THEN 'https://articulo.example.com/p/' || p_partkey
+                WHEN 1 THEN 'https://articulo.example.com/p/' || p_partkey || '?v=1' END AS product_url,
+         replace(p_name, ' ', '_') AS slug,
+         CASE WHEN p_size % 3 = 0 THEN 1.5 END AS price, 'old' AS product_code,
+         CASE p_size % 4 WHEN 0 THEN 'pending' WHEN 1 THEN 'failed' ELSE 'fetched' END AS fetch_status,
+         CASE WHEN p_size % 4 = 3 AND p_partkey % 2 = 0 THEN 'parsed_succeeded' END AS parse_status
+  FROM part, range(3) t(v))"""
+
+
+def products(spark, sf_dir):
+    key, size, v = F.col("p_partkey"), F.col("p_size"), F.col("v")
+    text = F.lit(None).cast("string")
+    rows = load(spark, sf_dir, "part").withColumn(
+        "v", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2)))
+    )
+    fetch = (
+        F.when(size % 4 == 0, F.lit(st.PENDING)).when(size % 4 == 1, F.lit(st.FAILED))
+        .otherwise(F.lit(st.FETCHED))
+    )
+    url = F.when(v == 0, product_url(key)).when(v == 1, product_url(key, v))
+    return rows.select(
+        (key * 3 + v).alias("id"), url.alias("product_url"), F.lit("old").alias("product_code"),
+        F.replace("p_name", F.lit(" "), F.lit("_")).alias("slug"), text.alias("name"),
+        F.when(size % 3 == 0, F.lit(1.5)).alias("price"), text.alias("currency"),
+        text.alias("description"), fetch.alias("fetch_status"),
+        F.when((size % 4 == 3) & (key % 2 == 0), F.lit(st.PARSED)).alias("parse_status"),
+        text.alias("condition"), text.alias("seller"), F.lit("old").alias("reviews"),
+        F.lit(None).cast("bigint").alias("reviews_num"), F.lit("old").alias("image"),
+        F.lit(None).cast("timestamp").alias("parsed_at"), text.alias("filename"),
+        key.alias("source_page_id"), (v + 1).alias("pos"),
+    )
+
+
+def product_captures(spark, sf_dir):
+    return product_pages(load_part(spark, sf_dir))
+
+
+@query("stage_result_status", f"""
+WITH {PRODUCTS}, {PAGE_ITEMS}, fetched AS (
+  SELECT *, CASE WHEN fetch_status <> 'pending' THEN fetch_status WHEN v = 0 THEN 'fetched'
+                 WHEN v = 1 THEN 'failed' ELSE 'failed_unfetchable' END AS fetch_result FROM products)
+SELECT id, fetch_result AS fetch_status,
+       CASE WHEN fetch_result <> 'fetched' OR parse_status IS NOT NULL THEN parse_status
+            WHEN v = 0 AND (SELECT reason FROM page_items g WHERE g.page_id = p_partkey) IS NULL
+            THEN 'parsed_succeeded' ELSE 'parsing_failed' END AS parse_status
+FROM fetched""")
+def stage_result_status(spark, sf_dir):
+    captures = product_captures(spark, sf_dir)
+    fetched = pr.product_fetch_outcome(products(spark, sf_dir), captures)
+    return _parsed(spark, sf_dir, fetched).select("id", "fetch_status", "parse_status")
+
+
+def _parsed(spark, sf_dir, table):
+    from shelfloom.operators.extract import extract_product
+
+    captures = product_captures(spark, sf_dir)
+    rows = pr.parsed_values(extract_product(captures))
+    parsed = rows.withColumn("product_url", product_url(F.col("page_id")))
+    return pr.apply_parsed(table, parsed, "product_url", F.lit("2024-03-01 12:00:00"))
+
+
+@query("apply_parsed", f"""
+WITH {PRODUCTS}, {PAGE_ITEMS}, joined AS (
+  SELECT p.*, g.slug AS new_slug, g.price AS new_price, g.product_code AS new_code,
+         g.reviews AS new_reviews, g.currency AS new_currency,
+         fetch_status = 'fetched' AND parse_status IS NULL AS waiting,
+         g.page_id IS NOT NULL AND g.reason IS NULL AS readable
+  FROM products p LEFT JOIN page_items g ON g.url = p.product_url)
+SELECT id, product_url, CASE WHEN waiting AND readable THEN new_slug ELSE slug END AS slug,
+       CASE WHEN waiting AND readable THEN CAST(new_price AS DOUBLE) ELSE price END AS price,
+       CASE WHEN waiting AND readable THEN new_currency END AS currency,
+       CASE WHEN waiting AND readable THEN new_code ELSE product_code END AS product_code,
+       CASE WHEN waiting AND readable THEN new_reviews ELSE 'old' END AS reviews,
+       CASE WHEN waiting AND readable THEN CASE new_reviews WHEN '4.0' THEN 4
+            ELSE TRY_CAST(new_reviews AS BIGINT) END END AS reviews_num,
+       CASE WHEN waiting AND readable THEN '2024-03-01, 12:00 hs.' END AS stamp,
+       CASE WHEN NOT waiting THEN parse_status WHEN readable THEN 'parsed_succeeded'
+            ELSE 'parsing_failed' END AS parse_status
+FROM joined""")
+def apply_parsed(spark, sf_dir):
+    from shelfloom.functions.names import stamp_text
+
+    rows = _parsed(spark, sf_dir, products(spark, sf_dir))
+    return rows.select(
+        "id", "product_url", "slug", "price", "currency", "product_code", "reviews", "reviews_num",
+        stamp_text(F.col("parsed_at")).alias("stamp"), "parse_status",
+    )
+
+
+@query("missing_html", f"""
+WITH {PRODUCTS} SELECT id FROM products
+WHERE fetch_status = 'fetched' AND parse_status IS NULL AND v <> 0""")
+def missing_html(spark, sf_dir):
+    # Products name the file of their URL; files exist for the captured pages.
+    named = products(spark, sf_dir).withColumn(
+        "filename", F.concat(F.md5(F.coalesce("product_url", F.lit(""))), F.lit(".html"))
+    )
+    captures = load(spark, sf_dir, "part").select(product_url(F.col("p_partkey")).alias("url"))
+    files = captures.select(F.concat(F.md5("url"), F.lit(".html")).alias("filename"))
+    return pr.missing_html(named, files).select("id")
+
+
+@query("product_with_source", f"""
+WITH {PRODUCTS} SELECT id, p_partkey AS source_page_id, g.url AS source_url
+FROM products LEFT JOIN pages g ON g.page_id = p_partkey""")
+def product_with_source(spark, sf_dir):
+    pages = load(spark, sf_dir, "pages").select(F.col("page_id").alias("id"), "url")
+    rows = pr.product_with_source(products(spark, sf_dir), pages)
+    return rows.select("id", "source_page_id", "source_url")
+
+
+# Events as an attempts log and as a status log; users stand for URLs.
+_ATTEMPTS = """attempts AS (
+  SELECT user_id AS url, ts, event_id AS seq, event_type = 'purchase' AS ok,
+         row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS attempt FROM events
+  QUALIFY attempt <= 4)"""
+
+
+def attempts(spark, sf_dir):
+    return load(spark, sf_dir, "events").select(
+        F.col("user_id").alias("url"), "ts", F.col("event_id").alias("seq"),
+        (F.col("event_type") == "purchase").alias("ok"),
+    )
+
+
+@query("attempt_number", f"WITH {_ATTEMPTS} SELECT url, seq, CAST(attempt AS INTEGER) AS attempt FROM attempts")
+def attempt_number(spark, sf_dir):
+    return hi.attempt_number(attempts(spark, sf_dir)).select("url", "seq", "attempt")
+
+
+@query("attempt_outcome", f"""
+WITH {_ATTEMPTS} SELECT url, bool_or(ok) AS ok, CAST(min(attempt) FILTER (ok) AS INTEGER) AS ok_attempt,
+       count(*) AS attempts FROM attempts GROUP BY url""")
+def attempt_outcome(spark, sf_dir):
+    return hi.attempt_outcome(attempts(spark, sf_dir))
+
+
+_LOG = """log AS (
+  SELECT user_id AS key, ts, event_id AS seq,
+         CASE event_type WHEN 'click' THEN 'in_progress' WHEN 'purchase' THEN 'fetched'
+              WHEN 'error' THEN 'failed' ELSE 'pending' END AS status FROM events)"""
+
+
+def status_log(spark, sf_dir):
+    kind = F.col("event_type")
+    status = (
+        F.when(kind == "click", F.lit(st.IN_PROGRESS)).when(kind == "purchase", F.lit(st.FETCHED))
+        .when(kind == "error", F.lit(st.FAILED)).otherwise(F.lit(st.PENDING))
+    )
+    return load(spark, sf_dir, "events").select(
+        F.col("user_id").alias("key"), "ts", F.col("event_id").alias("seq"), status.alias("status")
+    )
+
+
+@query("latest_status", f"""
+WITH {_LOG} SELECT key, status FROM log
+QUALIFY row_number() OVER (PARTITION BY key ORDER BY ts DESC, seq DESC) = 1""")
+def latest_status(spark, sf_dir):
+    return hi.latest_status(status_log(spark, sf_dir), ["key"], ["ts", "seq"])
+
+
+@query("stage_counts", f"""
+WITH {_LOG} SELECT 'listing' AS stage, status, count(*) AS n FROM log GROUP BY status""")
+def stage_counts(spark, sf_dir):
+    return hi.stage_counts(status_log(spark, sf_dir), "listing")
+
+
+def _named_captures(spark, sf_dir):
+    """Captures stored under the slug of the part's name, which many parts share."""
+    from shelfloom.functions.names import product_filename
+    from shelfloom.functions.text import slugify
+
+    return load(spark, sf_dir, "part").select(
+        product_filename(slugify(F.col("p_name"))).alias("filename"),
+        F.col("p_partkey").alias("page_id"), F.col("p_partkey").alias("seq"),
+    )
+
+
+@query("latest_capture", """
+SELECT replace(p_name, ' ', '_') || '.html' AS filename, max(p_partkey) AS page_id FROM part GROUP BY ALL""")
+def latest_capture(spark, sf_dir):
+    return hi.latest_capture(_named_captures(spark, sf_dir))
+
+
+@query("slug_collisions", """
+SELECT replace(p_name, ' ', '_') || '.html' AS filename, count(*) AS captures FROM part
+GROUP BY ALL HAVING count(*) > 1""")
+def slug_collisions(spark, sf_dir):
+    return hi.slug_collisions(_named_captures(spark, sf_dir))
