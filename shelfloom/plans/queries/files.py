@@ -1 +1,57 @@
-"""."""
+"""Queries on captured pages kept as files."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from shelfloom.functions.names import listing_filename
+from shelfloom.operators.keys import number_rows
+from shelfloom.plans.queries.registry import load, load_pages, query
+from shelfloom.plans.render import product_pages
+from shelfloom.sources import files as fl
+from shelfloom.sources.scratch import scratch_path
+
+
+def _folder(spark, captures):
+    path = scratch_path(spark, "files")
+    # The count runs the writing tasks.
+    fl.html_file_sink(captures, path if "://" in path else f"file://{path}").count()
+    return path
+
+
+def _listing_folder(spark, sf_dir):
+    page = F.col("page_id")
+    other = F.concat(listing_filename(page), F.lit(".bak"))
+    pages = load_pages(spark, sf_dir)
+    named = pages.select(listing_filename(page).alias("filename"), "html")
+    return _folder(spark, named.unionByName(pages.select(other.alias("filename"), "html")))
+
+
+@query("scan_listing_files", """
+SELECT page_id, 'page_' || page_id || '.html' AS filename, md5(html) AS html_hash FROM pages""")
+def scan_listing_files(spark, sf_dir):
+    files = fl.scan_listing_files(spark, _listing_folder(spark, sf_dir))
+    return files.select("page_id", "filename", F.md5("html").alias("html_hash"))
+
+
+@query("numeric_file_order", """
+SELECT row_number() OVER (ORDER BY page_id) AS place, 'page_' || page_id || '.html' AS filename FROM pages""")
+def numeric_file_order(spark, sf_dir):
+    files = fl.scan_listing_files(spark, _listing_folder(spark, sf_dir)).select("page_id", "filename")
+    placed = number_rows(fl.numeric_file_order(files), ["page_id"], id_column="place")
+    return placed.select("place", "filename")
+
+
+@query("scan_product_files", """
+SELECT p_partkey || '-' || replace(p_name, ' ', '_') || '.html' AS filename,
+       p_partkey % 13 <> 0 AS has_title FROM part""")
+def scan_product_files(spark, sf_dir):
+    part = load(spark, sf_dir, "part")
+    names = part.select(
+        F.col("p_partkey").alias("page_id"),
+        F.concat_ws("-", "p_partkey", F.replace("p_name", F.lit(" "), F.lit("_"))).alias("slug"),
+    )
+    captures = product_pages(part).join(names, "page_id")
+    named = captures.select(F.concat("slug", F.lit(".html")).alias("filename"), "html")
+    files = fl.scan_product_files(spark, _folder(spark, named))
+    return files.select("filename", F.contains("html", F.lit("ui-pdp-title")).alias("has_title"))

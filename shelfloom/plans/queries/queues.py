@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shelfloom.functions import status as st
+from shelfloom.functions.names import product_filename, stamp_text
+from shelfloom.functions.text import slugify
 from shelfloom.operators import frontier as fr
 from shelfloom.operators import history as hi
 from shelfloom.operators import products as pr
+from shelfloom.operators.extract import extract_product
 from shelfloom.operators.keys import number_rows
 from shelfloom.plans.queries.extraction import PAGE_ITEMS
 from shelfloom.plans.queries.registry import load, load_part, query
@@ -188,7 +191,7 @@ PRODUCTS = """products AS (
          CASE v WHEN 0 THEN 'https://articulo.example.com/p/' || p_partkey
                 WHEN 1 THEN 'https://articulo.example.com/p/' || p_partkey || '?v=1' END AS product_url,
          replace(p_name, ' ', '_') AS slug,
-         CASE WHEN p_size % 3 = 0 THEN 1.5 END AS price, 'old' AS product_code,
+         CASE WHEN p_size % 3 = 0 THEN CAST(1.5 AS DOUBLE) END AS price, 'old' AS product_code,
          CASE p_size % 4 WHEN 0 THEN 'pending' WHEN 1 THEN 'failed' ELSE 'fetched' END AS fetch_status,
          CASE WHEN p_size % 4 = 3 AND p_partkey % 2 = 0 THEN 'parsed_succeeded' END AS parse_status
   FROM part, range(3) t(v))"""
@@ -238,8 +241,6 @@ def stage_result_status(spark, sf_dir):
 
 
 def _parsed(spark, sf_dir, table):
-    from shelfloom.operators.extract import extract_product
-
     captures = product_captures(spark, sf_dir)
     rows = pr.parsed_values(extract_product(captures))
     parsed = rows.withColumn("product_url", product_url(F.col("page_id")))
@@ -265,8 +266,6 @@ SELECT id, product_url, CASE WHEN waiting AND readable THEN new_slug ELSE slug E
             ELSE 'parsing_failed' END AS parse_status
 FROM joined""")
 def apply_parsed(spark, sf_dir):
-    from shelfloom.functions.names import stamp_text
-
     rows = _parsed(spark, sf_dir, products(spark, sf_dir))
     return rows.select(
         "id", "product_url", "slug", "price", "currency", "product_code", "reviews", "reviews_num",
@@ -354,9 +353,6 @@ def stage_counts(spark, sf_dir):
 
 def _named_captures(spark, sf_dir):
     """Captures stored under the slug of the part's name, which many parts share."""
-    from shelfloom.functions.names import product_filename
-    from shelfloom.functions.text import slugify
-
     return load(spark, sf_dir, "part").select(
         product_filename(slugify(F.col("p_name"))).alias("filename"),
         F.col("p_partkey").alias("page_id"), F.col("p_partkey").alias("seq"),

@@ -27,6 +27,14 @@ def _dotted(number: Column) -> Column:
     return F.replace(F.format_number(number, 0), F.lit(","), F.lit("."))
 
 
+def listing_item_url(i: Column, ampersand: str = "&") -> Column:
+    """Address of a listing item; parts with the same name and size share theirs."""
+    return _cat(
+        "https://articulo.example.com/", F.replace(F.col("p_name"), F.lit(" "), F.lit("-")),
+        "?s=", _text(F.col("p_size")), f"{ampersand}i=", _text(i),
+    )
+
+
 def _offset_item(i: Column) -> Column:
     key = F.col("p_partkey")
     turn = key + i
@@ -34,14 +42,8 @@ def _offset_item(i: Column) -> Column:
         F.when(turn % 6 == 0, _cat(' href="https://click1.example.com/x/', _text(key), '"'))
         .when(turn % 6 == 1, F.lit(""))
         .when(turn % 6 == 2, F.lit(' href=""'))
-        .otherwise(
-            _cat(
-                ' href="https://articulo.example.com/',
-                F.replace(F.col("p_name"), F.lit(" "), F.lit("-")),
-                "?s=", _text(F.col("p_size")), "&amp;i=", _text(i), '"',
-            )
-        )
-    )
+        .otherwise(_cat(' href="', listing_item_url(i, "&amp;"), '"'))
+    )
     anchor = _cat(
         '<a class="poly-component__title"', href, "> Caf&eacute; ", F.col("p_name"), " &amp; ",
         F.col("p_brand"), " </a>\n <em>N&ordm; ", _text(i), "</em>",

@@ -25,6 +25,4 @@ def export_json(products: DataFrame, path: str) -> None:
 
 def export_csv(products: DataFrame, path: str) -> None:
     """CSV with a header; an empty field is a missing value, a quoted one an empty text."""
-    export_records(products).write.mode("overwrite").csv(
-        path, header=True, escape='"', emptyValue='""'
-    )
+    export_records(products).write.mode("overwrite").csv(path, header=True, escape='"')

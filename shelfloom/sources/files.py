@@ -13,7 +13,7 @@ from shelfloom.functions.names import is_page_file, page_id_from_filename
 
 
 def _whole_files(spark: SparkSession, path: str, glob: str) -> DataFrame:
-    files = spark.read.option("wholetext", True).option("pathGlobFilter", glob).text(path)
+    files = spark.read.text(path, wholetext=True, pathGlobFilter=glob)
     return files.select(F.col("_metadata.file_name").alias("filename"), F.col("value").alias("html"))
 
 
