@@ -78,16 +78,33 @@ def _fallback(slots: list[str]) -> Column:
     )
 
 
+def _without_bad_pages(parsed: DataFrame, rules: Mapping[str, SiteRule]) -> DataFrame:
+    """Empty the pages that hold an unreadable price, and say so."""
+    checked = [s for s, r in rules.items() if r.price_rule == "thousands"]
+    bad = F.col("site").isin(checked) & F.exists(
+        "items", lambda x: prices.price_unreadable(x["price"], prices.price_thousands(x["price"]))
+    )
+    return parsed.withColumns(
+        {
+            "error": F.when(bad, F.lit(BAD_PRICE)).otherwise(F.col("error")),
+            "items": F.when(~bad, F.col("items")),
+        }
+    )
+
+
 def _extract(
-    pages: DataFrame, rules: Mapping[str, SiteRule], page_rules: dict[str, PageRule], listing: bool
-) -> DataFrame:
+    pages: DataFrame, rules: Mapping[str, SiteRule], page_rules: dict[str, PageRule],
+    listing: bool, strict: bool = False,
+) -> DataFrame:
     slots = slot_names(page_rules.values())
     parsed = page_items(pages, page_rules)
+    if strict:
+        parsed = _without_bad_pages(parsed, rules)
     exploded = parsed.select(
         "page_id",
         "site",
         "error",
-        F.size("items").alias("page_items"),
+        F.coalesce(F.size("items"), F.lit(0)).alias("page_items"),
         F.posexplode_outer(_items_with_image(slots, once_per_page=listing)).alias("at", "zipped"),
     ).select(
         "page_id", "site", "error", "page_items",
@@ -122,14 +139,18 @@ _OUTPUT = (
 )
 
 
-def extract_listing(pages: DataFrame, rules: Mapping[str, SiteRule] = SITES) -> DataFrame:
+def extract_listing(
+    pages: DataFrame, rules: Mapping[str, SiteRule] = SITES, strict_page: bool = False
+) -> DataFrame:
     """Listing pages (page_id, site, html) to one row per container.
 
     ``pos`` counts the containers of a page from 1. A page without containers, or one that
     could not be read, gives a single row with a NULL ``pos``; ``reason`` says what is wrong
-    with a row. Split the result with ``good_rows`` and ``error_rows``.
+    with a row. Split the result with ``good_rows`` and ``error_rows``. With ``strict_page``
+    a page with an unreadable price loses all its products, not only that price.
     """
-    return _extract(pages, rules, {s: r.listing for s, r in rules.items()}, listing=True)
+    page_rules = {s: r.listing for s, r in rules.items()}
+    return _extract(pages, rules, page_rules, listing=True, strict=strict_page)
 
 
 def extract_product(pages: DataFrame, rules: Mapping[str, SiteRule] = SITES) -> DataFrame:
@@ -138,16 +159,9 @@ def extract_product(pages: DataFrame, rules: Mapping[str, SiteRule] = SITES) ->
     return _extract(pages, rules, page_rules, listing=False)
 
 
-def good_rows(rows: DataFrame, strict_page: bool = False) -> DataFrame:
-    """Rows that hold a product. A bad price only empties the price.
-
-    With ``strict_page`` a listing page with a bad price is dropped whole.
-    """
-    good = rows.filter(F.col("pos").isNotNull())
-    if not strict_page:
-        return good
-    bad = rows.filter(F.col("reason") == BAD_PRICE).select("page_id").distinct()
-    return good.join(bad, "page_id", "left_anti")
+def good_rows(rows: DataFrame) -> DataFrame:
+    """Rows that hold a product. A bad price only empties the price."""
+    return rows.filter(F.col("pos").isNotNull())
 
 
 def error_rows(rows: DataFrame, stage: str) -> DataFrame:

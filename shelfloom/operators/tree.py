@@ -23,6 +23,15 @@ VOID_TAGS = frozenset(
 )
 MUTED_TAGS = frozenset("rp rt script style template".split())
 
+# Plain tags, which are nearly all: lower-case names, quoted values without markup in them.
+# Tags whose content is read in another way, and all other spellings, go the library's way.
+_PLAIN_START = re.compile(r'<([a-z][a-z0-9]*)((?:[ \t\r\n\f]+[a-z][a-z0-9-]*="[^"<>&]*")*)[ \t\r\n\f]*>')
+_PLAIN_ATTR = re.compile(r'([a-z][a-z0-9-]*)="([^"]*)"')
+_PLAIN_END = re.compile(r"</([a-z][a-z0-9]*)>")
+_OTHER_CONTENT = frozenset(
+    "iframe math noembed noframes noscript plaintext script style svg textarea title xmp".split()
+)
+
 
 class PageTree(HTMLParser):
     """Flat lists of elements and texts, numbered together in document order."""
@@ -80,7 +89,7 @@ class PageTree(HTMLParser):
             self._pop()
         self._pop()
 
-    def _open_tag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+    def _open_tag(self, tag: str, attrs: dict[str, str]) -> None:
         self._end_text()
         self.parents.append(self.ids[self._open[-1]] if self._open else None)
         self.depths.append(len(self._open))
@@ -91,21 +100,38 @@ class PageTree(HTMLParser):
         self.ids.append(self.count)
         self.ends.append(self.count)
         self.tags.append(tag)
-        self.attrs.append({name: value or "" for name, value in attrs})
+        self.attrs.append(attrs)
         self.count += 1
 
     def updatepos(self, i, j):
         # Line numbers are not used; counting them costs a tenth of the parse.
         return j
 
+    def parse_starttag(self, i):
+        plain = _PLAIN_START.match(self.rawdata, i)
+        if plain is None or plain[1] in _OTHER_CONTENT:
+            return super().parse_starttag(i)
+        self._start(plain[1], dict(_PLAIN_ATTR.findall(plain[2])))
+        return plain.end()
+
+    def parse_endtag(self, i):
+        plain = _PLAIN_END.match(self.rawdata, i)
+        if plain is None or self.cdata_elem is not None or plain[1] in _OTHER_CONTENT:
+            return super().parse_endtag(i)
+        self.handle_endtag(plain[1])
+        return plain.end()
+
     def handle_starttag(self, tag, attrs):
+        self._start(tag, {name: value or "" for name, value in attrs})
+
+    def _start(self, tag: str, attrs: dict[str, str]) -> None:
         self._open_tag(tag, attrs)
         if tag in VOID_TAGS:
             self._close_tag(tag)
             self._closed_void[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
-        self._open_tag(tag, attrs)
+        self._open_tag(tag, {name: value or "" for name, value in attrs})
         self.handle_endtag(tag)
 
     def handle_endtag(self, tag):

@@ -10,10 +10,13 @@ from shelfloom.functions.text import slugify
 from shelfloom.operators import frontier as fr
 from shelfloom.plans.queries.registry import load, query
 from shelfloom.rules import SITES
+from shelfloom.sources.tables import read_spread
+
 
 def key():
     return F.col("p_partkey")
 
+
 # Requests made from the captured pages: every page is a seed, 0 to 3 pages each.
 _REQUESTS = """requests AS (
   SELECT page_id, url AS seed_url, page_id % 4 AS n,
@@ -123,12 +126,12 @@ def slugs(spark, sf_dir):
         ("text", "documents", "doc_id", F.col("text")),
     )
     each = [
-        load(spark, sf_dir, table).select(
+        read_spread(spark, f"{sf_dir}/{table}.parquet", id_).select(
             F.lit(kind).alias("kind"),
-            F.col(key).alias("id"),
+            F.col(id_).alias("id"),
             F.md5(slugify(text)).alias("slug_hash"),
         )
-        for kind, table, key, text in sources
+        for kind, table, id_, text in sources
     ]
     return each[0].unionByName(each[1]).unionByName(each[2])
 

@@ -20,6 +20,7 @@ from shelfloom.operators.extract import (
 )
 from shelfloom.operators.history import stage_counts
 from shelfloom.rules import SITES, SiteRule
+from shelfloom.sources.scratch import materialize
 from shelfloom.sources.tables import read_snapshot, write_snapshot
 from shelfloom.streaming.incremental import latest_parses
 
@@ -73,6 +74,8 @@ def run_stages(
         write_snapshot(rows, root, f"errors_{stage}")
 
     if "seed" in stages:
+        # Requests may rest on parsed captures; they are read three times from here on.
+        requests = materialize(requests, "requests")
         seeds = fr.expand_pages(requests)
         errors(fr.base_errors(requests), "seed")
         write_snapshot(fr.seed_frontier(frontier(), seeds, stamp), root, "frontier")
