@@ -46,10 +46,20 @@ def first_image(images: Column) -> Column:
 
 
 def first_uses(candidates: Column) -> Column:
-    """Keep each image at its first place in the array; later uses become NULL."""
-    return let(
-        candidates,
-        lambda all_: F.transform(
-            all_, lambda c, i: F.when(F.array_position(all_, c) == i + 1, c)
+    """Keep each image at its first place in the array; later uses become NULL.
+
+    Sorting brings equal images together with the first place in front, and a second sort
+    restores the order, so a long page costs no more than its sort.
+    """
+    placed = F.array_sort(F.transform(candidates, lambda c, i: F.struct(c.alias("c"), i.alias("i"))))
+    marked = let(
+        placed,
+        lambda sorted_: F.transform(
+            sorted_,
+            lambda x, j: F.struct(
+                x["i"].alias("i"),
+                F.when(~x["c"].eqNullSafe(F.get(sorted_, j - 1)["c"]), x["c"]).alias("c"),
+            ),
         ),
     )
+    return F.transform(F.array_sort(marked), lambda x: x["c"])

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator, Sequence
+from functools import reduce
+from html.entities import html5
 from itertools import accumulate
+from operator import or_
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -20,6 +23,7 @@ TOKEN_PATTERN = (
 REJECTED = "markup_rejected"
 UNSUPPORTED = "unsupported_site"
 _ROWS_PER_BATCH = 8192
+_MOST_SEARCHED = 32
 
 
 def html_tokens(pages: DataFrame) -> DataFrame:
@@ -181,6 +185,33 @@ def slot_names(rules: Iterable[PageRule]) -> list[str]:
     return list(dict.fromkeys(s.slot for rule in rules for s in rule.slots))
 
 
+def could_hold(html: Column, selector: Selector) -> Column:
+    """False only for html in which the selector matches nothing; looked up by plain search.
+
+    A match needs the selector's word in the html, or a character reference that can stand
+    for a piece of the word. Markup the parser may refuse also counts, so that it is refused.
+    """
+    word = selector.attr[1] if selector.class_ is None else selector.class_.split()[0]
+    references = sorted("&" + name.rstrip(";") for name, text in html5.items() if text in word)
+    needles = [word, "&#", "<![", *dict.fromkeys(references)]
+    return reduce(or_, (F.contains(html, F.lit(n)) for n in needles))
+
+
+def _html_to_parse(rules: dict[str, PageRule]) -> Column:
+    """The html of pages that may hold items; NULL where parsing would find none.
+
+    In a mixed crawl most pages are no listings: they are told apart inside the JVM and
+    their html never crosses into Python.
+    """
+    html = F.col("html")
+    searched = {s: r.container for s, r in rules.items() if r.container is not None}
+    searched = {s: c for s, c in searched.items() if c.class_ or c.attr}
+    if not searched or len(searched) > _MOST_SEARCHED:
+        return html
+    tests = [(F.col("site") == s) & could_hold(html, c) for s, c in searched.items()]
+    return F.when(~F.col("site").isin(list(searched)) | reduce(or_, tests), html)
+
+
 def page_items(pages: DataFrame, rules: dict[str, PageRule]) -> DataFrame:
     """Per page, the items its site's rule finds: (page_id, site, error, items).
 
@@ -224,6 +255,6 @@ def page_items(pages: DataFrame, rules: dict[str, PageRule]) -> DataFrame:
             )
 
     fields = ", ".join(f"{s}: STRING" for s in slots)
-    return pages.select("page_id", "site", "html").mapInArrow(
+    return pages.select("page_id", "site", _html_to_parse(rules).alias("html")).mapInArrow(
         parse, f"page_id BIGINT, site STRING, error STRING, items ARRAY<STRUCT<{fields}>>"
     )

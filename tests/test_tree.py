@@ -11,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from shelfloom.operators.extract import error_rows, extract_listing, extract_product, good_rows
-from shelfloom.operators.html import html_nodes
+from shelfloom.operators.html import _html_to_parse, html_nodes, page_items
 from shelfloom.operators.tree import PageTree
 from shelfloom.rules import SITES, PageRule, Selector
 from tests.conftest import TESTDATA
@@ -182,5 +182,39 @@ def test_one_huge_page_stays_whole(spark):
     assert html_nodes(df).count() == 5000 * 7
 
 
+@settings(max_examples=10, deadline=None)
+@given(
+    st.lists(
+        st.lists(
+            st.sampled_from(
+                ["<li class='ui-search-layout__item'>", '<li class="x ui&#45;search-layout__item">', "</li>",
+                 '<li class="ui-search-layout&lowbar;_item">', '<li class="ui-search-layout&UnderBar;&lowbar;item">',
+                 "<LI CLASS=ui-search-layout__item>", "<p>", "<![x y]>", '<li class="ui-search">', "&amp;", "text"]
+            ),
+            max_size=5,
+        ),
+        min_size=1,
+        max_size=40,
+    )
+)
+def test_pages_are_told_apart_without_parsing(spark, lists):
+    htmls = ["".join(pieces) for pieces in lists]
+    rule = SITES["mercadolibre"].listing
+    df = pages(spark, *[(n, "mercadolibre", h) for n, h in enumerate(htmls)])
+    got = {r.page_id: (r.error, len(r.items)) for r in page_items(df, {"mercadolibre": rule}).collect()}
+    for number, html in enumerate(htmls):
+        try:
+            wanted = (None, len(list(PageTree(html).items(rule))))
+        except AssertionError:
+            wanted = ("markup_rejected", 0)
+        assert got[number] == wanted, html
+
+
+def test_pages_without_the_word_are_not_parsed(spark):
+    df = pages(spark, (1, "mercadolibre", "<p>x</p>"), (2, "mercadolibre", '<li class="ui-search-layout__item">'))
+    sent = df.select(_html_to_parse({"mercadolibre": SITES["mercadolibre"].listing}).alias("h")).collect()
+    assert [r.h is None for r in sent] == [True, False]
+
+
 def test_sites_are_data():
     assert set(SITES) == {"amazon", "mercadolibre"}
