@@ -102,12 +102,13 @@ def _extract(
         parsed = _without_bad_pages(parsed, rules)
     exploded = parsed.select(
         "page_id",
+        "url",
         "site",
         "error",
         F.coalesce(F.size("items"), F.lit(0)).alias("page_items"),
         F.posexplode_outer(_items_with_image(slots, once_per_page=listing)).alias("at", "zipped"),
     ).select(
-        "page_id", "site", "error", "page_items",
+        "page_id", "url", "site", "error", "page_items",
         (F.col("at") + 1).alias("pos"), "zipped.item", "zipped.image",
     )
     columns = _product_columns(slots)
@@ -130,7 +131,7 @@ def _extract(
         F.when(unreadable, F.lit(BAD_PRICE)),
     )
     return rows.withColumn("price", price).select(
-        "page_id", "site", "page_items", "pos", *_OUTPUT, reason.alias("reason")
+        "page_id", "url", "site", "page_items", "pos", *_OUTPUT, reason.alias("reason")
     )
 
 
@@ -142,7 +143,7 @@ _OUTPUT = (
 def extract_listing(
     pages: DataFrame, rules: Mapping[str, SiteRule] = SITES, strict_page: bool = False
 ) -> DataFrame:
-    """Listing pages (page_id, site, html) to one row per container.
+    """Listing pages (page_id, url, site, html) to one row per container.
 
     ``pos`` counts the containers of a page from 1. A page without containers, or one that
     could not be read, gives a single row with a NULL ``pos``; ``reason`` says what is wrong
@@ -154,7 +155,7 @@ def extract_listing(
 
 
 def extract_product(pages: DataFrame, rules: Mapping[str, SiteRule] = SITES) -> DataFrame:
-    """Product pages (page_id, site, html) to one row per page, with the same columns."""
+    """Product pages (page_id, url, site, html) to one row per page, with the same columns."""
     page_rules = {s: r.product for s, r in rules.items() if r.product is not None}
     return _extract(pages, rules, page_rules, listing=False)
 

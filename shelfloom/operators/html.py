@@ -213,7 +213,7 @@ def _html_to_parse(rules: dict[str, PageRule]) -> Column:
 
 
 def page_items(pages: DataFrame, rules: dict[str, PageRule]) -> DataFrame:
-    """Per page, the items its site's rule finds: (page_id, site, error, items).
+    """Per page, the items its site's rule finds: (page_id, url, site, error, items).
 
     ``items`` holds one struct per container with every slot's first match as text. This
     is the only step that reads html; it is narrow, and everything after it is small.
@@ -247,14 +247,18 @@ def page_items(pages: DataFrame, rules: dict[str, PageRule]) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("page_id"),
+                    batch.column("url"),
                     batch.column("site"),
                     pa.array(errors, pa.string()),
                     pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), structs),
                 ],
-                names=["page_id", "site", "error", "items"],
+                names=["page_id", "url", "site", "error", "items"],
             )
 
     fields = ", ".join(f"{s}: STRING" for s in slots)
-    return pages.select("page_id", "site", _html_to_parse(rules).alias("html")).mapInArrow(
-        parse, f"page_id BIGINT, site STRING, error STRING, items ARRAY<STRUCT<{fields}>>"
+    url = F.col("url") if "url" in pages.columns else F.lit(None).cast("string")
+    html = _html_to_parse(rules).alias("html")
+    return pages.select("page_id", url.alias("url"), "site", html).mapInArrow(
+        parse,
+        f"page_id BIGINT, url STRING, site STRING, error STRING, items ARRAY<STRUCT<{fields}>>",
     )

@@ -22,6 +22,8 @@ VOID_TAGS = frozenset(
     "link menuitem meta nextid param source track wbr".split()
 )
 MUTED_TAGS = frozenset("rp rt script style template".split())
+# What a reference to no character reads as; half of a surrogate pair is none either.
+_REPLACEMENT = "\ufffd"
 
 # Plain tags, which are nearly all: lower-case names, quoted values without markup in them.
 # Tags whose content is read in another way, and all other spellings, go the library's way.
@@ -153,9 +155,9 @@ class PageTree(HTMLParser):
             if code < 256:
                 char = bytes([code]).decode("cp1252", "ignore") or chr(code)
             else:
-                char = chr(code)
+                char = _REPLACEMENT if 0xD800 <= code <= 0xDFFF else chr(code)
         except (ValueError, OverflowError):
-            char = "�"
+            char = _REPLACEMENT
         self._pending.append(char)
 
     def handle_comment(self, data):

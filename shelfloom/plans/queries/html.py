@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from shelfloom.functions.text import node_text
@@ -150,24 +149,21 @@ SELECT p_partkey AS page_id, CAST(i AS BIGINT) AS item,
 FROM {_ITEMS}""")
 def descendant_counts(spark, sf_dir):
     nodes, items = _stored_nodes(spark, sf_dir)
-    per_item = (
-        descendants(items, nodes).groupBy("page_id", "container_id")
+    number = F.regexp_extract("text", "^Nº ([0-9]+)$", 1).try_cast("bigint")
+    return (
+        descendants(items, nodes)
+        .groupBy("page_id", "container_id")
         .agg(
+            F.max(number).alias("item"),
             F.count("tag").cast("int").alias("elements"),
             F.count_if(F.col("tag").isNull()).cast("int").alias("texts"),
         )
-    )
-    return per_item.select("page_id", _item_number().alias("item"), "elements", "texts")
-
-
-def _item_number():
-    """Place of a container on its page, by the order of the node ids."""
-    order = Window.partitionBy("page_id").orderBy("container_id")
-    return F.row_number().over(order).cast("bigint")
+        .drop("container_id")
+    )
 
 
 @query("first_descendant", f"""
-SELECT p_partkey AS page_id, CAST(i AS BIGINT) AS item,
+SELECT p_partkey AS page_id,
        CASE WHEN {_TURN} % 7 = 2 THEN 'https://img.example.com/D_MLA' || (p_partkey * 10 + i // 2)
                  || '-O.jpg'
             WHEN {_TURN} % 7 IN (1, 4, 5, 6) THEN 'data:image/gif;base64,R0lGOD' END AS src
@@ -175,8 +171,7 @@ FROM {_ITEMS}""")
 def first_images(spark, sf_dir):
     nodes, items = _stored_nodes(spark, sf_dir)
     first = first_descendant(items, nodes.filter(F.col("tag") == "img"))
-    src = F.try_element_at("attrs", F.lit("src"))
-    return first.select("page_id", _item_number().alias("item"), src.alias("src"))
+    return first.select("page_id", F.try_element_at("attrs", F.lit("src")).alias("src"))
 
 
 @query("next_page_link", """

@@ -90,9 +90,9 @@ def run_stages(
         rows = write_snapshot(extract_listing(listing_pages, rules), root, "listing_products")
         errors(error_rows(rows, "listing_parse"), "listing_parse")
         fetched = frontier().filter(F.col("status") == st.FETCHED)
-        ids = listing_pages.select("page_id", "url").join(
-            fetched.select(F.col("id").alias("source_page_id"), "url"), "url"
-        )
+        # A URL captured again counts with its last capture.
+        last = listing_pages.groupBy("url").agg(F.max("page_id").alias("page_id"))
+        ids = last.join(fetched.select(F.col("id").alias("source_page_id"), "url"), "url")
         found = (
             good_rows(rows)
             .join(ids.select("page_id", "source_page_id"), "page_id")
@@ -111,8 +111,7 @@ def run_stages(
         rows = write_snapshot(
             pr.parsed_values(extract_product(product_pages, rules)), root, "product_parses"
         )
-        urls = product_pages.select("page_id", F.col("url").alias("product_url"))
-        parsed = latest_parses(rows.join(urls, "page_id"))
+        parsed = latest_parses(rows.withColumnRenamed("url", "product_url"))
         lost = pr.lost_pages(table, parsed)
         errors(error_rows(rows, "product_parse").unionByName(lost), "product_parse")
         write_snapshot(pr.apply_parsed(table, parsed, "product_url", stamp), root, "products")

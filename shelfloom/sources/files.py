@@ -14,7 +14,9 @@ from shelfloom.functions.names import is_page_file, page_id_from_filename
 
 def _whole_files(spark: SparkSession, path: str, glob: str) -> DataFrame:
     files = spark.read.text(path, wholetext=True, pathGlobFilter=glob)
-    return files.select(F.col("_metadata.file_name").alias("filename"), F.col("value").alias("html"))
+    # Line ends read as one character, however the file spells them.
+    html = F.regexp_replace("value", "\r\n?", "\n")
+    return files.select(F.col("_metadata.file_name").alias("filename"), html.alias("html"))
 
 
 def scan_listing_files(spark: SparkSession, path: str) -> DataFrame:

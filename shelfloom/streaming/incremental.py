@@ -19,7 +19,7 @@ from shelfloom.rules import SITES, SiteRule
 from shelfloom.sources.tables import _folder
 
 LISTING = (
-    "page_id BIGINT, site STRING, page_items INT, pos INT, name STRING, slug STRING, "
+    "page_id BIGINT, url STRING, site STRING, page_items INT, pos INT, name STRING, slug STRING, "
     "product_code STRING, currency STRING, price_text STRING, price BIGINT, link STRING, "
     "reviews STRING, image STRING, reason STRING"
 )
@@ -114,8 +114,7 @@ def product_stream(
     """
 
     def each(batch: DataFrame, number: int) -> None:
-        urls = batch.select("page_id", F.col("url").alias("product_url"))
-        rows = parsed_values(extract_product(batch, rules)).join(urls, "page_id")
+        rows = parsed_values(extract_product(batch, rules)).withColumnRenamed("url", "product_url")
         empty = spark.createDataFrame([], PARSES)
         _write(rows.select(*empty.columns), root, "product_parses", number)
 

@@ -28,7 +28,7 @@ def captures(spark, *rows):
 
 def test_listing_files(spark, tmp_path):
     for name in ("page_10.html", "page_2.html", "page_x.html", "page_1.html.tmp", "xpage_1.html"):
-        (tmp_path / name).write_text(f"<p>\n{name}\n</p>", encoding="utf-8")
+        (tmp_path / name).write_bytes(f"<p>\r\n{name}\r</p>".encode())
     (tmp_path / "output").mkdir()
     (tmp_path / "output" / "page_7.html").write_text("no")
     (tmp_path / "page_3.html").mkdir()

@@ -76,6 +76,7 @@ def test_text_of_nodes():
     assert PageTree("<p>a &amp; b&nbsp;</p>").text(0) == "a & b"
     assert PageTree("<p>x <!-- --> y</p>").text(0) == "xy"
     assert PageTree("<p>&#150;&#xe9;&bogus;</p>").text(0) == "–é&bogus"
+    assert PageTree("<p>&#xD800;&#x110000;&#129;</p>").text(0) == "\ufffd\ufffd\x81"
 
 
 def test_first_match_is_inside_its_container():
