@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_right
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator
 from html.entities import html5
 from html.parser import HTMLParser
@@ -25,43 +25,96 @@ MUTED_TAGS = frozenset("rp rt script style template".split())
 # What a reference to no character reads as; half of a surrogate pair is none either.
 _REPLACEMENT = "\ufffd"
 
-# Plain tags, which are nearly all: lower-case names, quoted values without markup in them.
-# Tags whose content is read in another way, and all other spellings, go the library's way.
-_PLAIN_START = re.compile(r'<([a-z][a-z0-9]*)((?:[ \t\r\n\f]+[a-z][a-z0-9-]*="[^"<>&]*")*)[ \t\r\n\f]*>')
-_PLAIN_ATTR = re.compile(r'([a-z][a-z0-9-]*)="([^"]*)"')
-_PLAIN_END = re.compile(r"</([a-z][a-z0-9]*)>")
+# Plain pieces, which are nearly all of a page: text, tags with lower-case names and quoted
+# values without markup in them, references, short comments. They mean the same however
+# they are read; everything else, and tags whose content is read in another way, is fed to
+# the library.
+_PLAIN = re.compile(
+    r"([^<&]+)"
+    r'|<([a-z][a-z0-9]*)((?:[ \t\r\n\f]+[a-z][a-z0-9-]*="[^"<>&]*")*)[ \t\r\n\f]*>'
+    r"|</([a-z][a-z0-9]*)>"
+    r"|&([a-zA-Z][a-zA-Z0-9]*);"
+    r"|&#([0-9]+);"
+    r"|(<!--[^->]*-->)"
+)
+_TEXT, _START, _END, _ENTITY, _CHAR = 1, 3, 4, 5, 6
+_PLAIN_ATTRS = re.compile(r'([a-z][a-z0-9-]*)="([^"]*)"').findall
 _OTHER_CONTENT = frozenset(
     "iframe math noembed noframes noscript plaintext script style svg textarea title xmp".split()
 )
 
 
+def _columns(rows: list[tuple], width: int) -> list[tuple]:
+    return list(zip(*rows, strict=True)) if rows else [()] * width
+
+
 class PageTree(HTMLParser):
-    """Flat lists of elements and texts, numbered together in document order."""
+    """Elements and texts as columns, numbered together in document order.
+
+    Elements: ``ids, ends, parents, depths, tags, attrs``; texts: ``text_ids, text_parents,
+    text_depths, texts``.
+    """
 
     def __init__(self, html: str):
         super().__init__(convert_charrefs=False)
         self.count = 0
-        self.ids: list[int] = []
         self.ends: list[int] = []
-        self.parents: list[int | None] = []
-        self.depths: list[int] = []
-        self.tags: list[str] = []
-        self.by_tag: dict[str, list[int]] = {}
-        self.attrs: list[dict[str, str]] = []
-        self.texts: list[str] = []
-        self.text_ids: list[int] = []
-        self.text_parents: list[int | None] = []
-        self.text_depths: list[int] = []
-        self._open: list[int] = []
-        self._open_tags: Counter[str] = Counter()
+        self._elements: list[tuple[int, int | None, int, str, dict[str, str]]] = []
+        self._texts: list[tuple[int, int | None, int, str]] = []
+        self._open: list[tuple[int, int, str]] = []
+        self._open_tags: dict[str, int] = defaultdict(int)
         self._muted = 0
-        self._closed_void: Counter[str] = Counter()
+        self._closed_void: dict[str, int] = defaultdict(int)
         self._pending: list[str] = []
-        self.feed(html)
+        self._read(html)
         self.close()
         self._end_text()
         while self._open:
             self._pop()
+        self.ids, self.parents, self.depths, self.tags, self.attrs = _columns(self._elements, 5)
+        self.text_ids, self.text_parents, self.text_depths, self.texts = _columns(self._texts, 4)
+        self._by_tag: dict[str, list[int]] | None = None
+
+    def _read(self, html: str) -> None:
+        match, at, size = _PLAIN.match, 0, len(html)
+        while at < size:
+            plain = match(html, at)
+            if plain is None:
+                at = self._feed_odd_piece(html, at)
+                continue
+            kind = plain.lastindex
+            if kind == _TEXT:
+                self._pending.append(plain[1])
+            elif kind == _START:
+                if plain[2] in _OTHER_CONTENT:
+                    at = self._feed_odd_piece(html, at)
+                    continue
+                self._start(plain[2], dict(_PLAIN_ATTRS(plain[3])) if plain[3] else {})
+            elif kind == _END:
+                self.handle_endtag(plain[4])
+            elif kind == _ENTITY:
+                self.handle_entityref(plain[5])
+            elif kind == _CHAR:
+                self.handle_charref(plain[6])
+            else:
+                self._end_text()
+            at = plain.end()
+
+    def _feed_odd_piece(self, html: str, at: int) -> int:
+        """Feed the library until it has taken in all it was given; returns the next place.
+
+        What it holds back doubles the next portion, so that no page is fed over and over.
+        """
+        while True:
+            least = at + 2 * len(self.rawdata)
+            if self.cdata_elem is not None:
+                closing = re.compile("</" + self.cdata_elem, re.IGNORECASE).search(html, at)
+                least = max(least, closing.end() if closing else len(html))
+            cut = html.find(">", least) + 1 or len(html)
+            self.feed(html[at:cut])
+            at = cut
+            if at >= len(html) or not (self.rawdata or self.cdata_elem):
+                return at
 
     def _end_text(self) -> None:
         if not self._pending:
@@ -70,15 +123,12 @@ class PageTree(HTMLParser):
         self._pending.clear()
         if self._muted or not text.strip():
             return
-        self.texts.append(text)
-        self.text_ids.append(self.count)
-        self.text_parents.append(self.ids[self._open[-1]] if self._open else None)
-        self.text_depths.append(len(self._open))
+        parent = self._open[-1][1] if self._open else None
+        self._texts.append((self.count, parent, len(self._open), text))
         self.count += 1
 
     def _pop(self) -> None:
-        index = self._open.pop()
-        tag = self.tags[index]
+        index, _, tag = self._open.pop()
         self.ends[index] = self.count - 1
         self._open_tags[tag] -= 1
         self._muted -= tag in MUTED_TAGS
@@ -87,42 +137,25 @@ class PageTree(HTMLParser):
         self._end_text()
         if not self._open_tags[tag]:
             return
-        while self.tags[self._open[-1]] != tag:
+        while self._open[-1][2] != tag:
             self._pop()
         self._pop()
 
     def _open_tag(self, tag: str, attrs: dict[str, str]) -> None:
         self._end_text()
-        self.parents.append(self.ids[self._open[-1]] if self._open else None)
-        self.depths.append(len(self._open))
-        self._open.append(len(self.ids))
+        parent = self._open[-1][1] if self._open else None
+        depth = len(self._open)
+        self._open.append((len(self.ends), self.count, tag))
         self._open_tags[tag] += 1
         self._muted += tag in MUTED_TAGS
-        self.by_tag.setdefault(tag, []).append(len(self.ids))
-        self.ids.append(self.count)
+        self._elements.append((self.count, parent, depth, tag, attrs))
         self.ends.append(self.count)
-        self.tags.append(tag)
-        self.attrs.append(attrs)
         self.count += 1
 
     def updatepos(self, i, j):
         # Line numbers are not used; counting them costs a tenth of the parse.
         return j
 
-    def parse_starttag(self, i):
-        plain = _PLAIN_START.match(self.rawdata, i)
-        if plain is None or plain[1] in _OTHER_CONTENT:
-            return super().parse_starttag(i)
-        self._start(plain[1], dict(_PLAIN_ATTR.findall(plain[2])))
-        return plain.end()
-
-    def parse_endtag(self, i):
-        plain = _PLAIN_END.match(self.rawdata, i)
-        if plain is None or self.cdata_elem is not None or plain[1] in _OTHER_CONTENT:
-            return super().parse_endtag(i)
-        self.handle_endtag(plain[1])
-        return plain.end()
-
     def handle_starttag(self, tag, attrs):
         self._start(tag, {name: value or "" for name, value in attrs})
 
@@ -181,8 +214,12 @@ class PageTree(HTMLParser):
 
     def matches(self, selector: Selector) -> list[int]:
         """Elements a selector picks, in document order."""
+        if self._by_tag is None:
+            self._by_tag = defaultdict(list)
+            for index, tag in enumerate(self.tags):
+                self._by_tag[tag].append(index)
         found = []
-        for index in self.by_tag.get(selector.tag, ()):
+        for index in self._by_tag.get(selector.tag, ()):
             attrs = self.attrs[index]
             if selector.class_ is not None:
                 words = attrs.get("class", "").split()
