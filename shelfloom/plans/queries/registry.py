@@ -32,9 +32,9 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def load_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The page table, spread for parsing."""
-    return read_spread(spark, f"{sf_dir}/pages.parquet", "page_id")
+    return read_spread(spark, f"{sf_dir}/pages.parquet")
 
 
 def load_part(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The part table, spread before pages are rendered from it."""
-    return read_spread(spark, f"{sf_dir}/part.parquet", "p_partkey")
+    return read_spread(spark, f"{sf_dir}/part.parquet")

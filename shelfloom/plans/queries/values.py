@@ -126,7 +126,7 @@ def slugs(spark, sf_dir):
         ("text", "documents", "doc_id", F.col("text")),
     )
     each = [
-        read_spread(spark, f"{sf_dir}/{table}.parquet", id_).select(
+        read_spread(spark, f"{sf_dir}/{table}.parquet").select(
             F.lit(kind).alias("kind"),
             F.col(id_).alias("id"),
             F.md5(slugify(text)).alias("slug_hash"),

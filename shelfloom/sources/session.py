@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
+_PACKAGE = Path(__file__).resolve().parents[1]
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -20,4 +25,24 @@ def session(name: str = "shelfloom", **settings: str) -> SparkSession:
         builder = builder.config(key, value)
     for key, value in settings.items():
         builder = builder.config(key.replace("__", "."), value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship(spark)
+    return spark
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application.
+
+    The parsing tasks import it. A job submitted with ``--py-files`` does not need this.
+    """
+    application = spark.sparkContext.applicationId
+    if application not in _shipped:
+        folder = tempfile.mkdtemp(prefix="shelfloom-code-")
+        archive = shutil.make_archive(
+            f"{folder}/{_PACKAGE.name}", "zip", _PACKAGE.parent, _PACKAGE.name
+        )
+        spark.sparkContext.addPyFile(archive)
+        _shipped.add(application)

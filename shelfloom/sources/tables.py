@@ -46,16 +46,16 @@ def write_snapshot(df: DataFrame, root: str, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def read_spread(spark: SparkSession, path: str, key: str) -> DataFrame:
+def read_spread(spark: SparkSession, path: str) -> DataFrame:
     """A stored table in at least as many partitions as there are cores.
 
     Parsing runs some ten times slower than shuffling, so a table in a few big splits is
-    dealt out by ``key`` first. A table with enough splits is left as it is: at scale no
-    html is shuffled.
+    dealt out evenly first, whatever its keys. A table with enough splits is left as it is:
+    at scale no html is shuffled.
     """
     table = spark.read.parquet(path)
     cores = spark.sparkContext.defaultParallelism
-    return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores, key)
+    return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores)
 
 
 def capture_sink(pages: DataFrame, path: str, site: Column | None = None) -> DataFrame:

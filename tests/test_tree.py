@@ -8,9 +8,17 @@ import duckdb
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from shelfloom.operators.extract import error_rows, extract_listing, extract_product, good_rows
-from shelfloom.operators.html import _html_to_parse, html_nodes, page_items
+from shelfloom.operators.html import (
+    _html_to_parse,
+    elements_by_class,
+    find_all,
+    html_nodes,
+    html_tokens,
+    page_items,
+)
 from shelfloom.operators.tree import PageTree
 from shelfloom.rules import SITES, PageRule, Selector
 from tests.conftest import TESTDATA
@@ -218,5 +226,28 @@ def test_pages_without_the_word_are_not_parsed(spark):
     assert [r.h is None for r in sent] == [True, False]
 
 
+def test_tokens_and_elements_agree_on_the_given_pages(spark):
+    given = spark.read.parquet(f"{TESTDATA}/sf0.001/pages.parquet")
+    tag = F.lower(F.regexp_extract("token", "^<([a-zA-Z][a-zA-Z0-9]*)", 1))
+    from_tokens = html_tokens(given).select("page_id", "pos", tag.alias("tag")).filter("tag <> ''")
+    elements = html_nodes(given).filter(F.col("tag").isNotNull()).select("page_id", "node_id", "tag")
+
+    def sequences(df, order):
+        return {(r.page_id, n): r.tag for n, r in enumerate(df.orderBy("page_id", order).collect())}
+
+    assert sequences(from_tokens, "pos") == sequences(elements, "node_id")
+
+
+def test_found_elements_are_those_of_the_node_table(spark):
+    given = spark.read.parquet(f"{TESTDATA}/sf0.001/pages.parquet")
+    found = find_all(given, [Selector("ad", "div", "ad"), Selector("entry", "li")])
+    nodes = html_nodes(given)
+    wanted = elements_by_class(nodes, "div", "ad").select("page_id", "node_id").union(
+        nodes.filter("tag = 'li'").select("page_id", "node_id")
+    )
+    pairs = found.select("page_id", "node_id")
+    assert sorted(map(tuple, pairs.collect())) == sorted(map(tuple, wanted.collect()))
+
+
 def test_sites_are_data():
     assert set(SITES) == {"amazon", "mercadolibre"}
