@@ -55,6 +55,13 @@ def product_link(href: Column) -> Column:
     return F.when(~is_sponsored(href), F.nullif(href, F.lit("")))
 
 
+def absolute_url(href: Column, page_url: Column) -> Column:
+    """A link that starts at the root of its page's site, with that site in front."""
+    origin = F.regexp_extract(page_url, "^[A-Za-z]+://[^/?#]+", 0)
+    rooted = href.startswith("/") & ~href.startswith("//")
+    return F.when(rooted & page_url.isNotNull(), F.concat(origin, href)).otherwise(href)
+
+
 def host(url: Column) -> Column:
     return F.lower(F.try_parse_url(url, F.lit("HOST")))
 

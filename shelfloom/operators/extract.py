@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from shelfloom.functions import media, prices
 from shelfloom.functions.text import slug_of_name
-from shelfloom.functions.urls import product_link
+from shelfloom.functions.urls import absolute_url, product_link
 from shelfloom.operators.html import page_items, slot_names
 from shelfloom.rules import SITES, PageRule, SiteRule, site_rules
 
@@ -180,10 +180,9 @@ def products_per_page(pages: DataFrame, rules: Mapping[str, SiteRule] = SITES) -
 
 
 def next_page_links(pages: DataFrame, rules: Mapping[str, SiteRule] = SITES) -> DataFrame:
-    """(page_id, next_url): where the "next" control of a captured listing page leads."""
+    """(page_id, url, site, next_url): where the "next" control of a listing page leads."""
     page_rules = {s: r.next_page for s, r in rules.items() if r.next_page is not None}
     parsed = page_items(pages, page_rules)
     links = F.filter(F.transform("items", lambda x: x["href"]), lambda h: h.isNotNull())
-    return parsed.select(
-        "page_id", "site", F.nullif(F.get(links, F.lit(0)), F.lit("")).alias("next_url")
-    )
+    next_url = absolute_url(F.nullif(F.get(links, F.lit(0)), F.lit("")), F.col("url"))
+    return parsed.select("page_id", "url", "site", next_url.alias("next_url"))

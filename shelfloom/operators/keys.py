@@ -56,6 +56,18 @@ def spread(key: str, by: str) -> Column:
     return F.when(F.col(key).isNull(), F.col(by).cast("bigint"))
 
 
+def only_matching(wide: DataFrame, keys: DataFrame, key: str, most: int = 200_000) -> DataFrame:
+    """Rows of a wide table whose ``key`` is in ``keys``, if the keys are few; else all rows.
+
+    Narrows html before parsing without shuffling it. The number of keys is checked, up to
+    ``most``; beyond that everything is parsed and the join that follows drops the rest.
+    """
+    keys = keys.select(key).filter(F.col(key).isNotNull()).distinct()
+    if keys.limit(most + 1).count() > most:
+        return wide
+    return wide.join(F.broadcast(keys), key, "left_semi")
+
+
 def left_join_on(left: DataFrame, right: DataFrame, key: str, by: str) -> DataFrame:
     """Left join on a key that may be NULL in many left rows; right keys are unique."""
     right = right.withColumnRenamed(key, "_key").withColumn("_none", F.lit(None).cast("bigint"))

@@ -19,6 +19,7 @@ from shelfloom.operators.extract import (
     next_page_links,
 )
 from shelfloom.operators.history import stage_counts
+from shelfloom.operators.keys import only_matching
 from shelfloom.rules import SITES, SiteRule
 from shelfloom.sources.scratch import materialize
 from shelfloom.sources.tables import read_snapshot, write_snapshot
@@ -34,12 +35,11 @@ def discovered_bases(
 
     Links are read off the captures before the join, so html is never shuffled.
     """
-    links = next_page_links(first_pages, rules).select("page_id", "next_url")
-    seeds = first_pages.select("page_id", F.col("url").alias("seed_url"))
+    pages = only_matching(first_pages, requests.select(F.col("seed_url").alias("url")), "url")
     found = (
-        links.join(seeds, "page_id")
-        .groupBy("seed_url")
-        .agg(F.min_by("next_url", "page_id").alias("discovered"))
+        next_page_links(pages, rules)
+        .groupBy(F.col("url").alias("seed_url"))
+        .agg(F.max_by("next_url", "page_id").alias("discovered"))
     )
     return requests.join(found, "seed_url", "left")
 
@@ -108,8 +108,10 @@ def run_stages(
 
     if "product_parse" in stages:
         table = fr.reset_stuck(products(), "parse_status", st.PARSING, None)
+        waiting = table.filter(st.fetched_unparsed(F.col("fetch_status"), F.col("parse_status")))
+        pages = only_matching(product_pages, waiting.select(F.col("product_url").alias("url")), "url")
         rows = write_snapshot(
-            pr.parsed_values(extract_product(product_pages, rules)), root, "product_parses"
+            pr.parsed_values(extract_product(pages, rules)), root, "product_parses"
         )
         parsed = latest_parses(rows.withColumnRenamed("url", "product_url"))
         lost = pr.lost_pages(table, parsed)

@@ -93,6 +93,9 @@ def test_urls(spark):
     check(spark, urls.first_seed, [(["a", "b"], "a"), ([], None), (None, None)], "ARRAY<STRING>")
     links = [("https://click1.x/y", None), ("", None), (None, None), ("https://a.b/c", "https://a.b/c")]
     check(spark, urls.product_link, links)
+    page = F.lit("https://a.b/c/d?e")
+    links = [("/x", "https://a.b/x"), ("https://q/r", "https://q/r"), (None, None), ("//q/r", "//q/r")]
+    check(spark, lambda c: urls.absolute_url(c, page), links)
     base = [("dynamic", "found"), ("static", "seed"), ("algorithmic", "seed"), ("other", None)]
     check(spark, lambda c: urls.pagination_base(c, F.lit("seed"), F.lit("found")), base)
     sites = [

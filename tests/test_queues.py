@@ -13,7 +13,7 @@ from shelfloom.functions import status as st
 from shelfloom.operators import frontier as fr
 from shelfloom.operators import history as hi
 from shelfloom.operators import products as pr
-from shelfloom.operators.keys import number_rows
+from shelfloom.operators.keys import number_rows, only_matching
 from shelfloom.operators.nested import BIN, descendants, first_descendant
 from shelfloom.rules import SITES
 from shelfloom.sources import scratch
@@ -231,6 +231,13 @@ def test_containment_over_bins(spark):
     assert {(r.page_id, r.container_id): r.node_id for r in got} == first
 
 
+def test_few_keys_narrow_and_many_do_not(spark):
+    wide = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "url STRING, html INT")
+    keys = spark.createDataFrame([("a",), ("a",), (None,), ("z",)], "url STRING")
+    assert rows_of(only_matching(wide, keys, "url"), "html") == [(1,)]
+    assert only_matching(wide, keys, "url", most=1).count() == 3
+
+
 def test_status_filter_reaches_the_scan(spark):
     path = scratch.scratch_path(spark, "t")
     every_state(spark).write.parquet(path)
