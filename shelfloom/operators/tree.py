@@ -29,15 +29,17 @@ _REPLACEMENT = "\ufffd"
 # values without markup in them, references, short comments. They mean the same however
 # they are read; everything else, and tags whose content is read in another way, is fed to
 # the library.
+_ATTRS = r'((?:[ \t\r\n\f]+[a-z][a-z0-9-]*="[^"<>&]*")*)[ \t\r\n\f]*'
 _PLAIN = re.compile(
     r"([^<&]+)"
-    r'|<([a-z][a-z0-9]*)((?:[ \t\r\n\f]+[a-z][a-z0-9-]*="[^"<>&]*")*)[ \t\r\n\f]*>'
+    rf"|<([a-z][a-z0-9]*){_ATTRS}(/?)>"
     r"|</([a-z][a-z0-9]*)>"
     r"|&([a-zA-Z][a-zA-Z0-9]*);"
     r"|&#([0-9]+);"
-    r"|(<!--[^->]*-->)"
+    r"|(<!--[^->]*-->|<!(?:DOCTYPE|doctype) [a-z]+>)"
 )
-_TEXT, _START, _END, _ENTITY, _CHAR = 1, 3, 4, 5, 6
+_PLAIN_MUTED = re.compile(rf"<(script|style){_ATTRS}>[^<]*(?:<(?![/!])[^<]*)*</\1>")
+_TEXT, _START, _END, _ENTITY, _CHAR = 1, 4, 5, 6, 7
 _PLAIN_ATTRS = re.compile(r'([a-z][a-z0-9-]*)="([^"]*)"').findall
 _OTHER_CONTENT = frozenset(
     "iframe math noembed noframes noscript plaintext script style svg textarea title xmp".split()
@@ -87,19 +89,29 @@ class PageTree(HTMLParser):
                 self._pending.append(plain[1])
             elif kind == _START:
                 if plain[2] in _OTHER_CONTENT:
-                    at = self._feed_odd_piece(html, at)
+                    at = self._read_other_content(html, at)
                     continue
-                self._start(plain[2], dict(_PLAIN_ATTRS(plain[3])) if plain[3] else {})
+                attrs = dict(_PLAIN_ATTRS(plain[3])) if plain[3] else {}
+                (self._start_and_end if plain[4] else self._start)(plain[2], attrs)
             elif kind == _END:
-                self.handle_endtag(plain[4])
+                self.handle_endtag(plain[5])
             elif kind == _ENTITY:
-                self.handle_entityref(plain[5])
+                self.handle_entityref(plain[6])
             elif kind == _CHAR:
-                self.handle_charref(plain[6])
+                self.handle_charref(plain[7])
             else:
                 self._end_text()
             at = plain.end()
 
+    def _read_other_content(self, html: str, at: int) -> int:
+        """A script or style without end tags or comments in it holds nothing of the page."""
+        plain = _PLAIN_MUTED.match(html, at)
+        if plain is None:
+            return self._feed_odd_piece(html, at)
+        self._open_tag(plain[1], dict(_PLAIN_ATTRS(plain[2])))
+        self._close_tag(plain[1])
+        return plain.end()
+
     def _feed_odd_piece(self, html: str, at: int) -> int:
         """Feed the library until it has taken in all it was given; returns the next place.
 
@@ -117,8 +129,6 @@ class PageTree(HTMLParser):
                 return at
 
     def _end_text(self) -> None:
-        if not self._pending:
-            return
         text = "".join(self._pending)
         self._pending.clear()
         if self._muted or not text.strip():
@@ -134,7 +144,8 @@ class PageTree(HTMLParser):
         self._muted -= tag in MUTED_TAGS
 
     def _close_tag(self, tag: str) -> None:
-        self._end_text()
+        if self._pending:
+            self._end_text()
         if not self._open_tags[tag]:
             return
         while self._open[-1][2] != tag:
@@ -142,15 +153,16 @@ class PageTree(HTMLParser):
         self._pop()
 
     def _open_tag(self, tag: str, attrs: dict[str, str]) -> None:
-        self._end_text()
-        parent = self._open[-1][1] if self._open else None
-        depth = len(self._open)
-        self._open.append((len(self.ends), self.count, tag))
+        if self._pending:
+            self._end_text()
+        number, stack = self.count, self._open
+        parent = stack[-1][1] if stack else None
+        self._elements.append((number, parent, len(stack), tag, attrs))
+        stack.append((len(self.ends), number, tag))
         self._open_tags[tag] += 1
         self._muted += tag in MUTED_TAGS
-        self._elements.append((self.count, parent, depth, tag, attrs))
-        self.ends.append(self.count)
-        self.count += 1
+        self.ends.append(number)
+        self.count = number + 1
 
     def updatepos(self, i, j):
         # Line numbers are not used; counting them costs a tenth of the parse.
@@ -166,7 +178,10 @@ class PageTree(HTMLParser):
             self._closed_void[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
-        self._open_tag(tag, {name: value or "" for name, value in attrs})
+        self._start_and_end(tag, {name: value or "" for name, value in attrs})
+
+    def _start_and_end(self, tag: str, attrs: dict[str, str]) -> None:
+        self._open_tag(tag, attrs)
         self.handle_endtag(tag)
 
     def handle_endtag(self, tag):

@@ -51,7 +51,9 @@ PIECES = st.lists(
          '<a href="u">', '<a href="u" >', "<a href=u>", '<A HREF="u&amp;v">', "</a>", "<script>1<2</script>",
          "<!-- c -->", "<!-->", "<!-- a -- b -->", "<!--", "-->", "<script>", "</script>", "</SCRIPT >",
          "<style>", "</style>", "<textarea>", "</textarea>", "<![CDATA[x]]>", "<svg>", "</svg>", "&#12", "&am",
-         '<a title="x>y">', "<a title='&lt;'>", "<p\n>", "</p >", '"', "'", "=", "&eacute;", "&#233;", "&#x1F600;", "&nope;", "<", ">", "</", "<div", '<img src="s"/>',
+         '<a title="x>y">', "<a title='&lt;'>", "<p\n>", "</p >", '"', "'", "=", "&eacute;", "&#233;", "&#x1F600;", "&nope;", "<", ">", "</", "<div", '<img src="s"/>', '<a href="u" />', "<b/>", "<script/>", '<script src="u">x&amp;y</script>', "<style>p{}</style>", "<script>if(a<b)</script>", "<script>'</p>'</script>",
+         "<script><!-- </script> --></script>", "<script>a<</script>", "<!DOCTYPE html>", "<!doctype html>",
+         "<!DOCTYPE html PUBLIC 'x'>", '<p class="x"/ >',
          "<img>", "<title>t</title>", "<?pi?>", "<!DOCTYPE html>", "é", " ", "\n", '<i data-x="1" y>', "&"]
     ),
     max_size=30,
