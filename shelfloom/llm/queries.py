@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfloom.llm import decontam, mixing
+from shelfloom.llm import decontam, mixing, near_dup
 from shelfloom.llm.common import load
 from shelfloom.llm.registry import query
 
@@ -68,3 +68,27 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op8_benchmark_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(load(spark, sf_dir), load(spark, sf_dir, "benchmark"))
+
+
+@query(
+    "op3_near_duplicates",
+    r"""
+    WITH RECURSIVE d AS (
+      SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                        '[^\x20\x09-\x0D]+') AS w FROM documents),
+    s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w[1]]
+                 ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS x FROM d),
+    n AS (SELECT doc_id, len(x)::BIGINT AS n, x FROM s),
+    e AS (SELECT doc_id, n, unnest(x) AS g FROM n),
+    p AS (SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.g = b.g AND a.doc_id < b.doc_id
+          AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+          GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+    l AS (SELECT a, b FROM p UNION ALL SELECT b, a FROM p),
+    r(x, y) AS (SELECT doc_id, doc_id FROM n UNION SELECT r.x, l.b FROM r JOIN l ON l.a = r.y),
+    c AS (SELECT x AS doc_id, min(y) AS component_id FROM r GROUP BY 1)
+    SELECT n.doc_id, n.n AS n_shingles, component_id, n.doc_id = component_id AS kept FROM n JOIN c USING (doc_id)
+    """,
+)
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dup.near_duplicates(load(spark, sf_dir), words=2)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
