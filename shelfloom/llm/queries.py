@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shelfloom.llm import decontam, mixing, near_dup
+from shelfloom.llm import decontam, mixing, near_dup, substring
 from shelfloom.llm.common import load
 from shelfloom.llm.registry import query
 
@@ -92,3 +93,24 @@ def op8_benchmark_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dup.near_duplicates(load(spark, sf_dir), words=2)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query(
+    "op10_repeated_passages",
+    f"""
+    WITH d AS (SELECT doc_id, {_BLANK.format("text")} AS w FROM documents),
+    v AS (SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS g
+          FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d WHERE len(w) >= 20)),
+    o AS (SELECT doc_id, i, row_number() OVER (PARTITION BY g ORDER BY doc_id, i) AS nth FROM v),
+    gone AS (SELECT doc_id, p FROM (SELECT doc_id, unnest(range(i, i + 20)) AS p FROM o WHERE nth > 1) GROUP BY 1, 2),
+    t AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM d),
+    k AS (SELECT t.doc_id, count(gone.p)::BIGINT AS n_removed,
+                 string_agg(CASE WHEN gone.p IS NULL THEN x END, ' ' ORDER BY t.p) AS kept
+          FROM t LEFT JOIN gone ON gone.doc_id = t.doc_id AND gone.p = t.p GROUP BY 1)
+    SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+    FROM d LEFT JOIN k USING (doc_id)
+    """,
+)
+def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = substring.without_repeats(load(spark, sf_dir))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
