@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfloom.llm import decontam, mixing, near_dup, substring
+from shelfloom.llm import decontam, mixing, near_dup, sharding, substring
 from shelfloom.llm.common import load
 from shelfloom.llm.registry import query
 
@@ -114,3 +114,11 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = substring.without_repeats(load(spark, sf_dir))
     return left.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query("op1_kd_shards")
+def op1_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir).withColumn("text_crc32", F.crc32("text"))
+    return sharding.kd_shards(docs, shards=16).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
