@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfloom.llm import decontam, mixing, near_dup, sharding, substring
+from shelfloom.llm import decontam, language, mixing, near_dup, sharding, substring
 from shelfloom.llm.common import load
 from shelfloom.llm.registry import query
 
@@ -122,3 +122,12 @@ def op1_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.kd_shards(docs, shards=16).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )
+
+
+@query("op6_language_id")
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir)
+    held_out = language.fold(F.col("doc_id"), 3) == 1
+    tagger = language.train_tagger(docs.filter(~held_out))
+    tagged = language.tag_languages(docs.select("doc_id", "text"), tagger, "lang_pred", "score")
+    return tagged.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
