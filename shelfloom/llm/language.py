@@ -30,7 +30,7 @@ TRAIN_ROWS, TRAIN_WORDS, PIECE = 4000, 3000, 30
 HIDDEN, EMBED, EPOCHS, BATCH, RATE = 16, 12, 6, 256, 0.01
 UNKNOWN = "und"
 #: Distinct words that a task keeps the labels of.
-_CACHE = 200_000
+_CACHE = 400_000
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -216,21 +216,26 @@ def train_tagger(labelled: DataFrame, rows: int = TRAIN_ROWS, words: int = TRAIN
 
 def _labeller(tagger: ByteTagger, lang: str, score: str) -> Callable[[], Callable]:
     def make() -> Callable:
-        known: dict[bytes, np.ndarray] = {}
+        place: dict[bytes, int] = {}
+        sums_of = np.empty((0, len(tagger.languages) + 1))
 
         def cells(batch: pa.RecordBatch) -> list:
+            nonlocal sums_of
             counts = [Counter(pieces(text)) if ok and text else None for text, ok in zip(texts_of(batch, "_text"), batch["_letters"].to_pylist(), strict=True)]
-            nonlocal known
-            if len(known) > _CACHE:
-                known = {}
-            new = [w for w in {w for c in counts if c for w in c} if w not in known]
-            known.update(zip(new, tagger.word_sums(new) if new else (), strict=True))
+            if len(place) > _CACHE:
+                place.clear()
+                sums_of = sums_of[:0]
+            new = [w for w in dict.fromkeys(w for c in counts if c for w in c) if w not in place]
+            if new:
+                place.update(zip(new, range(len(place), len(place) + len(new)), strict=True))
+                sums_of = np.concatenate([sums_of, tagger.word_sums(new)])
             names, scores = [], []
             for own in counts:
                 if not own:
                     names.append(UNKNOWN), scores.append(0.0)
                     continue
-                sums = np.fromiter(own.values(), np.float64, len(own)) @ np.stack([known[w] for w in own])
+                at = np.fromiter(map(place.__getitem__, own), np.int64, len(own))
+                sums = np.fromiter(own.values(), np.float64, len(own)) @ sums_of[at]
                 best = int(sums[:-1].argmax())
                 names.append(tagger.languages[best])
                 scores.append(float(min(1.0, sums[best] / sums[-1])))

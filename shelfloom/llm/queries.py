@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfloom.llm import decontam, language, mixing, near_dup, sharding, substring
+from shelfloom.llm import (
+    decontam,
+    language,
+    lattice,
+    licenses,
+    mixing,
+    near_dup,
+    quality_rules,
+    resampling,
+    sharding,
+    substring,
+)
 from shelfloom.llm.common import load
 from shelfloom.llm.registry import query
 
@@ -119,7 +130,7 @@ def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_kd_shards")
 def op1_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir).withColumn("text_crc32", F.crc32("text"))
-    return sharding.kd_shards(docs, shards=16).select(
+    return sharding.kd_shards(docs, shards=16, columns=["doc_id", "text_crc32"]).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )
 
@@ -131,3 +142,29 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     tagger = language.train_tagger(docs.filter(~held_out))
     tagged = language.tag_languages(docs.select("doc_id", "text"), tagger, "lang_pred", "score")
     return tagged.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query("op7_adaptive_rules")
+def op7_adaptive_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality_rules.judged(load(spark, sf_dir))
+    return found.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
+@query("op9_lattice_score")
+def op9_lattice_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir)
+    held_out = language.fold(F.col("doc_id"), 7) == 2
+    return lattice.scores(docs, lattice.train(docs.filter(~held_out)), held_out)
+
+
+@query("op2_license_scan")
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.labelled(load(spark, sf_dir))
+
+
+@query("op5_importance_resampling")
+def op5_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good = load(spark, sf_dir, "labels").filter("quality = 1 AND toxic = 0")
+    return resampling.resample(load(spark, sf_dir), good)

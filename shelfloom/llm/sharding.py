@@ -121,11 +121,14 @@ def _split_points(units: DataFrame, nodes: Sequence[Node], dimensions: int) -> d
     return {n: (s[0], s[1] if abs(s[3] + s[5] - s[4]) < abs(s[3] - s[4]) else s[1] - 1) for n, s in state.items()}
 
 
-def kd_shards(docs: DataFrame, shards: int | None = None, target_bytes: int | None = None) -> DataFrame:
+def kd_shards(
+    docs: DataFrame, shards: int | None = None, target_bytes: int | None = None, columns: Sequence[str] | None = None
+) -> DataFrame:
     """The rows of ``docs`` with shard (int), slot (long) and size (long) added.
 
     Give the number of shards, or the bytes that a leaf should have: then there are as many
-    shards as the bytes need. ``size`` is the UTF-8 bytes of the text plus 1. Slots number
+    shards as the bytes need. ``columns`` are those to keep, all by default; without the text
+    among them no text is shuffled. ``size`` is the UTF-8 bytes of the text plus 1. Slots number
     the rows of a shard from 0 without gaps, by doc_id and size.
 
     Rows with equal texts share a shard, also rows with a NULL text or empty ones. So a group
@@ -136,10 +139,10 @@ def kd_shards(docs: DataFrame, shards: int | None = None, target_bytes: int | No
     """
     if (shards is None) == (target_bytes is None):
         raise ValueError("give shards or target_bytes")
-    own = [c for c in docs.columns if c.lower() not in ("shard", "slot", "size")]
+    own = [c for c in (columns or docs.columns) if c.lower() not in ("shard", "slot", "size")]
     has = {c.lower() for c in docs.columns}
     missing = [c for c in ("source", "lang") if c not in has]
-    placed = docs.select(*own).withColumns(
+    placed = docs.withColumns(
         {
             "size": text_bytes(F.col("text")),
             "_unit_a": F.xxhash64(F.lit(1), "text"),
@@ -181,8 +184,9 @@ def kd_shards(docs: DataFrame, shards: int | None = None, target_bytes: int | No
     names = _rows(units.sparkSession, [(n.number, n.first) for n in leaves], "node int,shard int")
     where = current.join(F.broadcast(names), "node").select(F.col("unit_a").alias("_a"), F.col("unit_b").alias("_b"), "shard")
     where = materialize(where, "unit_shards")
-    sharded = placed.join(where, (F.col("_unit_a") == F.col("_a")) & (F.col("_unit_b") == F.col("_b"))).drop("_a", "_b")
+    sharded = placed.select(*own, "size", "_unit_a", "_unit_b").join(where, (F.col("_unit_a") == F.col("_a")) & (F.col("_unit_b") == F.col("_b"))).drop("_a", "_b")
     # Number all rows by shard; a shard's slots start after the rows of the shards before it.
-    numbered = materialize(number_rows(sharded, ["shard", "doc_id", "size", "_unit_a"], 0, "_number"), "numbered")
+    order = ["shard", *(["doc_id"] if "doc_id" in own else []), "size", "_unit_a"]
+    numbered = number_rows(sharded, order, 0, "_number")
     starts = numbered.groupBy("shard").agg(F.min("_number").alias("_first"))
     return numbered.join(F.broadcast(starts), "shard").select(*own, "size", "shard", (F.col("_number") - F.col("_first")).alias("slot"))
