@@ -3,18 +3,18 @@
 1. One Python pass gives each text the size and a 128-bit hash of its shingle set, the keys
    of its LSH bands and a packed signature: the low bits of every minimum, one bit plane
    after the other. Texts with equal sets form a class; only its first document goes on.
-2. Band buckets give candidates: each member with the least and the greatest class of its
-   bucket. A candidate's similarity is estimated from bit counts of the xor of the packed
-   signatures, corrected for chance collisions. Where the estimate is near the threshold or
-   above, the full sets are compared.
+2. Band buckets give candidates. First every class is paired with the least and the greatest
+   class of all its buckets. A candidate's similarity is estimated from bit counts of the xor
+   of the packed signatures, corrected for chance collisions. Where the estimate is near the
+   threshold or above, the full sets are compared.
 3. Confirmed links give components. In a bucket whose members are all in one component,
-   nothing is left to find. In the others, every member outside the bucket's main component
-   is estimated against all members in other components, and confirmed links join these.
+   nothing is left to find. In the others, each member outside the bucket's main component
+   is first paired with one member of that, and last with all members in other components.
    So no link that shares a bucket is lost, and groups of copies never become all pairs.
 
 The chance that a pair of similarity ``s`` shares no bucket is ``(1 - s**rows) ** bands``:
-with 40 bands of 5 rows 1.3e-7 at 0.8. The estimate has a standard deviation of about 0.035
-there; the margin of 0.25 is some seven of these.
+with 40 bands of 5 rows 1.3e-7 at 0.8. The estimate has a standard deviation of about 0.029
+there; the margin of 0.15 is five of these.
 """
 
 from __future__ import annotations
@@ -30,8 +30,8 @@ from shelfloom.llm.common import add_columns, free_name, gram_hashes, long_of, m
 from shelfloom.llm.components import components
 from shelfloom.sources.scratch import materialize
 
-BANDS, ROWS, BITS = 40, 5, 2
-MARGIN = 0.25
+BANDS, ROWS, BITS = 40, 5, 4
+MARGIN = 0.15
 _CHUNK = 2048
 
 
@@ -191,8 +191,6 @@ def near_duplicates(
         "classes",
     )
     members = first.select("node", "n_shingles", "packed", F.explode("keys").alias("bucket"))
-    texts = docs.select(row_key().alias("key"), F.col("text").cast("binary").alias("text"))
-
     # Buckets of one class have no pair; they are most, and leave here.
     buckets = (
         first.select("node", F.explode("keys").alias("bucket"))
@@ -200,46 +198,61 @@ def near_duplicates(
         .agg(F.min("node").alias("low"), F.max("node").alias("high"))
         .filter("low < high")
     )
-    buckets = materialize(buckets, "buckets")
-    shared = materialize(members.join(buckets, "bucket"), "members")
-    ends = shared.select("node", F.explode(F.array("low", "high")).alias("other")).filter("node <> other")
-    pairs = ends.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+    shared = materialize(members.join(materialize(buckets, "buckets"), "bucket"), "members")
+    # Only texts that share a bucket are ever compared: all texts are shuffled once.
+    wanted = shared.select(F.col("node").alias("key")).distinct()
+    texts = docs.select(row_key().alias("key"), F.col("text").cast("binary").alias("text"))
+    texts = materialize(texts.join(wanted, "key", "left_semi").dropDuplicates(["key", "text"]), "texts")
     sign = first.select("node", "n_shingles", "packed")
     a = sign.select(F.col("node").alias("a"), F.col("n_shingles").alias("n_a"), F.col("packed").alias("packed_a"))
     b = sign.select(F.col("node").alias("b"), F.col("n_shingles").alias("n_b"), F.col("packed").alias("packed_b"))
-    worth = _worth_a_look(pairs.join(a, "a").join(b, "b"), minima, per_hundred)
-    worth = materialize(worth, "pairs")
-    links = materialize(_confirm(worth, texts, words, per_hundred), "links")
-    labels = materialize(components(links), "labels")
 
-    # What is left: members of buckets that lie in several components.
-    def labelled(nodes: DataFrame) -> DataFrame:
+    def ordered(pairs: DataFrame, x: str, y: str) -> DataFrame:
+        return pairs.filter(F.col(x) != F.col(y)).select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct()
+
+    def labelled(nodes: DataFrame, labels: DataFrame) -> DataFrame:
         joined = nodes.join(labels.withColumnRenamed("node", "_n"), F.col("node") == F.col("_n"), "left")
         return joined.withColumn("label", F.coalesce("component", "node")).drop("_n", "component")
 
-    named = materialize(labelled(shared.drop("low", "high")), "named")
-    sizes = named.groupBy("bucket", "label").agg(F.count("*").alias("n"))
-    mixed = (
-        sizes.groupBy("bucket")
-        .agg(F.count("*").alias("labels"), F.max_by("label", F.struct("n", "label")).alias("main"))
-        .filter("labels > 1")
-    )
-    open_members = materialize(named.join(mixed.select("bucket", "main"), "bucket"), "open")
-    outside = open_members.filter("label <> main").select(
-        "bucket", F.col("node").alias("x"), F.col("n_shingles").alias("n_a"), F.col("packed").alias("packed_a"), F.col("label").alias("label_x")
-    )
-    every = open_members.select(
-        "bucket", F.col("node").alias("y"), F.col("n_shingles").alias("n_b"), F.col("packed").alias("packed_b"), F.col("label").alias("label_y")
-    )
-    crossing = outside.join(every, "bucket").filter("label_x <> label_y")
-    crossing = crossing.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "n_a", "n_b", "packed_a", "packed_b")
-    # Pairs that the first look has seen and not linked need no second.
-    rest = _worth_a_look(crossing, minima, per_hundred).distinct().join(worth, ["a", "b"], "left_anti")
-    more = materialize(_confirm(materialize(rest, "pairs"), texts, words, per_hundred), "links")
-    links = links.unionByName(more)
+    def still_open(labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Members of buckets in several components, and those of them outside the main one."""
+        named = materialize(labelled(shared.drop("low", "high"), labels), "named")
+        mixed = (
+            named.groupBy("bucket", "label")
+            .agg(F.count("*").alias("n"))
+            .groupBy("bucket")
+            .agg(F.count("*").alias("labels"), F.max_by("label", F.struct("n", "label")).alias("main"))
+            .filter("labels > 1")
+        )
+        every = materialize(named.join(mixed.select("bucket", "main"), "bucket"), "open")
+        return every, every.filter("label <> main")
+
+    # Each class with the least and the greatest of its buckets.
+    ends = shared.groupBy("node").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    pairs = ordered(ends.select("node", F.explode(F.array("low", "high")).alias("other")), "node", "other")
+    tried = materialize(_worth_a_look(pairs.join(a, "a").join(b, "b"), minima, per_hundred), "pairs")
+    links = materialize(_confirm(tried, texts, words, per_hundred), "links")
+
+    # Each member outside its bucket's main component with one inside.
+    every, outside = still_open(materialize(components(links), "labels"))
+    inside = every.filter("label = main").groupBy("bucket").agg(F.min_by("node", F.xxhash64(F.lit(seed), "node")).alias("other"))
+    pairs = ordered(outside.select("bucket", "node").join(inside, "bucket"), "node", "other")
+    worth = _worth_a_look(pairs.join(a, "a").join(b, "b"), minima, per_hundred).join(tried, ["a", "b"], "left_anti")
+    worth = materialize(worth, "pairs")
+    tried = tried.unionByName(worth)
+    links = links.unionByName(materialize(_confirm(worth, texts, words, per_hundred), "links"))
+
+    # What is still apart: every pair across components, once.
+    every, outside = still_open(materialize(components(links), "labels"))
+    x = outside.select("bucket", F.col("node").alias("a"), F.col("n_shingles").alias("n_a"), F.col("packed").alias("packed_a"), F.col("label").alias("label_x"))
+    y = every.select("bucket", F.col("node").alias("b"), F.col("n_shingles").alias("n_b"), F.col("packed").alias("packed_b"), F.col("label").alias("label_y"), "main")
+    apart = (F.col("label_x") != F.col("label_y")) & ((F.col("label_y") == F.col("main")) | (F.col("a") < F.col("b")))
+    crossing = _worth_a_look(x.join(y, "bucket").filter(apart), minima, per_hundred)
+    worth = materialize(ordered(crossing, "a", "b").join(tried, ["a", "b"], "left_anti"), "pairs")
+    links = links.unionByName(materialize(_confirm(worth, texts, words, per_hundred), "links"))
     labels = materialize(components(links), "labels")
 
-    nodes = labelled(classes)
+    nodes = labelled(classes, labels)
     placed = signed.alias("s").join(
         nodes.alias("c"),
         (F.col("s.set_a") == F.col("c.set_a")) & (F.col("s.set_b") == F.col("c.set_b")) & (F.col("s.n_shingles") == F.col("c.n_shingles")),
