@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
+from shelfloom.plans.queries import QUERIES
 from tests.compare import connect, difference
 from tests.conftest import TESTDATA
 
@@ -17,7 +18,7 @@ def db():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, db, name):
     assert difference(entry.queries()[name], SQL[name], spark, SF_DIR, db) is None
 
