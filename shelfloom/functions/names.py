@@ -39,7 +39,7 @@ def integer_affinity(text: Column) -> Column:
     """Whole number stored in an INTEGER column for this text, else NULL."""
     trimmed = F.trim(text)
     number = real_affinity(text)
-    whole = (number == F.floor(number)) & (F.abs(number) < 9.0e18)
+    whole = (number == F.floor(number)) & (number >= -(2.0**63)) & (number < 2.0**63)
     return F.when(trimmed.rlike(r"^[+-]?[0-9]+$"), trimmed.try_cast("bigint")).otherwise(
         F.when(whole, number.try_cast("bigint"))
     )

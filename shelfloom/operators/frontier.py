@@ -98,7 +98,7 @@ def requeue_seeds(frontier: DataFrame, seeds: DataFrame) -> DataFrame:
     """The frontier with known seeds back to pending unless queued; dates stay."""
     hits = _distinct_seeds(seeds).withColumn("_seed", F.lit(True))
     again = F.col("_seed").isNotNull() & ~st.already_queued(F.col("status"))
-    return left_join_on(frontier, hits, "url", by="id").select(
+    return left_join_on(frontier, hits, "url").select(
         "id", "url", "discovered_at", "filename",
         F.when(again, F.lit(st.PENDING)).otherwise(F.col("status")).alias("status"),
     )
@@ -160,6 +160,11 @@ def claim(
     return table.withColumn(column, F.when(hit, F.lit(working)).otherwise(F.col(column)))
 
 
+def with_html(pages: DataFrame) -> DataFrame:
+    """Captures that are not empty."""
+    return pages.filter((F.col("html_chars") if "html_chars" in pages.columns else F.length("html")) > 0)
+
+
 def capture_index(pages: DataFrame) -> DataFrame:
     """(url, captured): one row per captured URL, without the html itself."""
     chars = F.col("html_chars") if "html_chars" in pages.columns else F.length("html")
@@ -173,7 +178,7 @@ def capture_index(pages: DataFrame) -> DataFrame:
 
 def fetch_outcome(frontier: DataFrame, pages: DataFrame, of: str = st.IN_PROGRESS) -> DataFrame:
     """All rows; those in status ``of`` become fetched and named, or failed for want of html."""
-    joined = left_join_on(frontier, capture_index(pages), "url", by="id")
+    joined = left_join_on(frontier, capture_index(pages), "url")
     captured, chosen = F.coalesce("captured", F.lit(False)), F.col("status") == of
     name = F.coalesce("filename", listing_filename(F.col("id")))
     return joined.withColumns(
@@ -185,8 +190,12 @@ def fetch_outcome(frontier: DataFrame, pages: DataFrame, of: str = st.IN_PROGRES
 
 
 def filename_once(frontier: DataFrame, names: DataFrame) -> DataFrame:
-    """Set the file name (url, new_filename) only where there is none yet."""
-    joined = left_join_on(frontier, names, "url", by="id")
+    """Set the file name (url, new_filename) only where there is none yet.
+
+    A URL that is named more than once takes the least name, so no row is multiplied.
+    """
+    names = names.groupBy("url").agg(F.min("new_filename").alias("new_filename"))
+    joined = left_join_on(frontier, names, "url")
     return joined.withColumn("filename", F.coalesce("filename", "new_filename")).drop(
         "new_filename"
     )

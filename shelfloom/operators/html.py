@@ -23,7 +23,6 @@ TOKEN_PATTERN = (
 REJECTED = "markup_rejected"
 UNSUPPORTED = "unsupported_site"
 _ROWS_PER_BATCH = 8192
-_MOST_SEARCHED = 32
 
 
 def html_tokens(pages: DataFrame) -> DataFrame:
@@ -185,16 +184,20 @@ def slot_names(rules: Iterable[PageRule]) -> list[str]:
     return list(dict.fromkeys(s.slot for rule in rules for s in rule.slots))
 
 
-def could_hold(html: Column, selector: Selector) -> Column:
-    """False only for html in which the selector matches nothing; looked up by plain search.
+def needles(selector: Selector) -> list[str]:
+    """Strings of which html has none only if the selector matches nothing in it.
 
     A match needs the selector's word in the html, or a character reference that can stand
     for a piece of the word. Markup the parser may refuse also counts, so that it is refused.
     """
     word = selector.attr[1] if selector.class_ is None else selector.class_.split()[0]
     references = sorted("&" + name.rstrip(";") for name, text in html5.items() if text in word)
-    needles = [word, "&#", "<![", *dict.fromkeys(references)]
-    return reduce(or_, (F.contains(html, F.lit(n)) for n in needles))
+    return [word, "&#", "<![", *dict.fromkeys(references)]
+
+
+def could_hold(html: Column, selector: Selector) -> Column:
+    """False only for html in which the selector matches nothing; looked up by plain search."""
+    return reduce(or_, (F.contains(html, F.lit(n)) for n in needles(selector)))
 
 
 def _html_to_parse(rules: dict[str, PageRule]) -> Column:
@@ -206,10 +209,11 @@ def _html_to_parse(rules: dict[str, PageRule]) -> Column:
     html = F.col("html")
     searched = {s: r.container for s, r in rules.items() if r.container is not None}
     searched = {s: c for s, c in searched.items() if c.class_ or c.attr}
-    if not searched or len(searched) > _MOST_SEARCHED:
+    if not searched:
         return html
-    tests = [(F.col("site") == s) & could_hold(html, c) for s, c in searched.items()]
-    return F.when(~F.col("site").isin(list(searched)) | reduce(or_, tests), html)
+    words = F.create_map(*[x for s, c in searched.items() for x in (F.lit(s), F.array(*map(F.lit, needles(c))))])
+    own = F.try_element_at(words, F.col("site"))
+    return F.when(own.isNull() | F.exists(own, lambda word: F.contains(html, word)), html)
 
 
 def page_items(pages: DataFrame, rules: dict[str, PageRule]) -> DataFrame:

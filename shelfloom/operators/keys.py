@@ -56,21 +56,22 @@ def spread(key: str, by: str) -> Column:
     return F.when(F.col(key).isNull(), F.col(by).cast("bigint"))
 
 
-def only_matching(wide: DataFrame, keys: DataFrame, key: str, most: int = 200_000) -> DataFrame:
-    """Rows of a wide table whose ``key`` is in ``keys``, if the keys are few; else all rows.
+def only_matching(wide: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows of a wide table whose ``key`` is in ``keys``, however many those are.
 
-    Narrows html before parsing without shuffling it. The number of keys is checked, up to
-    ``most``; beyond that everything is parsed and the join that follows drops the rest.
+    No hint: Spark broadcasts the keys if their size allows it.
     """
     keys = keys.select(key).filter(F.col(key).isNotNull()).distinct()
-    if keys.limit(most + 1).count() > most:
-        return wide
-    return wide.join(F.broadcast(keys), key, "left_semi")
+    return wide.join(keys, key, "left_semi")
 
 
-def left_join_on(left: DataFrame, right: DataFrame, key: str, by: str) -> DataFrame:
-    """Left join on a key that may be NULL in many left rows; right keys are unique."""
-    right = right.withColumnRenamed(key, "_key").withColumn("_none", F.lit(None).cast("bigint"))
-    left = left.withColumn("_spread", spread(key, by))
-    on = (F.col(key) == F.col("_key")) & F.col("_spread").eqNullSafe(F.col("_none"))
-    return left.join(right, on, "left").drop("_spread", "_none", "_key")
+def left_join_on(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Left join on a key that may be NULL in many left rows; right keys are unique.
+
+    NULL keys match nothing, yet a join would send all of them to one partition. They pass
+    beside the join, with NULLs for the right columns, and are never shuffled.
+    """
+    added = [f for f in right.schema.fields if f.name != key]
+    known = left.filter(F.col(key).isNotNull()).join(right.withColumnRenamed(key, "_key"), F.col(key) == F.col("_key"), "left")
+    others = left.filter(F.col(key).isNull()).withColumns({f.name: F.lit(None).cast(f.dataType) for f in added})
+    return known.drop("_key").unionByName(others)

@@ -63,12 +63,17 @@ def insert_products(products: DataFrame, candidates: DataFrame) -> DataFrame:
     )
 
 
-def product_fetch_outcome(products: DataFrame, pages: DataFrame) -> DataFrame:
-    """All products; the pending ones become fetched, failed or unfetchable."""
+def product_fetch_outcome(products: DataFrame, pages: DataFrame, retry: bool = False) -> DataFrame:
+    """All products; the pending ones become fetched, failed or unfetchable.
+
+    With ``retry``, failed products whose capture has come since count as pending.
+    """
     index = capture_index(pages).withColumnRenamed("url", "product_url")
-    joined = left_join_on(products, index, "product_url", by="id")
+    joined = left_join_on(products, index, "product_url")
     captured = F.coalesce("captured", F.lit(False))
     pending = F.col("fetch_status") == st.PENDING
+    if retry:
+        pending = pending | ((F.col("fetch_status") == st.FAILED) & captured)
     outcome = F.when(F.col("product_url").isNull(), F.lit(st.UNFETCHABLE)).otherwise(
         st.fetch_result(captured)
     )
@@ -122,7 +127,7 @@ def apply_parsed(
         key, F.col("reason").alias("_reason"), F.lit(True).alias("_found"),
         *[F.col(c).alias(f"_{c}") for c in values],
     )
-    joined = left_join_on(products, right, key, by=by)
+    joined = left_join_on(products, right, key)
     waiting = st.fetched_unparsed(F.col("fetch_status"), F.col("parse_status"))
     found, readable = F.col("_found").isNotNull(), F.col("_reason").isNull()
     done = waiting & found & readable
@@ -140,4 +145,4 @@ def product_with_source(products: DataFrame, frontier: DataFrame) -> DataFrame:
     One listing may hold very many products; the join's hot partitions are split by AQE.
     """
     sources = frontier.select(F.col("id").alias("source_page_id"), F.col("url").alias("source_url"))
-    return left_join_on(products, sources, "source_page_id", by="id")
+    return left_join_on(products, sources, "source_page_id")

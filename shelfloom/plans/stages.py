@@ -87,11 +87,13 @@ def run_stages(
 
     if "listing_parse" in stages:
         # html is reduced to product rows first; only those meet the frontier.
-        rows = write_snapshot(extract_listing(listing_pages, rules), root, "listing_products")
+        # An empty capture says nothing of the page and never replaces a full one.
+        full = fr.with_html(listing_pages)
+        rows = write_snapshot(extract_listing(full, rules), root, "listing_products")
         errors(error_rows(rows, "listing_parse"), "listing_parse")
         fetched = frontier().filter(F.col("status") == st.FETCHED)
         # A URL captured again counts with its last capture.
-        last = listing_pages.groupBy("url").agg(F.max("page_id").alias("page_id"))
+        last = full.groupBy("url").agg(F.max("page_id").alias("page_id"))
         ids = last.join(fetched.select(F.col("id").alias("source_page_id"), "url"), "url")
         found = (
             good_rows(rows)
@@ -104,12 +106,12 @@ def run_stages(
 
     if "product_fetch" in stages:
         table = fr.reset_stuck(products(), "fetch_status", st.FETCHING, st.PENDING)
-        write_snapshot(pr.product_fetch_outcome(table, product_pages), root, "products")
+        write_snapshot(pr.product_fetch_outcome(table, product_pages, retry=True), root, "products")
 
     if "product_parse" in stages:
         table = fr.reset_stuck(products(), "parse_status", st.PARSING, None)
         waiting = table.filter(st.fetched_unparsed(F.col("fetch_status"), F.col("parse_status")))
-        pages = only_matching(product_pages, waiting.select(F.col("product_url").alias("url")), "url")
+        pages = only_matching(fr.with_html(product_pages), waiting.select(F.col("product_url").alias("url")), "url")
         rows = write_snapshot(
             pr.parsed_values(extract_product(pages, rules)), root, "product_parses"
         )

@@ -13,7 +13,7 @@ from shelfloom.functions import status as st
 from shelfloom.operators import frontier as fr
 from shelfloom.operators import history as hi
 from shelfloom.operators import products as pr
-from shelfloom.operators.keys import number_rows, only_matching
+from shelfloom.operators.keys import left_join_on, number_rows, only_matching
 from shelfloom.operators.nested import BIN, descendants, first_descendant
 from shelfloom.rules import SITES
 from shelfloom.sources import scratch
@@ -231,11 +231,26 @@ def test_containment_over_bins(spark):
     assert {(r.page_id, r.container_id): r.node_id for r in got} == first
 
 
-def test_few_keys_narrow_and_many_do_not(spark):
+def test_keys_narrow_whatever_their_number(spark):
     wide = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "url STRING, html INT")
     keys = spark.createDataFrame([("a",), ("a",), (None,), ("z",)], "url STRING")
     assert rows_of(only_matching(wide, keys, "url"), "html") == [(1,)]
-    assert only_matching(wide, keys, "url", most=1).count() == 3
+    assert only_matching(wide, wide, "url").count() == 2
+
+
+def test_null_keys_pass_beside_the_join(spark):
+    left = spark.createDataFrame([("a", 1), (None, 2), (None, 3), ("b", 4)], "url STRING, id BIGINT")
+    right = spark.createDataFrame([("a", "x")], "url STRING, name STRING")
+    joined = left_join_on(left, right, "url")
+    assert rows_of(joined.orderBy("id"), "id", "name") == [(1, "x"), (2, None), (3, None), (4, None)]
+    assert "isnotnull(url" in joined._jdf.queryExecution().executedPlan().toString()
+
+
+def test_filename_once_with_a_url_captured_twice(spark):
+    frontier = every_state(spark).limit(3)
+    names = frontier.select("url", F.lit("n2").alias("new_filename"))
+    names = names.unionByName(names.withColumn("new_filename", F.lit("n1")))
+    assert fr.filename_once(frontier, names).count() == frontier.count()
 
 
 def test_status_filter_reaches_the_scan(spark):
