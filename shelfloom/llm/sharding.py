@@ -6,6 +6,7 @@ and id, as the number of its value followed by bits of its text's hash. So value
 such as a source with most rows, can still be cut at any weight. A node is split along the
 dimension in which it is widest, at the median weighted by bytes, or where a node's shards
 are odd in number, at the part that belongs to the left ones, until each leaf is one shard.
+A unit heavier than an even leaf is a leaf of its own; the tree divides the others evenly.
 
 Medians are distributed: bytes are summed per bin of the node's range, then per bin of the
 bin in which the median lies, and so on. Each round gives at most ``BINS`` sums a node,
@@ -74,6 +75,18 @@ def _rows(spark, values: Sequence[tuple], schema: str) -> DataFrame:
     return spark.range(1).select(F.inline(made))
 
 
+def _heavy_units(units: DataFrame, shards: int) -> list[tuple[int, int]]:
+    """Units above the even share of what the lighter ones leave, heaviest first: fewer than there are shards."""
+    left = units.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
+    found = []
+    for row in units.orderBy(F.desc("bytes"), "unit_a", "unit_b").select("unit_a", "unit_b", "bytes").limit(shards - 1).collect():
+        if row["bytes"] * (shards - len(found)) <= left:
+            break
+        found.append((row["unit_a"], row["unit_b"]))
+        left -= row["bytes"]
+    return found
+
+
 def _split_points(units: DataFrame, nodes: Sequence[Node], dimensions: int) -> dict[int, tuple[int, int]]:
     """Dimension and highest position of the left part for each node with more than one shard."""
     spark = units.sparkSession
@@ -132,7 +145,7 @@ def kd_shards(
     the rows of a shard from 0 without gaps, by doc_id and size.
 
     Rows with equal texts share a shard, also rows with a NULL text or empty ones. So a group
-    of copies larger than a leaf makes that leaf larger; all others stay near their share.
+    of copies larger than an even leaf is a shard of its own; all others share the rest evenly.
     NULL sources, languages and ids are values like others. Repeated rows are all kept, each
     with its own slot. With fewer texts than shards some shards are empty; an empty table
     gives an empty result. Columns named as the added ones are replaced; all others are kept.
@@ -158,8 +171,14 @@ def kd_shards(
     if shards is None:
         total = units.agg(F.sum("bytes")).first()[0] or 0
         shards = max(1, -(-total // target_bytes))
-    current = units.withColumn("node", F.lit(1))
-    open_nodes, leaves = [Node(1, 0, shards)], []
+    heavy = _heavy_units(units, shards)
+    # Node 0 and the negative ones are no part of the tree: each has one heavy unit.
+    current, leaves = units.withColumn("node", F.lit(1)), [Node(-i, i, 1) for i in range(len(heavy))]
+    if heavy:
+        table = _rows(units.sparkSession, [(a, b, -i) for i, (a, b) in enumerate(heavy)], "ha bigint,hb bigint,own int")
+        at = (F.col("unit_a") == F.col("ha")) & (F.col("unit_b") == F.col("hb"))
+        current = units.join(F.broadcast(table), at, "left").withColumn("node", F.coalesce("own", F.lit(1))).drop("ha", "hb", "own")
+    open_nodes = [Node(1, len(heavy), shards - len(heavy))]
     while any(n.shards > 1 for n in open_nodes):
         leaves += [n for n in open_nodes if n.shards == 1]
         open_nodes = [n for n in open_nodes if n.shards > 1]

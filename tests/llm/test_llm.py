@@ -205,3 +205,13 @@ def test_empty_tables(spark, awkward):
     assert licenses.labelled(none).count() == 0
     assert lattice.scores(none, lattice.train(none)).count() == 0
     assert resampling.resample(none, none).count() == 0
+
+
+def test_a_large_group_of_copies_is_one_shard(spark):
+    rows = [(i, "the same text again", "en", "a") if i % 3 == 0 else (i, f"text number {i + 100_000}", "en", "a") for i in range(1500)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    got = sharding.kd_shards(docs, shards=8).toPandas()
+    own = got[got.text == "the same text again"]
+    assert own["shard"].nunique() == 1 and len(own) == 500
+    others = got[got.text != "the same text again"].groupby("shard")["size"].sum()
+    assert len(others) == 7 and others.max() <= 1.1 * others.min() and own["shard"].iloc[0] not in others.index
