@@ -215,3 +215,17 @@ def test_a_large_group_of_copies_is_one_shard(spark):
     assert own["shard"].nunique() == 1 and len(own) == 500
     others = got[got.text != "the same text again"].groupby("shard")["size"].sum()
     assert len(others) == 7 and others.max() <= 1.1 * others.min() and own["shard"].iloc[0] not in others.index
+
+
+def test_fine_estimate_is_near_the_true_similarity(spark):
+    random = np.random.default_rng(1)
+    rows = []
+    for n in (20, 150, 3000):
+        every = random.permutation(np.unique(random.integers(0, 1 << 63, n, np.uint64)))
+        both, own = int(len(every) * 0.8), len(every) // 10
+        a, b = every[: both + own], np.concatenate([every[:both], every[both + own :]])
+        sketches = [near_dup.long_of(near_dup.fine_sketch(np.sort(x))).tolist() for x in (a, b, a)]
+        rows.append((both / len(every), *sketches))
+    frame = spark.createDataFrame(rows, "s double, a array<bigint>, b array<bigint>, same array<bigint>")
+    found = frame.select("s", near_dup.fine_estimated(F.col("a"), F.col("b")), near_dup.fine_estimated(F.col("a"), F.col("same"))).collect()
+    assert all(abs(s - e) < near_dup.FINE_MARGIN and abs(one - 1) < 1e-9 for s, e, one in found)
