@@ -7,10 +7,10 @@ probability is the product over its words and one end, and each distinct word of
 computed once.
 
 Piece weights start from the vocabulary's own scores: its order of merit, taken as ranks of
-a Zipf law. One round of expectation over training words, weighted by their counts, adapts
-them. Word counts are taken over all training documents; the round uses the
-``FREQUENT`` most frequent words, a bounded table that also serves as the map-side part of
-the join: counts of all other words are joined by a shuffle.
+a Zipf law. One round of expectation over all training words, weighted by their counts, adapts
+them: each task sums the expected uses of its words in the written table of counts, and one
+sum a piece goes to the driver. The ``FREQUENT`` most frequent words are a bounded table that
+is the map-side part of the count join: counts of all other words are joined by a shuffle.
 """
 
 from __future__ import annotations
@@ -42,6 +42,8 @@ END_HASH = int(long_of(word_hashes([END]))[0])
 _P = np.uint64(0x9E3779B97F4A7C15)
 _CELLS = 4_000_000
 _CACHE = 300_000
+#: Words and bytes whose expected uses are taken in one go.
+_WORDS, _BYTES = 50_000, 2_000_000
 
 
 def read_vocabulary(path: str) -> tuple[list[bytes], np.ndarray]:
@@ -157,8 +159,8 @@ class Lattice:
             np.add.at(total, found[row, end, m], np.exp(log_use) * counts[own][row])
         return total
 
-    def adapted(self, words: list[bytes], counts: np.ndarray) -> Lattice:
-        uses = self.expected(words, counts.astype(np.float64))
+    def adapted(self, uses: np.ndarray) -> Lattice:
+        """The lattice after one round in which the pieces had these expected uses."""
         if uses.sum() == 0:
             return self
         own = np.exp(self.weights)
@@ -187,6 +189,40 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out(counts)
 
 
+def _uses(lattice: Lattice):
+    """Per task: (piece, uses), the expected uses of each piece in all its words but the end."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(lattice.hashes))
+        words: list[bytes] = []
+        counts: list[int] = []
+        held = 0
+        for batch in batches:
+            for word, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if word == END:
+                    continue
+                words.append(word), counts.append(n)
+                held += len(word)
+                if len(words) >= _WORDS or held >= _BYTES:
+                    total += lattice.expected(words, np.array(counts, np.float64))
+                    words, counts, held = [], [], 0
+        if words:
+            total += lattice.expected(words, np.array(counts, np.float64))
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(total[used])], ["piece", "uses"])
+
+    return run
+
+
+def expected_uses(counts: DataFrame, lattice: Lattice) -> np.ndarray:
+    """Expected uses of each piece over the whole table of words; at most a row a piece reaches the driver."""
+    each = counts.select("word", "n").mapInArrow(_uses(lattice), "piece int, uses double")
+    total = np.zeros(len(lattice.hashes))
+    for row in each.groupBy("piece").agg(F.sum("uses").alias("uses")).collect():
+        total[row["piece"]] = row["uses"]
+    return total
+
+
 @dataclass
 class Trained:
     """What scoring needs: the table of all counts, its totals, the frequent words, the lattice."""
@@ -217,8 +253,7 @@ def train(texts: DataFrame, vocabulary: str = VOCABULARY, frequent: int = FREQUE
     rows = sorted((r["hash"], bytes(r["word"]), r["n"]) for r in rows)
     ends = next((n for _, word, n in rows if word == END), 0) or counts.filter(F.col("word") == F.lit(END)).agg(F.sum("n")).first()[0] or 0
     lattice = Lattice.of(*read_vocabulary(vocabulary))
-    known = [(w, n) for _, w, n in rows if w != END]
-    lattice = lattice.adapted([w for w, _ in known], np.array([n for _, n in known], np.int64))
+    lattice = lattice.adapted(expected_uses(counts, lattice))
     part = (ends + 1) / (total[0] + 2)
     table = {"hash": np.array([h for h, _, _ in rows], np.int64), "n": np.array([n for _, _, n in rows], np.int64)}
     return Trained(counts.select("hash", "n"), total[0], total[1], table, lattice, math.log10(part), math.log10(1 - part))

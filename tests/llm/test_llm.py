@@ -123,6 +123,18 @@ def test_lattice_sums_all_segmentations():
     assert uses.min() >= 0 and 4 <= uses.sum() <= sum(map(len, words)) + 12
 
 
+def test_piece_weights_learn_from_every_word(spark):
+    texts = ["the the the the cat", "the transportation of a zebra", None, "", "x" * 300 + " éq the"]
+    counts = Counter(w for t in texts for w in lattice.lower_words(t and t.encode()))
+    plain = lattice.Lattice.of(*lattice.read_vocabulary(lattice.VOCABULARY))
+    uses, own = plain.expected(list(counts), np.array(list(counts.values()), float)), np.exp(plain.weights)
+    weights = np.log((1 - lattice.PRIOR) * uses / uses.sum() + lattice.PRIOR * own / own.sum())
+    frame = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    for frequent in (0, 1, 2, 1000):
+        model = lattice.train(frame, frequent=frequent)
+        assert len(model.frequent["hash"]) <= frequent and np.allclose(model.lattice.weights, weights, rtol=1e-9)
+
+
 def test_tagger_gradients_and_held_out_accuracy(spark, docs):
     tagger = language.ByteTagger.fresh(["a", "b"])
     tagger.weights = {k: v.astype(np.float64) for k, v in tagger.weights.items()}
