@@ -2,30 +2,34 @@
 
 Each text is measured once. The ratios go into sketches that count values in bins of equal
 relative width (``WIDTH``); such sketches are merged by adding counts, so they are ordinary
-aggregations with partial results, and the same in every run. From the quartiles of its
-group's sketch each ratio gets an upper fence; groups with fewer than ``LEAST_ROWS`` rows use
-the merged sketch of their language, and languages with fewer that of all rows. The fences
-are joined to the rows, and a row above any of them is rejected.
+aggregations with partial results, and the same in every run. From the median and the upper
+quantile of its group's sketch each ratio gets an upper fence. The quantiles of a language
+are drawn towards those of all rows and those of a source towards its language's, with the
+weight of ``SHRINK_ROWS`` rows, so no fence jumps at a row count. A group's fence is at most
+its parent's, so a source full of junk does not raise its own. The fences are joined to the
+rows, and a row above any of them is rejected.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfloom.llm.common import add_columns, gram_hashes, texts_of, word_hashes
 from shelfloom.sources.scratch import materialize
 
-WIDTH, LEAST_ROWS = 1.02, 200
-#: A fence is q3 + SPREAD * (q3 - q1) + the least distance of its ratio.
-SPREAD = 6.0
+WIDTH, SHRINK_ROWS = 1.02, 200
+UPPER = 0.9
+#: A fence is upper + SPREAD * (upper - median), at least the median and the ratio's least distance.
+SPREAD = 3.0
+#: Ratio: its counts, the least distance, and whether it is a share, of at most 1 in any language.
 RATIOS = {
-    "symbols": ("n_symbols", "word_chars", 0.05),
-    "dup_lines": ("n_dup_lines", "n_lines", 0.2),
-    "repeats": ("n_repeat_words", "n_words", 0.15),
-    "word_length": ("word_chars", "n_words", 2.0),
+    "symbols": ("n_symbols", "word_chars", 0.05, True),
+    "dup_lines": ("n_dup_lines", "n_lines", 0.2, True),
+    "repeats": ("n_repeat_words", "n_words", 0.15, True),
+    "word_length": ("word_chars", "n_words", 2.0, False),
 }
 
 _BLANKS = b" \t\n\r\x0b\x0c"
@@ -74,38 +78,49 @@ def measured(docs: DataFrame) -> DataFrame:
 
 def fences(rows: DataFrame) -> DataFrame:
     """(lang, source, ratio, fence) for every group of rows with words."""
-    value = F.explode(F.create_map(*[x for name, (a, b, _) in RATIOS.items() for x in (F.lit(name), F.col(a) / F.col(b))]))
+    value = F.explode(F.create_map(*[x for name, (a, b, *_) in RATIOS.items() for x in (F.lit(name), F.col(a) / F.col(b))]))
     long = rows.filter("n_words > 0").select("lang", "source", value.alias("ratio", "value"))
     bin_of = F.when(F.col("value") > 0, F.floor(F.log("value") / F.log(F.lit(WIDTH))))
     sketch = materialize(long.groupBy("lang", "source", "ratio", bin_of.alias("bin")).agg(F.count("*").alias("n")), "sketch")
 
-    def quartiles(level: list[str], name: str) -> DataFrame:
+    def quantiles(level: list[str], name: str) -> DataFrame:
         merged = sketch.groupBy(*level, "ratio", "bin").agg(F.sum("n").alias("n"))
         group = Window.partitionBy(*level, "ratio")
         # NULL is the bin of zeros and sorts first.
         to = F.sum("n").over(group.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        mid = F.coalesce(F.pow(F.lit(WIDTH), F.col("bin") + 0.5), F.lit(0.0))
-        placed = merged.withColumns({"to": to, "all": F.sum("n").over(group), "mid": mid})
+        at = F.coalesce(F.pow(F.lit(WIDTH), F.col("bin") + 0.5), F.lit(0.0))
+        placed = merged.withColumns({"to": to, "all": F.sum("n").over(group), "at": at})
         found = placed.groupBy(*level, "ratio").agg(
-            F.max("all").alias("rows"),
-            F.min(F.when(F.col("to") >= 0.25 * F.col("all"), F.col("mid"))).alias("q1"),
-            F.min(F.when(F.col("to") >= 0.75 * F.col("all"), F.col("mid"))).alias("q3"),
-        )
-        least = F.element_at(F.create_map(*[x for n, (_, _, d) in RATIOS.items() for x in (F.lit(n), F.lit(d))]), F.col("ratio"))
-        fence = F.col("q3") + SPREAD * (F.col("q3") - F.col("q1")) + least
-        return found.select(*[F.col(c).alias(f"{c}_{name}") for c in level], F.col("ratio").alias(f"ratio_{name}"), "rows", fence.alias("fence")).select(
-            *[f"{c}_{name}" for c in level], f"ratio_{name}", F.col("rows").alias(f"rows_{name}"), F.col("fence").alias(f"fence_{name}")
+            F.max("all").alias(f"rows_{name}"),
+            F.min(F.when(F.col("to") >= 0.5 * F.col("all"), F.col("at"))).alias(f"mid_{name}"),
+            F.min(F.when(F.col("to") >= UPPER * F.col("all"), F.col("at"))).alias(f"upper_{name}"),
         )
+        return found.withColumnsRenamed({c: f"{c}_{name}" for c in (*level, "ratio")})
+
+    def shrunk(value: str, level: str, parent: Column) -> Column:
+        rows = F.col(f"rows_{level}")
+        return (rows * F.col(f"{value}_{level}") + SHRINK_ROWS * parent) / (rows + SHRINK_ROWS)
+
+    def of_ratio(place: int) -> Column:
+        return F.element_at(F.create_map(*[F.lit(x) for n, values in RATIOS.items() for x in (n, values[place])]), F.col("ratio_own"))
 
-    own, by_lang, every = quartiles(["lang", "source"], "own"), quartiles(["lang"], "lang"), quartiles([], "all")
+    def fence(mid: Column, upper: Column) -> Column:
+        free = F.greatest(upper + SPREAD * (upper - mid), mid + of_ratio(2))
+        # No text has a share above 1: midway between the median and 1 is still in reach.
+        return F.when(of_ratio(3), F.least(free, (1 + mid) / 2)).otherwise(free)
+
+    own, by_lang, every = quantiles(["lang", "source"], "own"), quantiles(["lang"], "lang"), quantiles([], "all")
     joined = own.join(by_lang, F.col("lang_own").eqNullSafe(F.col("lang_lang")) & (F.col("ratio_own") == F.col("ratio_lang"))).join(
         every, F.col("ratio_own") == F.col("ratio_all")
     )
-    fence = F.when(F.col("rows_own") >= LEAST_ROWS, F.col("fence_own")).when(F.col("rows_lang") >= LEAST_ROWS, F.col("fence_lang"))
+    of_all = fence(F.col("mid_all"), F.col("upper_all"))
+    mid, upper = (shrunk(v, "lang", F.col(f"{v}_all")) for v in ("mid", "upper"))
+    # Words of some languages are long, or have no blanks between them: only shares are bound by all rows.
+    of_lang = F.when(of_ratio(3), F.least(fence(mid, upper), of_all)).otherwise(fence(mid, upper))
+    of_own = F.least(fence(shrunk("mid", "own", mid), shrunk("upper", "own", upper)), of_lang)
     return joined.select(
-        F.col("lang_own").alias("lang"), F.col("source_own").alias("source"), F.col("ratio_own").alias("ratio"),
-        F.coalesce(fence, F.col("fence_all")).alias("fence"),
-    )
+        F.col("lang_own").alias("lang"), F.col("source_own").alias("source"), F.col("ratio_own").alias("ratio"), of_own.alias("fence")
+    )
 
 
 def judged(docs: DataFrame, least_words: int = 50, most_repeats: int = 50) -> DataFrame:
@@ -123,7 +138,7 @@ def judged(docs: DataFrame, least_words: int = 50, most_repeats: int = 50) -> Da
     limits = materialize(limits.select(F.col("lang").alias("_lang"), F.col("source").alias("_source"), "fences"), "fences")
     joined = rows.join(limits, F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source")), "left")
     above = F.array_compact(
-        F.array(*[F.when(F.col(a) / F.nullif(F.col(b), F.lit(0)) > F.col("fences")[name], F.lit(name)) for name, (a, b, _) in RATIOS.items()])
+        F.array(*[F.when(F.col(a) / F.nullif(F.col(b), F.lit(0)) > F.col("fences")[name], F.lit(name)) for name, (a, b, *_) in RATIOS.items()])
     )
     failed = (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > most_repeats * F.col("n_words"))
     return joined.select(

@@ -92,6 +92,28 @@ def test_rules_by_brute_force(spark, docs):
         assert not (row.base_failed and row.kept)
 
 
+def test_fences_follow_upper_quantiles_and_hot_junk_does_not_raise_its_own(spark):
+    def fences(groups):
+        # (lang, source, (rows, symbols of 1000 characters, repeats of 200 words) ...), words of 5 characters.
+        rows = [(g[0], g[1], 200, 1000, n, 20, 0, r) for g in groups for times, n, r in g[2:] for _ in range(times)]
+        names = "n_words bigint, word_chars bigint, n_symbols bigint, n_lines bigint, n_dup_lines bigint, n_repeat_words bigint"
+        found = quality_rules.fences(spark.createDataFrame(rows, f"lang string, source string, {names}"))
+        return {(r.lang, r.source, r.ratio): r.fence for r in found.collect()}
+
+    clean = [("en", "a", (900, 0, 0), (100, 1, 10)), ("en", "b", (850, 0, 0), (150, 2, 16))]
+    # More than a quarter of a large source is junk: 0.2 symbols.
+    hot = fences([*clean, ("en", "junk", (180, 0, 0), (120, 200, 0))])
+    assert hot["en", "junk", "symbols"] < 0.2
+    # Quartiles are 0, and upper quantiles move the fences of repeats.
+    wide = fences([("en", "a", (800, 0, 0), (200, 0, 9)), ("en", "b", (750, 0, 0), (250, 0, 40))])
+    assert 0.15 <= wide["en", "a", "repeats"] < wide["en", "b", "repeats"] < 1
+    # Nothing jumps at a row count.
+    few = [fences([*clean, ("de", "c", (n - 40, 0, 20), (40, 0, 60))])["de", "c", "repeats"] for n in (199, 201)]
+    assert abs(few[0] - few[1]) < 0.01
+    # All rows are junk: shares stay within reach.
+    assert fences([("en", "a", (10, 900, 100), (10, 950, 160))])["en", "a", "symbols"] < 0.96
+
+
 def test_word_scores_by_brute_force(spark, docs):
     got = QUERIES["op9_lattice_score"](spark, SF_DIR).toPandas().set_index("doc_id")
     tokens = {d: [*re.findall(BLANK.encode(), t.encode().lower()), None] for d, t in zip(docs.doc_id, docs.text, strict=True)}
