@@ -33,9 +33,10 @@ def discovered_bases(
 ) -> DataFrame:
     """Requests with ``discovered``: where the captured first page's "next" leads.
 
-    Links are read off the captures before the join, so html is never shuffled.
+    Links are read off the captures before the join, so html is never shuffled. Empty
+    captures are not read.
     """
-    pages = only_matching(first_pages, requests.select(F.col("seed_url").alias("url")), "url")
+    pages = only_matching(fr.with_html(first_pages), requests.select(F.col("seed_url").alias("url")), "url")
     found = (
         next_page_links(pages, rules)
         .groupBy(F.col("url").alias("seed_url"))

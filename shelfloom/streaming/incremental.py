@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shelfloom import schemas
 from shelfloom.operators.extract import error_rows, extract_listing, extract_product, good_rows
+from shelfloom.operators.frontier import with_html
 from shelfloom.operators.products import dedup_products, insert_products, parsed_values
 from shelfloom.rules import SITES, SiteRule
 from shelfloom.sources.tables import _folder
@@ -114,7 +115,8 @@ def product_stream(
     """
 
     def each(batch: DataFrame, number: int) -> None:
-        rows = parsed_values(extract_product(batch, rules)).withColumnRenamed("url", "product_url")
+        # An empty capture says nothing of the product and never replaces a full one.
+        rows = parsed_values(extract_product(with_html(batch), rules)).withColumnRenamed("url", "product_url")
         empty = spark.createDataFrame([], PARSES)
         _write(rows.select(*empty.columns), root, "product_parses", number)
 

@@ -133,6 +133,19 @@ def test_listing_stream_equals_batch_and_repeats_nothing(spark, tmp_path):
     assert inc.read_batches(spark, root, "listing_products", inc.LISTING).count() == 5
 
 
+def test_an_empty_capture_never_replaces_a_full_one(spark, tmp_path):
+    root, landing = str(tmp_path / "root"), str(tmp_path / "landing")
+    for step in ((1, "p1", DETAIL.format("Uno!", "1.000")), (2, "p1", "")):
+        tables.capture_sink(captures(spark, step), landing)
+        inc.product_stream(spark, landing, root).awaitTermination()
+        last = inc.latest_parses(inc.read_batches(spark, root, "product_parses", inc.PARSES)).collect()
+        assert [(r.product_url, r.page_id, r.name, r.price) for r in last] == [("p1", 1, "Uno!", 1000.0)]
+    first = captures(spark, (1, "seed", NEXT.format("list_Desde_49_NoIndex_True")), (2, "seed", ""))
+    request = spark.createDataFrame([("seed",)], "seed_url STRING")
+    assert discovered_bases(request, first).first().discovered == discovered_bases(request, first.filter("page_id = 1")).first().discovered
+    assert discovered_bases(request, first).first().discovered is not None
+
+
 def test_a_batch_that_runs_again_replaces_its_rows(spark, tmp_path):
     root = str(tmp_path)
     schema = "k BIGINT, v BIGINT"
