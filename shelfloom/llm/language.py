@@ -7,8 +7,8 @@ positions of a text are averaged. The state starts anew at each word (a run of m
 stands: each distinct word of a batch is read once and counted as often as it occurs. The
 whole text is read that way, at a cost that falls with repetition.
 
-Training takes a bounded sample of labelled rows: the ``TRAIN_ROWS`` rows with the least
-hashes of their ids. Their words are counted by language on the executors, and of these
+Training takes a bounded sample of labelled rows of each language: all rows of a language with
+up to ``TRAIN_ROWS``, else about so many, those with hashes below a threshold. Their words are counted by language on the executors, and of these
 counts the ``TRAIN_WORDS`` most frequent per language go to the driver.
 """
 
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from shelfloom.llm.common import add_columns, free_name, letters, texts_of
 
-#: Rows and words per language that training sees at most; bytes of a word read in one go.
+#: Rows (about) and words per language that training sees at most; bytes of a word read in one go.
 TRAIN_ROWS, TRAIN_WORDS, PIECE = 4000, 3000, 30
 HIDDEN, EMBED, EPOCHS, BATCH, RATE = 16, 12, 6, 256, 0.01
 UNKNOWN = "und"
@@ -183,16 +183,17 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train_tagger(labelled: DataFrame, rows: int = TRAIN_ROWS, words: int = TRAIN_WORDS, seed: int = 3) -> ByteTagger | None:
-    """A tagger for the languages of the sample, or None if no row has a language and a word.
+    """A tagger for the languages of the labelled rows, or None if no row has a language and a word.
 
     ``labelled`` has doc_id, lang and text; rows with a NULL lang or text are not used. The
-    sample is the ``rows`` rows with the least hashes, the same in every run.
+    sample is taken within each language, all of up to ``rows`` rows or about ``rows`` of more
+    by their hashes, so no language is missed however rare; it is the same in every run.
     """
     used = labelled.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    order = F.xxhash64(F.lit(seed), "doc_id", "lang")
-    least = used.select("doc_id", "lang", order.alias("order")).orderBy("order", "doc_id", "lang").limit(rows)
-    # ``rows`` ids at most: few enough to be broadcast beside the texts.
-    chosen = used.join(F.broadcast(least.select("doc_id", "lang").distinct()), ["doc_id", "lang"], "left_semi")
+    # One row a language: few enough to be broadcast beside the texts.
+    sizes = used.groupBy(F.col("lang").alias("_lang")).agg(F.count("*").alias("_rows"))
+    place = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "lang", "text"), F.lit(1 << 40)) / F.lit(1 << 40)
+    chosen = used.join(F.broadcast(sizes), F.col("lang") == F.col("_lang")).filter(place * F.col("_rows") < rows)
     counts = chosen.select("lang", F.col("text").cast("binary").alias("text")).mapInArrow(_word_counts, "lang string, word binary, n bigint")
     by_count = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
     found = (

@@ -180,6 +180,13 @@ def test_tagger_gradients_and_held_out_accuracy(spark, docs):
     assert len(held) > 30 and (held.lang_pred == held.lang).mean() >= 0.95
 
 
+def test_a_rare_language_is_learned(spark):
+    words = {"aa": "lorem ipsum dolor", "bb": "foo bar baz", "cc": "жук дом лес"}
+    rows = [(i, lang, f"{text} {i % 7}") for lang, n, (lo, text) in (("aa", 2000, (0, words["aa"])), ("bb", 1500, (5000, words["bb"])), ("cc", 3, (9000, words["cc"]))) for i in range(lo, lo + n)]
+    tagger = language.train_tagger(spark.createDataFrame(rows, "doc_id bigint, lang string, text string"), rows=50)
+    assert tagger.languages == ["aa", "bb", "cc"]
+
+
 def test_shards_are_even_and_gapless(spark):
     got = QUERIES["op1_kd_shards"](spark, SF_DIR).toPandas()
     assert len(got) == 200 and set(got["shard"]) == set(range(16))
