@@ -178,20 +178,21 @@ def _confirm(pairs: DataFrame, texts: DataFrame, words: int, per_hundred: int) -
     """The pairs (a, b) of keys whose full sets are similar enough.
 
     Each side's text comes by a join of its own; Spark splits the parts of a class that is in
-    many pairs. The sorted pairs of a partition let the set of ``a`` be kept for the next pair.
+    many pairs. The sorted pairs of a partition let the set of ``a`` be kept for the next pair
+    with the same key and text: a key has several texts where rows repeat a doc_id.
     """
     a = texts.select(F.col("key").alias("a"), F.col("text").alias("text_a"))
     b = texts.select(F.col("key").alias("b"), F.col("text").alias("text_b"))
     both = pairs.join(b, "b").join(a, "a").select("a", "b", "text_a", "text_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, own = None, None
+        last, own = (None, None), None
         for batch in batches:
             keep_a, keep_b = [], []
             rows = zip(batch["a"].to_pylist(), batch["b"].to_pylist(), texts_of(batch, "text_a"), texts_of(batch, "text_b"), strict=True)
             for key_a, key_b, text_a, text_b in rows:
-                if key_a != last:
-                    last, own = key_a, shingle_set(text_a, words)
+                if (key_a, text_a) != last:
+                    last, own = (key_a, text_a), shingle_set(text_a, words)
                 other = shingle_set(text_b, words)
                 shared = len(np.intersect1d(own, other, assume_unique=True))
                 if shared and 100 * shared >= per_hundred * (len(own) + len(other) - shared):

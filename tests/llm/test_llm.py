@@ -233,6 +233,16 @@ def test_awkward_rows(spark, awkward):
     assert picked.count() == n and picked.filter("doc_id = 3 AND selected").count() == 0
 
 
+def test_two_texts_under_one_id_keep_the_links_of_both(spark):
+    one, two = (" ".join(f"{c}{i}" for i in range(200)) for c in "ab")
+    rows = [(1, one), (1, two), (2, one + " more"), (3, two + " more"), (4, "something else altogether here now")]
+    found = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted((r.doc_id, r.component_id) for r in found) == [(1, 1), (1, 1), (2, 1), (3, 1), (4, 4)]
+    pairs = spark.createDataFrame([(1, 2), (1, 3)], "a bigint, b bigint").coalesce(1)
+    texts = spark.createDataFrame([(k, t.encode()) for k, t in rows], "key bigint, text binary").coalesce(1)
+    assert {tuple(r) for r in near_dup._confirm(pairs, texts, 5, 80).collect()} == {(1, 2), (1, 3)}
+
+
 def test_empty_tables(spark, awkward):
     none = awkward.filter("doc_id = -1")
     items = spark.createDataFrame([], "item_id bigint, text string")
