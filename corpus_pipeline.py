@@ -27,7 +27,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Documents with a language: those without a text or without a letter go.
 
     The tagger learns from a bounded sample of the rows that have a lang. Where there is
-    none, it can tell nothing, and every document with a letter stays.
+    none, it can tell nothing, and every document with a letter stays. Neither the predicted
+    language nor its score decides about a row.
     """
     tagger = train_tagger(docs)
     lang = free_name(docs, "lang_pred")
@@ -64,7 +65,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("shard", shard),
 ]
 
-#: The language model is no SQL; the stages are tested against plain versions instead.
+#: The language model is no SQL; tests/llm/test_pipeline.py runs all stages against plain versions on a small fixture.
 ORACLE_SQL = None
 
 
