@@ -98,13 +98,37 @@ class RunHashes:
 # --- Python passes -----------------------------------------------------------------------
 
 Cells = Callable[[pa.RecordBatch], list]
+#: Bytes of texts that a Python pass takes in one go; a longer text is one slice.
+SLICE = 2 << 20
+
+
+def _cell_bytes(column: pa.Array) -> np.ndarray:
+    """Bytes of each cell of a text column; 8 for any other."""
+    if pa.types.is_string(column.type) or pa.types.is_binary(column.type):
+        ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+        return np.diff(ends.astype(np.int64))
+    return np.full(len(column), 8, np.int64)
+
+
+def slices(batch: pa.RecordBatch, limit: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows of about ``limit`` bytes, so that memory follows bytes and not rows.
+
+    Spark bounds a batch by its rows: ten thousand long texts may be in one.
+    """
+    if batch.num_rows == 0:
+        return
+    size = sum(map(_cell_bytes, batch.columns), np.zeros(batch.num_rows, np.int64))
+    run = (np.cumsum(size) - size) // limit
+    cuts = [0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), batch.num_rows]
+    for start, end in zip(cuts, cuts[1:], strict=False):
+        yield batch.slice(start, end - start)
 
 
 def add_columns(df: DataFrame, function: Callable[[], Cells], added: str, keep: list[str] | None = None) -> DataFrame:
     """One Arrow pass that adds columns to the rows.
 
-    ``function()`` is called once per task and gives a function from a record batch to the
-    added columns, as Python lists or Arrow arrays. ``keep`` names the columns of ``df``
+    ``function()`` is called once per task and gives a function from a record batch, of at
+    most some ``SLICE`` bytes or one row, to the added columns, as Python lists or Arrow arrays. ``keep`` names the columns of ``df``
     that stay, all by default. Rows stay in place: there is no shuffle.
     """
     names = df.columns if keep is None else keep
@@ -115,7 +139,7 @@ def add_columns(df: DataFrame, function: Callable[[], Cells], added: str, keep:
         from pyspark.sql.pandas.types import to_arrow_type
 
         cells, types = function(), [to_arrow_type(f.dataType) for f in extra.fields]
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             made = [
                 c if isinstance(c, pa.Array) else pa.array(c, t)
                 for c, t in zip(cells(batch), types, strict=True)

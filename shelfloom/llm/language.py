@@ -30,7 +30,7 @@ TRAIN_ROWS, TRAIN_WORDS, PIECE = 4000, 3000, 30
 HIDDEN, EMBED, EPOCHS, BATCH, RATE = 16, 12, 6, 256, 0.01
 UNKNOWN = "und"
 #: Distinct words that a task keeps the labels of.
-_CACHE = 400_000
+_CACHE = 200_000
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -173,13 +173,20 @@ def pieces(text: bytes) -> Iterator[bytes]:
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: Counter = Counter()
+
+    def counted() -> pa.RecordBatch:
+        rows = list(counts.items())
+        counts.clear()
+        columns = [pa.array([k[0] for k, _ in rows], pa.string()), pa.array([k[1] for k, _ in rows], pa.binary()), pa.array([n for _, n in rows], pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, ["lang", "word", "n"])
+
     for batch in batches:
         for lang, text in zip(batch["lang"].to_pylist(), texts_of(batch, "text"), strict=True):
             counts.update((lang, word) for word in pieces(text or b""))
+            if len(counts) > _CACHE // 4:
+                yield counted()
     if counts:
-        rows = list(counts.items())
-        columns = [pa.array([k[0] for k, _ in rows], pa.string()), pa.array([k[1] for k, _ in rows], pa.binary()), pa.array([n for _, n in rows], pa.int64())]
-        yield pa.RecordBatch.from_arrays(columns, ["lang", "word", "n"])
+        yield counted()
 
 
 def train_tagger(labelled: DataFrame, rows: int = TRAIN_ROWS, words: int = TRAIN_WORDS, seed: int = 3) -> ByteTagger | None:
@@ -215,14 +222,14 @@ def train_tagger(labelled: DataFrame, rows: int = TRAIN_ROWS, words: int = TRAIN
     return tagger
 
 
-def _labeller(tagger: ByteTagger, lang: str, score: str) -> Callable[[], Callable]:
+def _labeller(tagger: ByteTagger, lettered: str) -> Callable[[], Callable]:
     def make() -> Callable:
         place: dict[bytes, int] = {}
         sums_of = np.empty((0, len(tagger.languages) + 1))
 
         def cells(batch: pa.RecordBatch) -> list:
             nonlocal sums_of
-            counts = [Counter(pieces(text)) if ok and text else None for text, ok in zip(texts_of(batch, "_text"), batch["_letters"].to_pylist(), strict=True)]
+            counts = [Counter(pieces(text)) if ok and text else None for text, ok in zip(texts_of(batch, "text"), batch[lettered].to_pylist(), strict=True)]
             if len(place) > _CACHE:
                 place.clear()
                 sums_of = sums_of[:0]
@@ -258,8 +265,9 @@ def tag_languages(docs: DataFrame, tagger: ByteTagger | None, lang: str = "lang_
     lang, score = free_name(docs, lang), free_name(docs, score)
     if tagger is None:
         return docs.withColumns({lang: F.lit(UNKNOWN), score: F.lit(0.0)})
-    helped = docs.withColumns({"_text": F.col("text").cast("binary"), "_letters": letters(F.col("text"))})
-    return add_columns(helped, _labeller(tagger, lang, score), f"`{lang}` string, `{score}` double", keep=docs.columns)
+    lettered = free_name(docs, "_letters")
+    helped = docs.withColumn(lettered, letters(F.col("text")))
+    return add_columns(helped, _labeller(tagger, lettered), f"`{lang}` string, `{score}` double", keep=docs.columns)
 
 
 def fold(id_column: Column, folds: int) -> Column:
