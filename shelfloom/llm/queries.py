@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfloom.llm import (
+    bpe,
+    collocations,
     decontam,
     language,
     lattice,
@@ -15,6 +17,7 @@ from shelfloom.llm import (
     quality_rules,
     resampling,
     sharding,
+    spelling,
     substring,
 )
 from shelfloom.llm.common import load
@@ -168,3 +171,46 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = load(spark, sf_dir, "labels").filter("quality = 1 AND toxic = 0")
     return resampling.resample(load(spark, sf_dir), good)
+
+
+@query("op11_spelling_variants")
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(load(spark, sf_dir))
+
+
+@query("op12_bpe_round_trip")
+def op12_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = bpe.Vocabulary.read()
+    encoded = bpe.encoded(load(spark, sf_dir).select("doc_id", "text"), vocabulary).drop("text")
+    return bpe.decoded(encoded, vocabulary).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256")
+    )
+
+
+@query(
+    "op13_collocations",
+    r"""
+    WITH p AS MATERIALIZED (
+      SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (
+        SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+    g AS (SELECT lang, 1 AS m, unnest(w) AS g FROM p
+          UNION ALL SELECT lang, 2, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM p
+          UNION ALL SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) FROM p),
+    f AS MATERIALIZED (SELECT lang, m, g, count(*)::BIGINT AS a FROM g GROUP BY ALL),
+    t AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE m = 1 GROUP BY 1),
+    c AS MATERIALIZED (SELECT lang, m, a, g, string_split(g, ' ') AS w FROM f WHERE m >= 2 AND a >= 10),
+    k AS (SELECT *, 1 AS k, w[1] AS x, array_to_string(w[2:], ' ') AS y FROM c
+          UNION ALL SELECT *, 2, w[1] || ' ' || w[2], w[3] FROM c WHERE m = 3),
+    cuts AS (SELECT k.lang, k.g, k.a, k, x.a AS l, y.a AS r, (1000000::HUGEINT * k.a * k.a) // (x.a::HUGEINT * y.a) AS score
+             FROM k JOIN f x ON x.lang = k.lang AND x.g = k.x JOIN f y ON y.lang = k.lang AND y.g = k.y),
+    best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+    parts AS (SELECT lang, a, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS g FROM c WHERE m = 3),
+    gone AS (SELECT DISTINCT c.lang, c.g FROM c JOIN parts b ON b.lang = c.lang AND b.g = c.g WHERE 100 * b.a >= 50 * c.a),
+    ranked AS (SELECT lang, g AS phrase, a, l, r, score::BIGINT AS score FROM best ANTI JOIN gone USING (lang, g))
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)::BIGINT AS rank, phrase, a, l, r, n, score
+    FROM ranked JOIN t USING (lang) QUALIFY rank <= 2000
+    """,
+)
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(load(spark, sf_dir))
