@@ -17,13 +17,19 @@ from shelfloom.functions.names import listing_filename
 from shelfloom.operators.keys import left_join_on, next_id, number_rows
 from shelfloom.rules import SITES, SiteRule, site_rules
 
-NO_BASE = "no_pagination_base"
+NO_BASE, NO_SITE = "no_pagination_base", "unsupported_site"
 
 
-def crawl_requests(requests: DataFrame, rules: Mapping[str, SiteRule] = SITES) -> DataFrame:
-    """Requests of known sites with the site's rule columns and its first seed URL."""
+def crawl_requests(
+    requests: DataFrame, rules: Mapping[str, SiteRule] = SITES, keep_unknown: bool = False
+) -> DataFrame:
+    """Requests with the site's rule columns and its first seed URL.
+
+    Requests of unknown sites go, or with ``keep_unknown`` stay with NULLs for these columns:
+    a run gives an error row for each.
+    """
     table = site_rules(requests.sparkSession, rules.values())
-    return requests.join(F.broadcast(table), "site").withColumn(
+    return requests.join(F.broadcast(table), "site", "left" if keep_unknown else "inner").withColumn(
         "seed_url", urls.first_seed(F.col("seed_urls"))
     )
 
@@ -66,10 +72,13 @@ def expand_pages(requests: DataFrame) -> DataFrame:
 
 
 def base_errors(requests: DataFrame) -> DataFrame:
-    """Requests that cannot be paginated, for the error table."""
+    """Requests that cannot be paginated, for the error table; those of unknown sites by their site."""
+    unknown = F.col("url_style").isNull() if "url_style" in requests.columns else F.lit(False)
+    site = F.coalesce("site", F.lit("")) if "site" in requests.columns else F.lit("")
     return requests.filter(F.col("base").isNull()).select(
-        F.lit("seed").alias("stage"), F.col("seed_url").alias("key"), F.lit(NO_BASE).alias("reason")
-    )
+        F.lit("seed").alias("stage"), F.coalesce("seed_url", site).alias("key"),
+        F.when(unknown, F.lit(NO_SITE)).otherwise(F.lit(NO_BASE)).alias("reason"),
+    )
 
 
 def _distinct_seeds(seeds: DataFrame) -> DataFrame:
@@ -109,11 +118,8 @@ def frontier_union(frontier: DataFrame, new_rows: DataFrame) -> DataFrame:
     return frontier.unionByName(new_rows)
 
 
-def seed_frontier(frontier: DataFrame, seeds: DataFrame, at: Column) -> DataFrame:
-    """Frontier after seeding; ``seeds`` has ``url`` and the columns (request_no, page_no).
-
-    New URLs get ids in the order of their first seed.
-    """
+def _new_frontier_rows(frontier: DataFrame, seeds: DataFrame, at: Column) -> DataFrame:
+    """Rows of the seeds that the frontier does not hold, with ids in the order of their first seed."""
     first = (
         seeds.filter(F.col("url").isNotNull())
         .groupBy("url")
@@ -123,11 +129,25 @@ def seed_frontier(frontier: DataFrame, seeds: DataFrame, at: Column) -> DataFram
         "url", "first.request_no", "first.page_no"
     )
     numbered = number_rows(new, ["request_no", "page_no", "url"], after=next_id(frontier))
-    new_rows = numbered.select(
+    return numbered.select(
         "id", "url", at.cast("timestamp").alias("discovered_at"),
         F.lit(None).cast("string").alias("filename"), F.lit(st.PENDING).alias("status"),
     )
-    return frontier_union(requeue_seeds(frontier, seeds), new_rows)
+
+
+def seed_frontier(frontier: DataFrame, seeds: DataFrame, at: Column) -> DataFrame:
+    """Frontier after seeding; ``seeds`` has ``url`` and the columns (request_no, page_no).
+
+    New URLs get ids in the order of their first seed.
+    """
+    return frontier_union(requeue_seeds(frontier, seeds), _new_frontier_rows(frontier, seeds, at))
+
+
+def seed_changes(frontier: DataFrame, seeds: DataFrame, at: Column) -> DataFrame:
+    """The rows that seeding changes or adds."""
+    other = frontier.filter(F.col("url").isNotNull() & ~st.already_queued(F.col("status")))
+    again = other.join(_distinct_seeds(seeds), "url", "left_semi").withColumn("status", F.lit(st.PENDING))
+    return again.select(*frontier.columns).unionByName(_new_frontier_rows(frontier, seeds, at))
 
 
 def reset_stuck(table: DataFrame, column: str, stuck: str, to: str | None) -> DataFrame:
@@ -178,7 +198,12 @@ def capture_index(pages: DataFrame) -> DataFrame:
 
 def fetch_outcome(frontier: DataFrame, pages: DataFrame, of: str = st.IN_PROGRESS) -> DataFrame:
     """All rows; those in status ``of`` become fetched and named, or failed for want of html."""
-    joined = left_join_on(frontier, capture_index(pages), "url")
+    return fetch_outcome_of(frontier, capture_index(pages), of)
+
+
+def fetch_outcome_of(frontier: DataFrame, index: DataFrame, of: str = st.IN_PROGRESS) -> DataFrame:
+    """The same, by the rows of ``capture_index``."""
+    joined = left_join_on(frontier, index, "url")
     captured, chosen = F.coalesce("captured", F.lit(False)), F.col("status") == of
     name = F.coalesce("filename", listing_filename(F.col("id")))
     return joined.withColumns(

@@ -68,8 +68,18 @@ def product_fetch_outcome(products: DataFrame, pages: DataFrame, retry: bool = F
 
     With ``retry``, failed products whose capture has come since count as pending.
     """
-    index = capture_index(pages).withColumnRenamed("url", "product_url")
-    joined = left_join_on(products, index, "product_url")
+    return _fetched(products, capture_index(pages), retry).drop("_changes")
+
+
+def product_fetch_changes(products: DataFrame, index: DataFrame, retry: bool = False) -> DataFrame:
+    """The products whose outcome is new, by the rows of ``capture_index``."""
+    wanted = [st.PENDING, st.FAILED] if retry else [st.PENDING]
+    waiting = products.filter(F.col("fetch_status").isin(*wanted))
+    return _fetched(waiting, index, retry).filter("_changes").drop("_changes")
+
+
+def _fetched(products: DataFrame, index: DataFrame, retry: bool) -> DataFrame:
+    joined = left_join_on(products, index.withColumnRenamed("url", "product_url"), "product_url")
     captured = F.coalesce("captured", F.lit(False))
     pending = F.col("fetch_status") == st.PENDING
     if retry:
@@ -78,8 +88,10 @@ def product_fetch_outcome(products: DataFrame, pages: DataFrame, retry: bool = F
         st.fetch_result(captured)
     )
     name = F.when(captured, product_filename(F.col("slug")))
+    pending = F.coalesce(pending, F.lit(False))
     return joined.withColumns(
         {
+            "_changes": pending,
             "fetch_status": F.when(pending, outcome).otherwise(F.col("fetch_status")),
             "filename": F.when(pending, name).otherwise(F.col("filename")),
         }

@@ -15,6 +15,7 @@ from shelfloom.plans.render import listing_item_url, product_pages
 from shelfloom.plans.stages import discovered_bases, run_stages
 from shelfloom.rules import SITES
 from shelfloom.sources import tables as tb
+from shelfloom.sources.captures import CaptureStore
 from shelfloom.sources.export import export_csv, export_json, export_records
 from shelfloom.sources.requests import read_requests
 from shelfloom.sources.scratch import scratch_path
@@ -127,21 +128,22 @@ FROM found f LEFT JOIN captures c ON c.url = f.link"""
 @query("run_stages", _RUN)
 def whole_run(spark, sf_dir):
     root, part = scratch_path(spark, "run"), load_part(spark, sf_dir)
-    listings = tb.capture_sink(listing_b(spark, sf_dir), f"{root}/listing_captures")
+    listings, details = CaptureStore(spark, root, "listing_captures"), CaptureStore(spark, root, "product_captures")
+    listings.land(listing_b(spark, sf_dir))
     item = (F.col("p_partkey") % 8).cast("int")
     # Product captures are addressed by the links of the listings; several may share one.
     addresses = part.select(F.col("p_partkey").alias("page_id"), listing_item_url(item).alias("url"))
     pages = product_pages(part).drop("url").join(addresses, "page_id")
-    details = tb.capture_sink(pages, f"{root}/product_captures")
+    details.land(pages)
     rule = SITES["mercadolibre"]
-    requests = listings.select(
+    requests = listings.read().select(
         F.col("page_id").alias("request_no"), F.col("url").alias("seed_url"),
         (F.col("page_id") % 3).cast("int").alias("pages_to_crawl"),
         F.lit(rule.pagination_mode).alias("pagination_mode"),
         F.lit(rule.url_style).alias("url_style"),
         F.lit(rule.items_per_page).alias("items_per_page"),
     )
-    requests = fr.with_base(discovered_bases(requests, listings))
+    requests = fr.with_base(discovered_bases(requests, listings, root=root))
     run_stages(spark, root, F.lit("2024-03-01 12:00:00"), requests, listings, details)
     table = tb.read_snapshot(spark, root, "products", schemas.PRODUCTS)
     return table.select("id", "product_url", "slug", "price", "fetch_status", "parse_status")

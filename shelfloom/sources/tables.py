@@ -1,17 +1,30 @@
-"""State tables as parquet snapshots: each write makes a new version folder.
+"""Tables as committed versions: parquet folders beside a log of small files.
 
-Parquet has no row updates. A stage reads the newest complete version, computes the whole
-new table and writes it beside the old one, so a plan never overwrites what it reads and
-a failed write is never seen. A version counts once Spark has committed it.
+Parquet has no row updates. A commit writes its rows to a folder of its own and then takes the
+next number by creating one log file that must not exist yet: the file system lets one writer
+of several succeed, the others look again and take a later number. Readers see a folder only
+through its log file, so a failed or torn write is never read.
+
+A version is ``whole`` (the table as it is from there on), ``changes`` (rows that replace
+those with the same key, or add to them) or ``rows`` (rows that only add). The current table is
+the last whole version with the last change of each key laid over it; ``compact`` writes it as
+a new whole version, and ``vacuum`` removes folders that no reader needs any more.
 """
 
 from __future__ import annotations
 
+import json
+import os
 import re
+from collections.abc import Callable, Sequence
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Versions of changes after which ``compact_if_long`` writes a whole one.
+LONG = 16
+
 
 def _folder(spark: SparkSession, path: str):
     hadoop = spark._jvm.org.apache.hadoop.fs
@@ -19,31 +32,179 @@ def _folder(spark: SparkSession, path: str):
     return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop.Path
 
 
-def committed_versions(spark: SparkSession, root: str, name: str) -> list[int]:
-    folder, files, path_of = _folder(spark, f"{root}/{name}")
+def _create(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file unless it exists; whether this call created it.
+
+    HDFS and stores with conditional writes decide this atomically. Hadoop's local file system
+    looks first and writes then, so a local path is created by the operating system instead.
+    """
+    target, files, _ = _folder(spark, path)
+    if files.getScheme() == "file":
+        local = target.toUri().getPath()
+        os.makedirs(os.path.dirname(local), exist_ok=True)
+        # Written under another name and linked, so that nobody reads half of it.
+        whole = f"{local}.{uuid4().hex}"
+        with open(whole, "w", encoding="utf-8") as out:
+            out.write(text)
+        try:
+            os.link(whole, local)
+        except FileExistsError:
+            return False
+        finally:
+            os.unlink(whole)
+        return True
+    from py4j.protocol import Py4JJavaError
+
+    try:
+        out = files.create(target, False)
+        out.write(text.encode("utf-8"))
+        out.close()
+    except Py4JJavaError:
+        if files.exists(target):
+            return False
+        raise
+    return True
+
+
+def _log(spark: SparkSession, root: str, name: str) -> dict[int, dict]:
+    """What each committed version holds, by number; one small file a version since the last vacuum."""
+    folder, files, path_of = _folder(spark, f"{root}/{name}/_log")
     if not files.exists(folder):
-        return []
+        return {}
     names = [entry.getPath().getName() for entry in files.listStatus(folder)]
-    numbers = [int(m[1]) for n in names if (m := re.fullmatch(r"v=(\d+)", n))]
-    done = [n for n in numbers if files.exists(path_of(f"{root}/{name}/v={n}/_SUCCESS"))]
-    return sorted(done)
+    out = {}
+    for number in sorted(int(m[1]) for n in names if (m := re.fullmatch(r"(\d+)\.json", n))):
+        stream = files.open(path_of(f"{root}/{name}/_log/{number}.json"))
+        try:
+            out[number] = json.loads(bytes(stream.readAllBytes()).decode("utf-8"))
+        finally:
+            stream.close()
+    return out
+
+
+def committed_versions(spark: SparkSession, root: str, name: str) -> list[int]:
+    return list(_log(spark, root, name))
+
+
+Built = tuple[DataFrame, dict]
+
+
+def commit(
+    spark: SparkSession, root: str, name: str, build: Callable[[], Built | None], kind: str, key: Sequence[str] = ()
+) -> tuple[int, DataFrame] | None:
+    """Write what ``build`` gives as the next version; its number and the written rows.
+
+    ``build`` gives rows and facts for the log file, or None if there is nothing to write, and
+    reads what it needs itself. If another writer takes the number meanwhile, the rows may rest
+    on what is no longer so: they are built and written again.
+    """
+    while True:
+        number = max(_log(spark, root, name), default=-1) + 1
+        built = build()
+        if built is None:
+            return None
+        rows, facts = built
+        folder = f"v={number}-{uuid4().hex}"
+        path = f"{root}/{name}/{folder}"
+        rows.withColumn("_version", F.lit(number).cast("bigint")).write.parquet(path)
+        entry = {"kind": kind, "folder": folder, "key": list(key), **facts}
+        if _create(spark, f"{root}/{name}/_log/{number}.json", json.dumps(entry)):
+            return number, spark.read.schema(rows.schema).parquet(path)
+
+
+def write_snapshot(df: DataFrame, root: str, name: str) -> DataFrame:
+    """Write the next version of a whole table and return it."""
+    return commit(df.sparkSession, root, name, lambda: (df, {}), "whole")[1]
+
+
+def append_changes(build: Callable[[], DataFrame], spark: SparkSession, root: str, name: str, key: Sequence[str] = ("id",)) -> DataFrame:
+    """Write rows that replace those with the same ``key``; ``build`` gives one row a key at most."""
+    return commit(spark, root, name, lambda: (build(), {}), "changes", key)[1]
+
+
+def append_rows(df: DataFrame, root: str, name: str) -> tuple[int, DataFrame]:
+    """Write rows that only add."""
+    return commit(df.sparkSession, root, name, lambda: (df, {}), "rows")
+
+
+def log_entries(spark: SparkSession, root: str, name: str) -> dict[int, dict]:
+    return _log(spark, root, name)
+
+
+def latest_rows(log: DataFrame, key: Sequence[str], order: str) -> DataFrame:
+    """The last row of each key of an append-only log, without the column that orders it."""
+    rest = [c for c in log.columns if c not in key and c != order]
+    last = F.max_by(F.struct(*rest), order).alias("_last")
+    return log.groupBy(*key).agg(last).select(*key, *[F.col("_last")[c].alias(c) for c in rest])
 
 
 def read_snapshot(spark: SparkSession, root: str, name: str, schema: str) -> DataFrame:
-    """Newest version of a table, or an empty one."""
-    versions = committed_versions(spark, root, name)
+    """The current table, or an empty one.
+
+    Rows of the whole version pass beside the changed keys; only changes are grouped. The join
+    takes keys alone and is left to Spark's size check, so few changes shuffle no table.
+    """
+    log = _log(spark, root, name)
+    whole = max((n for n, e in log.items() if e["kind"] == "whole"), default=None)
+    later = {n: e for n, e in log.items() if whole is None or n > whole}
+
+    def read(*entries: dict, version: bool = False) -> DataFrame:
+        ddl = f"{schema}, _version BIGINT" if version else schema
+        return spark.read.schema(ddl).parquet(*[f"{root}/{name}/{e['folder']}" for e in entries])
+
+    table = spark.createDataFrame([], schema) if whole is None else read(log[whole])
+    added = [e for e in later.values() if e["kind"] == "rows"]
+    if added:
+        table = table.unionByName(read(*added))
+    changes = [e for e in later.values() if e["kind"] == "changes"]
+    if changes:
+        key = changes[0]["key"]
+        changed = read(*changes, version=True)
+        last = changed.drop("_version") if len(changes) == 1 else latest_rows(changed, key, "_version")
+        if whole is not None or added:
+            last = table.join(changed.select(*key), key, "left_anti").select(*table.columns).unionByName(last)
+        table = last.select(*table.columns)
+    return table
+
+
+def read_versions(spark: SparkSession, root: str, name: str, schema: str, versions: Sequence[int]) -> DataFrame:
+    """The rows that these versions wrote."""
+    log = _log(spark, root, name)
     if not versions:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{root}/{name}/v={versions[-1]}")
+    return spark.read.schema(schema).parquet(*[f"{root}/{name}/{log[n]['folder']}" for n in versions])
 
 
-def write_snapshot(df: DataFrame, root: str, name: str) -> DataFrame:
-    """Write the next version of a table and return it."""
-    spark = df.sparkSession
-    versions = committed_versions(spark, root, name)
-    path = f"{root}/{name}/v={versions[-1] + 1 if versions else 0}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def compact(spark: SparkSession, root: str, name: str, schema: str) -> int:
+    """Write the current table as a whole version; built again if a change comes meanwhile."""
+    return commit(spark, root, name, lambda: (read_snapshot(spark, root, name, schema), {}), "whole")[0]
+
+
+def compact_if_long(spark: SparkSession, root: str, name: str, schema: str, long: int = LONG) -> bool:
+    log = _log(spark, root, name)
+    whole = max((n for n, e in log.items() if e["kind"] == "whole"), default=-1)
+    if sum(n > whole for n in log) < long:
+        return False
+    compact(spark, root, name, schema)
+    return True
+
+
+def vacuum(spark: SparkSession, root: str, name: str, keep: int = 1) -> list[int]:
+    """Remove versions before the ``keep`` last whole ones, and return their numbers.
+
+    Plans that were made before and still read them fail, so ``keep`` should span the longest job.
+    Folders that no log file names are left alone: a writer may be at work on them.
+    """
+    log = _log(spark, root, name)
+    wholes = [n for n, e in log.items() if e["kind"] == "whole"]
+    if len(wholes) < keep or keep < 1:
+        return []
+    gone = [n for n in log if n < wholes[-keep]]
+    for number in gone:
+        for path in (f"{root}/{name}/_log/{number}.json", f"{root}/{name}/{log[number]['folder']}"):
+            target, files, _ = _folder(spark, path)
+            files.delete(target, True)
+    return gone
 
 
 def read_spread(spark: SparkSession, path: str) -> DataFrame:
@@ -64,9 +225,12 @@ def capture_sink(pages: DataFrame, path: str, site: Column | None = None) -> Dat
     The length of the html is stored beside it: later stages ask only whether there is
     any, and so never read the wide column.
     """
-    site = F.col("site") if site is None else site
-    captures = pages.select(
-        "page_id", "url", site.alias("site"), F.length("html").alias("html_chars"), "html"
-    )
+    captures = _captures(pages, site)
     captures.write.mode("append").parquet(path)
     return pages.sparkSession.read.schema(captures.schema).parquet(path)
+
+
+def _captures(pages: DataFrame, site: Column | None = None) -> DataFrame:
+    return pages.select(
+        "page_id", "url", (F.col("site") if site is None else site).alias("site"), F.length("html").alias("html_chars"), "html"
+    )
