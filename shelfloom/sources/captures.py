@@ -64,4 +64,4 @@ def parse_new(store: CaptureStore, root: str, table: str, mark: int, parse: Call
 
     commit(store.spark, root, table, build, "rows")
     versions = [n for n, e in log_entries(store.spark, root, table).items() if e.get("mark") == mark]
-    return read_versions(store.spark, root, table, parse(store.read([])).schema, versions)
+    return read_versions(store.spark, root, table, None, versions) if versions else parse(store.read([]))

@@ -21,6 +21,7 @@ from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Versions of changes after which ``compact_if_long`` writes a whole one.
 LONG = 16
@@ -107,7 +108,7 @@ def commit(
         folder = f"v={number}-{uuid4().hex}"
         path = f"{root}/{name}/{folder}"
         rows.withColumn("_version", F.lit(number).cast("bigint")).write.parquet(path)
-        entry = {"kind": kind, "folder": folder, "key": list(key), **facts}
+        entry = {"kind": kind, "folder": folder, "key": list(key), "schema": rows.schema.json(), **facts}
         if _create(spark, f"{root}/{name}/_log/{number}.json", json.dumps(entry)):
             return number, spark.read.schema(rows.schema).parquet(path)
 
@@ -167,11 +168,12 @@ def read_snapshot(spark: SparkSession, root: str, name: str, schema: str) -> Dat
     return table
 
 
-def read_versions(spark: SparkSession, root: str, name: str, schema: str, versions: Sequence[int]) -> DataFrame:
-    """The rows that these versions wrote."""
+def read_versions(spark: SparkSession, root: str, name: str, schema: str | None, versions: Sequence[int]) -> DataFrame:
+    """The rows that these versions wrote; without a schema, by that of the last of them."""
     log = _log(spark, root, name)
     if not versions:
         return spark.createDataFrame([], schema)
+    schema = schema or StructType.fromJson(json.loads(log[versions[-1]]["schema"]))
     return spark.read.schema(schema).parquet(*[f"{root}/{name}/{log[n]['folder']}" for n in versions])
 
 
