@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,7 +18,7 @@ MISSING = "missing_html"
 PARSED_COLUMNS = ("slug", "name", "currency", "price", "product_code", "reviews", "image")
 
 
-def _row_key(url: str) -> list[Column]:
+def row_key(url: str) -> list[Column]:
     """A product is known by its link; one without a link by its place on its page."""
     nameless = F.col(url).isNull()
     return [
@@ -34,14 +36,14 @@ def dedup_products(rows: DataFrame) -> DataFrame:
     """
     rest = [c for c in rows.columns if c not in ("source_page_id", "pos")]
     first = F.min(F.struct("source_page_id", "pos", *rest)).alias("first")
-    return rows.groupBy(*_row_key("link")).agg(first).select("first.*").select(*rows.columns)
+    return rows.groupBy(*row_key("link")).agg(first).select("first.*").select(*rows.columns)
 
 
 def new_product_urls(candidates: DataFrame, products: DataFrame) -> DataFrame:
     """Deduplicated listing rows whose product is not stored yet."""
-    left = candidates.select("*", *_row_key("link"))
+    left = candidates.select("*", *row_key("link"))
     right = products.select(*[c.alias(f"{n}2") for c, n in zip(
-        _row_key("product_url"), ("_url", "_page", "_pos"), strict=True
+        row_key("product_url"), ("_url", "_page", "_pos"), strict=True
     )])
     on = [F.col(c).eqNullSafe(F.col(f"{c}2")) for c in ("_url", "_page", "_pos")]
     return left.join(right, on, "left_anti").drop("_url", "_page", "_pos")
@@ -49,8 +51,12 @@ def new_product_urls(candidates: DataFrame, products: DataFrame) -> DataFrame:
 
 def insert_products(products: DataFrame, candidates: DataFrame) -> DataFrame:
     """Product rows to add for deduplicated listing rows, with ids in page order."""
-    new = new_product_urls(candidates, products)
-    numbered = number_rows(new, ["source_page_id", "pos"], after=next_id(products))
+    return number_products(new_product_urls(candidates, products), next_id(products))
+
+
+def number_products(new: DataFrame, after: Column | int, order: Sequence[str] = ("source_page_id", "pos")) -> DataFrame:
+    """Product rows of new listing rows, with ids in ``order`` after the last one."""
+    numbered = number_rows(new, order, after=after)
     text = F.lit(None).cast("string")
     return numbered.select(
         "id", F.col("link").alias("product_url"), text.alias("product_code"), "slug",

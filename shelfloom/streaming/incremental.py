@@ -1,12 +1,14 @@
 """Parsing stages as streams over the folders captures land in.
 
-Each micro-batch writes its own ``batch=N`` folder and looks only at older ones, so a
-batch that runs again after a failure replaces its rows and adds none twice.
+Each micro-batch writes its own ``batch=N`` folder, so a batch that runs again after a failure
+replaces its rows and adds none twice. Which keys came before is the state of a streaming
+aggregation, kept per key in the state store: a batch looks up its own keys and reads nothing
+of what earlier batches wrote, however many there were.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from shelfloom import schemas
 from shelfloom.operators.extract import error_rows, extract_listing, extract_product, good_rows
 from shelfloom.operators.frontier import with_html
-from shelfloom.operators.products import dedup_products, insert_products, parsed_values
+from shelfloom.operators.products import number_products, parsed_values, row_key
 from shelfloom.rules import SITES, SiteRule
 from shelfloom.sources.tables import _folder
 
@@ -50,22 +52,62 @@ def _write(df: DataFrame, root: str, table: str, batch: int) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _run(
-    spark: SparkSession, landing: str, schema: str, checkpoint: str,
-    each: Callable[[DataFrame, int], None], files_per_batch: int | None,
-) -> StreamingQuery:
+def _read(spark: SparkSession, landing: str, schema: str, files_per_batch: int | None) -> DataFrame:
     reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(landing)
+
+
+def _start(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], None], mode: str = "append") -> StreamingQuery:
     return (
-        reader.parquet(landing)
-        .writeStream.foreachBatch(each)
+        stream.writeStream.foreachBatch(each)
+        .outputMode(mode)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
+def _run(
+    spark: SparkSession, landing: str, schema: str, checkpoint: str,
+    each: Callable[[DataFrame, int], None], files_per_batch: int | None,
+) -> StreamingQuery:
+    return _start(_read(spark, landing, schema, files_per_batch), checkpoint, each)
+
+
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def first_rows(
+    stream: DataFrame, keys: Sequence[Column], order: Column, checkpoint: str, each: Callable[[DataFrame, int], None]
+) -> StreamingQuery:
+    """Give ``each`` micro-batch the rows of the keys it saw first, the least of each key in ``order``.
+
+    State is the first row of every key, on the executors' disks and in the checkpoint, not in
+    their memory. A key is new if the time of its first batch is that of its last one. ``each``
+    must use its rows once. NULL is a key like any other.
+    """
+    spark = stream.sparkSession
+    # Every expression of one micro-batch sees the same time.
+    stamped = stream.withColumn("_at", F.current_timestamp())
+    state = stamped.groupBy(*keys).agg(
+        F.min_by(F.struct(*stream.columns), F.struct("_at", order)).alias("_first"),
+        F.min("_at").alias("_since"), F.max("_at").alias("_last"),
+    )
+
+    def new(batch: DataFrame, number: int) -> None:
+        each(batch.filter(F.col("_since") == F.col("_last")).select("_first.*"), number)
+
+    provider = spark.conf.get(_PROVIDER)
+    spark.conf.set(_PROVIDER, _ROCKSDB)
+    try:
+        return _start(state, checkpoint, new, "update")
+    finally:
+        spark.conf.set(_PROVIDER, provider)
+
+
 def listing_stream(
     spark: SparkSession,
     landing: str,
@@ -75,23 +117,34 @@ def listing_stream(
 ) -> StreamingQuery:
     """Parse listing captures once each: listing rows, errors and new products.
 
-    ``landing`` holds parquet captures (``schemas.CAPTURES``). Restarting with the same
-    ``root`` goes on after the last batch.
+    ``landing`` holds parquet captures (``schemas.CAPTURES``). The parse runs to its end first;
+    the stream that is returned reads its rows and adds the products that are new. Restarting
+    with the same ``root`` goes on after the last batch of each.
     """
 
-    def each(batch: DataFrame, number: int) -> None:
-        # Written first, so that pages are parsed once for all three tables.
+    def parse(batch: DataFrame, number: int) -> None:
+        # Written first, so that pages are parsed once for both tables.
         rows = _write(extract_listing(batch, rules), root, "listing_products", number)
         _write(error_rows(rows, "listing_parse"), root, "errors", number)
-        found = good_rows(rows).select(
-            F.col("page_id").alias("source_page_id"), "pos", "link", "slug"
-        )
-        stored = read_batches(spark, root, "products", schemas.PRODUCTS, before=number)
-        _write(insert_products(stored, dedup_products(found)), root, "products", number)
 
-    return _run(
-        spark, landing, schemas.CAPTURES, f"{root}/_listing_checkpoint", each, files_per_batch
-    )
+    _run(
+        spark, landing, schemas.CAPTURES, f"{root}/_listing_checkpoint", parse, files_per_batch
+    ).awaitTermination()
+
+    def add(new: DataFrame, number: int) -> None:
+        # One row a batch, so the last id is known without the products themselves.
+        last = read_batches(spark, root, "product_ids", "last BIGINT", before=number)
+        last = last.agg(F.coalesce(F.max("last"), F.lit(0).cast("bigint"))).first()[0]
+        rows = number_products(new, last, ["batch", "source_page_id", "pos"])
+        rows = _write(rows, root, "products", number)
+        _write(rows.agg(F.coalesce(F.max("id"), F.lit(last).cast("bigint")).alias("last")), root, "product_ids", number)
+
+    folder, files, _ = _folder(spark, f"{root}/listing_products")
+    files.mkdirs(folder)
+    rows = _read(spark, f"{root}/listing_products", f"{LISTING}, batch BIGINT", None)
+    found = good_rows(rows).select("batch", F.col("page_id").alias("source_page_id"), "pos", "link", "slug")
+    place = F.struct("batch", "source_page_id", "pos")
+    return first_rows(found, row_key("link"), place, f"{root}/_products_checkpoint", add)
 
 
 PARSES = (
@@ -141,23 +194,16 @@ def stream_dedup(
     spark: SparkSession, landing: str, schema: str, key: str, root: str,
     order: Column, files_per_batch: int | None = None,
 ) -> StreamingQuery:
-    """Keep the first row of each key over all batches, exactly.
+    """Keep the first row of each key over all batches, exactly: the least in ``order`` of its first batch.
 
-    Each batch is compared with the keys already stored, so no state grows in memory and
-    no watermark lets late repeats through.
+    There is no watermark, so no late repeat gets through.
     """
-    ddl = schema
 
-    def each(batch: DataFrame, number: int) -> None:
-        rest = [c for c in batch.columns if c != key]
-        first = (
-            batch.groupBy(key).agg(F.min_by(F.struct(*rest), order).alias("first"))
-            .select(key, "first.*")
-        )
-        seen = read_batches(spark, root, "unique", ddl, before=number).select(key)
-        _write(first.join(seen, key, "left_anti").select(*batch.columns), root, "unique", number)
-
-    return _run(spark, landing, ddl, f"{root}/_dedup_checkpoint", each, files_per_batch)
+    def each(new: DataFrame, number: int) -> None:
+        _write(new, root, "unique", number)
+
+    stream = _read(spark, landing, schema, files_per_batch)
+    return first_rows(stream, [F.col(key).alias("_key")], order, f"{root}/_dedup_checkpoint", each)
 
 
 def bounded_stream_dedup(stream: DataFrame, key: str, time: str, delay: str) -> DataFrame:

@@ -183,3 +183,44 @@ def test_scratch_uses_the_shared_folder(spark):
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     path = scratch.scratch_path(spark, "x")
     assert not base or path.startswith(base)
+
+
+def test_streams_read_nothing_of_what_earlier_batches_wrote(spark, tmp_path, monkeypatch):
+    read = inc.read_batches
+
+    def small(session, root, table, *rest, **named):
+        assert table == "product_ids", "only the last ids, one row a batch"
+        return read(session, root, table, *rest, **named)
+
+    root, landing = str(tmp_path / "root"), str(tmp_path / "landing")
+    rows = [(i, f"u{i}", ITEM.format(f"p{i % 7}", f"N{i}") + ITEM.format("https://click1.x", "Ad")) for i in range(1, 13)]
+    for row in rows:
+        tables.capture_sink(captures(spark, row).coalesce(1), landing)
+    with monkeypatch.context() as patch:
+        patch.setattr(inc, "read_batches", small)
+        inc.listing_stream(spark, landing, root, files_per_batch=3).awaitTermination()
+        tables.capture_sink(captures(spark, (13, "u13", ITEM.format("p6", "Late") + ITEM.format("p99", "New"))), landing)
+        inc.listing_stream(spark, landing, root, files_per_batch=3).awaitTermination()
+    found = read(spark, root, "products", schemas.PRODUCTS).orderBy("id").collect()
+    assert [r.id for r in found] == list(range(1, 21)) and found[-1].product_url == "p99"
+    assert sorted(r.product_url for r in found if r.product_url) == sorted([*(f"p{i}" for i in range(7)), "p99"])
+    assert {r.product_url: r.source_page_id for r in found if r.product_url and r.product_url != "p99"} == {f"p{i % 7}": i for i in range(1, 8)}
+    assert sum(r.product_url is None for r in found) == 12
+
+
+def test_stream_dedup_over_many_batches_equals_one_batch(spark, tmp_path):
+    landing, schema = f"{tmp_path}/landing", "k STRING, v BIGINT"
+    seen: dict = {}
+    for step in range(6):
+        values = [(None if i % 5 == 0 else f"k{(i * 7 + step * 3) % 20}", 100 - i + step) for i in range(8)]
+        for k, v in values:
+            if (k, step) not in seen:
+                seen[k, step] = v
+            seen[k, step] = min(v, seen[k, step])
+        spark.createDataFrame(values, schema).coalesce(1).write.mode("append").parquet(landing)
+        inc.stream_dedup(spark, landing, schema, "k", str(tmp_path / "root"), F.col("v")).awaitTermination()
+    first = {}
+    for k, step in sorted(seen, key=lambda x: x[1]):
+        first.setdefault(k, seen[k, step])
+    got = [tuple(r) for r in inc.read_batches(spark, str(tmp_path / "root"), "unique", schema).collect()]
+    assert len(got) == len(first) and dict(got) == first
