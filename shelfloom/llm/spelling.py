@@ -4,9 +4,10 @@ Bigrams are ordered by how many words have them, rare ones first. One edit destr
 one of two bigrams of a word that do not overlap. So of two words one edit apart, the one
 whose prefix (its three rarest bigrams) ends earlier in that order has, among two disjoint
 bigrams of its prefix, its pivots, one that stands unharmed in the prefix of the other. Pivots
-are indexed, prefixes look them up, and positions limit the hits: the edit is on one side of
-the unharmed bigram, so either all up to its end is equal, or all from its start on. A key is
-that equal side and the length of the word with the pivot. Candidates are verified.
+are indexed, prefixes look them up, and positions limit the hits: an edit after the first pivot
+leaves all up to the pivot's end in place, any other all from the second pivot on, and in both
+cases one half of the remainder. A key is what is left in place with the length of the word that
+has the pivot, so words that only share a bigram do not meet. Candidates are verified.
 """
 
 from __future__ import annotations
@@ -14,13 +15,14 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfloom.llm.common import add_columns, texts_of
+from shelfloom.llm.common import add_columns, mix, texts_of
 from shelfloom.sources.scratch import materialize
 
 #: Words are runs of these; their bigrams are at most 90 * 90, whatever the corpus.
@@ -29,7 +31,9 @@ LEAST_LENGTH, LEAST_COUNT, TIMES = 7, 2, 10
 #: One run in so many loses a letter, chosen by its hash; None leaves all as they are.
 DAMAGE = 31
 _SMALL = bytes((b | 32 if 65 <= b <= 90 else b) for b in range(256))
-_PRIME, _SPREAD = (1 << 61) - 1, 0x9E3779B97F4A7C15
+#: Letters of ``RUN``; odd factors of the hashes.
+LETTERS = 26 + 64
+_STEP, _SPREAD = np.uint64(0xD6E8FEB86659FD93), np.uint64(0x9E3779B97F4A7C15)
 #: Distinct words a task counts before it hands them on.
 _HELD = 300_000
 
@@ -88,75 +92,122 @@ def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["gram", "n"])
 
 
-def gram_order(words: DataFrame) -> dict[str, int]:
-    """Place of each bigram when ordered by the number of words that have it, then by itself.
+def gram_order(words: DataFrame) -> np.ndarray:
+    """Place of each bigram, (first letter, second letter), when ordered by the number of words that have it, then by itself.
 
     At most 8100 rows reach the driver: the letters of ``RUN`` bound them.
     """
     found = words.select("word").mapInArrow(_gram_counts, "gram string, n bigint").groupBy("gram").agg(F.sum("n").alias("n")).collect()
-    return {r["gram"]: i for i, r in enumerate(sorted(found, key=lambda r: (r["n"], r["gram"])))}
+    order = np.zeros((LETTERS, LETTERS), np.int64)
+    for place, row in enumerate(sorted(found, key=lambda r: (r["n"], r["gram"]))):
+        order[tuple(_codes([row["gram"]])[0])] = place
+    return order
 
 
-def pivots(places: list[tuple[int, int]], wanted: int = 2, width: int = 2) -> list[int]:
-    """Positions of ``wanted`` disjoint grams of least total place in the order.
+def _codes(words: list[str]) -> np.ndarray:
+    """Letters of words of one length as numbers below ``LETTERS``, a row a word."""
+    points = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).reshape(len(words), -1).astype(np.int64)
+    return np.where(points < 0xC0, points - ord("a"), points - 0xC0 + 26)
 
-    ``places`` are (position, place) by position. best[j] after gram i is the cheapest choice
-    of j grams among those up to i: without gram i, or with it after the best of j - 1 grams
-    that end before it.
+
+def pivots(places: np.ndarray, allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of the two disjoint allowed grams of least total place, a row a word; -1 if there are none.
+
+    By dynamic programming from left to right: the cheapest first gram that ends before each
+    position, and the cheapest pair up to it.
     """
-    best: list[list[tuple[int, list[int]] | None]] = [[(0, [])] + [None] * wanted]
-    for i, (at, cost) in enumerate(places):
-        before = i
-        while before and places[before - 1][0] > at - width:
-            before -= 1
-        row = list(best[i])
-        for j in range(1, wanted + 1):
-            smaller = best[before][j - 1]
-            if smaller is not None and (row[j] is None or smaller[0] + cost < row[j][0]):
-                row[j] = (smaller[0] + cost, [*smaller[1], at])
-        best.append(row)
-    chosen = best[-1][wanted]
-    return [] if chosen is None else chosen[1]
-
-
-def _running(word: Iterable[str]) -> list[int]:
-    """Hash of the first 0, 1, 2 ... letters."""
-    out = [0]
-    for c in word:
-        out.append((out[-1] * 1_000_003 + ord(c)) % _PRIME)
+    rows, n = places.shape
+    far = np.iinfo(np.int64).max // 4
+    cost = np.where(allowed, places, far)
+    single, single_at = np.full(rows, far), np.full(rows, -1)
+    pair, first, second = np.full(rows, far), np.full(rows, -1), np.full(rows, -1)
+    for i in range(2, n):
+        better = cost[:, i - 2] < single
+        single, single_at = np.where(better, cost[:, i - 2], single), np.where(better, i - 2, single_at)
+        total = single + cost[:, i]
+        better = total < pair
+        pair, first, second = np.where(better, total, pair), np.where(better, single_at, first), np.where(better, i, second)
+    return first, second
+
+
+def _running(codes: np.ndarray) -> np.ndarray:
+    """Hashes of the first 0, 1, 2 ... letters, a row a word."""
+    out = np.zeros((codes.shape[0], codes.shape[1] + 1), np.uint64)
+    for i in range(codes.shape[1]):
+        out[:, i + 1] = out[:, i] * _STEP + codes[:, i].astype(np.uint64) + np.uint64(1)
     return out
 
 
-def _key(side: int, part: int, length: int) -> int:
-    h = (part * _SPREAD + 2 * length + side) % (1 << 64)
-    return h - ((h >> 63) << 64)
+class _Keys:
+    """Keys of words of one length.
 
+    A key is the length of the word with the pivot, how many letters are equal at the start and
+    how many at the end, and their hashes. An edit after the first pivot leaves all up to its
+    end; it also leaves one half of what follows. Any other edit comes before the second pivot
+    and leaves all from there on, and one half of what precedes. A prefix holds every place of
+    its grams, so a gram that a word has twice is found at both.
+    """
 
-def keys(word: str, order: dict[str, int]) -> tuple[int, list[int], list[int]]:
-    """(last place of the prefix, keys of the pivots, keys that the prefix looks up).
+    def __init__(self, words: list[str], order: np.ndarray) -> None:
+        codes = _codes(words)
+        self.n = codes.shape[1]
+        self.places = order[codes[:, :-1], codes[:, 1:]]
+        last = np.sort(self.places, axis=1)[:, 2]
+        self.prefix = self.places <= last[:, None]
+        self.left, self.right = _running(codes), _running(codes[:, ::-1])
+        # 32 bits for letters and 32 for bigrams: one edit changes two of those and four of these.
+        bit = np.uint64(1)
+        self.seen = np.bitwise_or.reduce(bit << (codes % 32).astype(np.uint64), axis=1)
+        grams = (codes[:, :-1] * 7 + codes[:, 1:] * 13) % 32 + 32
+        self.seen |= np.bitwise_or.reduce(bit << grams.astype(np.uint64), axis=1)
+
+    def _key(self, rows: np.ndarray, length: int, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        head = (np.full(len(rows), length, np.uint64) * _SPREAD + start.astype(np.uint64)) * _SPREAD + end.astype(np.uint64)
+        return mix((head * _SPREAD + self.left[rows, start]) * _SPREAD + self.right[rows, end])
+
+    def own(self) -> tuple[np.ndarray, np.ndarray]:
+        """(row, key) of the pivots."""
+        first, second = pivots(self.places, self.prefix)
+        rows = np.arange(len(first))
+        none, found = np.zeros(len(rows), np.int64), []
+        rest = self.n - first - 2
+        found += [self._key(rows, self.n, first + 2 + rest // 2, none), self._key(rows, self.n, first + 2, rest - rest // 2)]
+        found += [self._key(rows, self.n, none, self.n - second + second - second // 2), self._key(rows, self.n, second // 2, self.n - second)]
+        return np.tile(rows, 4), np.concatenate(found)
+
+    def sought(self) -> tuple[np.ndarray, np.ndarray]:
+        """(row, key) that the prefix looks up, for words as long, a letter shorter and a letter longer."""
+        rows, i = np.nonzero(self.prefix)
+        kept, none = self.n - i, np.zeros(len(rows), np.int64)
+        out_rows, out_keys = [], []
+        for length in (self.n - 1, self.n, self.n + 1):
+            rest, before = length - i - 2, length - kept
+            for start, end in ((i + 2 + rest // 2, none), (i + 2, rest - rest // 2), (none, kept + before - before // 2), (before // 2, kept)):
+                ok = (start >= 0) & (start <= self.n) & (end >= 0) & (end <= self.n)
+                out_rows.append(rows[ok])
+                out_keys.append(self._key(rows[ok], length, start[ok], end[ok]))
+        return np.concatenate(out_rows), np.concatenate(out_keys)
+
+
+def _keyed(order: np.ndarray, side: str) -> Callable:
+    """Per task: (key, id, seen) of one side of the join."""
 
-    A prefix holds every place of its grams, so a gram that a word has twice is found at both.
-    Keys are hashes; one by chance costs a comparison.
-    """
-    places = [(i, order[x + y]) for i, (x, y) in enumerate(zip(word, word[1:], strict=False))]
-    last = sorted({(p, i) for i, p in places})[min(2, len(places) - 1)][0]
-    prefix = [(i, p) for i, p in places if p <= last]
-    n, own, sought = len(word), [], []
-    left, right = _running(word), _running(reversed(word))
-    for i in pivots(prefix):
-        own += [_key(0, left[i + 2], n), _key(1, right[n - i], n)]
-    for i, _ in prefix:
-        for other in (n - 1, n, n + 1):
-            sought += [_key(0, left[i + 2], other), _key(1, right[n - i], other)]
-    return last, own, list(dict.fromkeys(sought))
-
-
-def _letters(word: str) -> int:
-    """64 bits that tell which letters a word has, several letters a bit."""
-    bits = 0
-    for c in set(word):
-        bits |= 1 << ord(c) % 64
-    return bits - ((bits >> 63) << 64)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words, ids = batch["word"].to_pylist(), batch["id"].to_numpy(zero_copy_only=False)
+            sizes = np.fromiter(map(len, words), np.int64, len(words))
+            for n in np.unique(sizes[sizes >= 4]).tolist():
+                every = np.flatnonzero(sizes == n)
+                # Long words go in small groups: a group's memory follows its letters.
+                part = max(1, 50_000 // n)
+                for at in range(0, len(every), part):
+                    own = every[at : at + part]
+                    table = _Keys([words[i] for i in own], order)
+                    rows, found = getattr(table, side)()
+                    columns = [pa.array(found.view(np.int64)), pa.array(ids[own][rows]), pa.array(table.seen[rows].view(np.int64))]
+                    yield pa.RecordBatch.from_arrays(columns, ["key", "id", "seen"])
+
+    return run
 
 
 def one_edit(a: str, b: str) -> bool:
@@ -177,31 +228,21 @@ def near_words(words: DataFrame) -> DataFrame:
     """(word, n, other, other_n): every ordered pair of words of ``words`` (word, n) that are one edit apart.
 
     Exact for words of four letters and more: three bigrams always hold two disjoint ones. Shorter
-    words are not paired. Words are written with their keys and a number, and only numbers and
-    letter bits go through the join of keys; one edit changes at most two of these bits.
+    words are not paired. Words are written with a number; only keys, numbers and bits that tell
+    letters and bigrams go through the join of keys, so a very long word is not carried by each key.
     """
     order = gram_order(words)
-
-    def make() -> Callable:
-        def cells(batch: pa.RecordBatch) -> list:
-            out: list[list] = [[], [], [], []]
-            for word in batch["word"].to_pylist():
-                found = keys(word, order) if len(word) >= 4 else (0, [], [])
-                for column, value in zip(out, (_letters(word), *found), strict=True):
-                    column.append(value)
-            return out
-
-        return cells
-
-    keyed = add_columns(words.select("word", "n"), make, "letters bigint, last int, own array<bigint>, sought array<bigint>")
-    keyed = materialize(keyed.withColumn("id", F.monotonically_increasing_id()), "spelling_keys")
-    left = keyed.select(F.explode("own").alias("key"), F.col("id").alias("a"), F.col("letters").alias("letters_a"), F.col("last").alias("last_a"))
-    right = keyed.select(F.explode("sought").alias("key"), F.col("id").alias("b"), F.col("letters").alias("letters_b"), F.col("last").alias("last_b"))
-    may = (F.col("last_a") <= F.col("last_b")) & (F.col("a") != F.col("b")) & (F.bit_count(F.col("letters_a").bitwiseXOR(F.col("letters_b"))) <= 2)
-    met = left.join(right, "key").filter(may).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    named = keyed.select("id", "word", "n")
-    one, two = (named.toDF(f"id_{s}", s, f"n_{s}") for s in "ab")
-    pairs = met.toDF("id_a", "id_b").join(one, "id_a").join(two, "id_b").select("a", "n_a", "b", "n_b")
+    named = materialize(words.select("word", "n").withColumn("id", F.monotonically_increasing_id()), "spelling_ids")
+    left, right = (
+        named.select("word", "id").mapInArrow(_keyed(order, side), "key bigint, id bigint, seen bigint").toDF("key", f"id_{s}", f"seen_{s}")
+        for side, s in (("own", "a"), ("sought", "b"))
+    )
+    changed = F.col("seen_a").bitwiseXOR(F.col("seen_b"))
+    may = (F.bit_count(changed.bitwiseAND(F.lit((1 << 32) - 1))) <= 2) & (F.bit_count(F.shiftrightunsigned(changed, 32)) <= 4)
+    met = left.join(right, "key").filter((F.col("id_a") != F.col("id_b")) & may)
+    met = met.select(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b")).distinct()
+    one, two = (named.select("id", "word", "n").toDF(f"id_{s}", s, f"n_{s}") for s in "ab")
+    pairs = met.join(one, "id_a").join(two, "id_b").select("a", "n_a", "b", "n_b")
     one_apart = add_columns(pairs, _verified, "near boolean").filter("near")
     both = F.explode(F.array(*(
         F.struct(F.col(s).alias("word"), F.col(f"n_{s}").alias("n"), F.col(o).alias("other"), F.col(f"n_{o}").alias("other_n"))
