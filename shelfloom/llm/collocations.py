@@ -6,7 +6,7 @@ between frequent words only, and longer ones between frequent phrases. A bit arr
 size tells the tasks which parts may be frequent; a wrong yes costs a counted row and is
 filtered by the exact counts afterwards.
 
-All counts together, as (lang, words, n), are one stream. Sorted by words from the left, a
+All counts together are one stream of (lang, words, n). Sorted by words from the left, a
 phrase comes right after its own first parts, so that one pass beside the stream reads the
 counts of all first parts off the rows before, and each row sees the phrase that it extends
 to the right. The same stream sorted by words from the right (the reversed phrase) gives the
@@ -21,6 +21,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,7 +35,7 @@ SHARE = (50, 100)
 #: log2 of the bits that stand for frequent words or phrases: 4 MB, whatever the corpus.
 BITS = 25
 #: Distinct words, and phrases, that a task holds before it hands its counts on; words counted in one go.
-_WORDS, _PHRASES, _RUN = 300_000, 1_000_000, 1 << 18
+_WORDS, _PHRASES, _RUN = 150_000, 400_000, 1 << 18
 _MANY = np.uint64(0x9E3779B97F4A7C15)
 #: A-Z become small letters, the marks that end a piece become line ends, tabs become blanks.
 _ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -47,7 +48,7 @@ _NO_LANG = "und"
 
 
 def windows(text: bytes) -> Iterator[list[bytes]]:
-    """Words of a text in runs; a line end stands between pieces and after the last.
+    """Words of a text in runs, empty ones between blanks; a line end stands between pieces and after the last.
 
     A long text is cut at blanks; runs then follow on each other within a piece.
     """
@@ -62,30 +63,56 @@ def windows(text: bytes) -> Iterator[list[bytes]]:
                 end = min(end + _WINDOW, len(text))
                 cut = max(text.rfind(b" ", at, end), text.rfind(b"\n", at, end))
             end = cut + 1 if cut >= 0 else end
-        yield [w for w in text[at:end].replace(b"\n", b" \n ").split(b" ") if w]
+        yield text[at:end].replace(b"\n", b" \n ").split(b" ")
         at = end
     yield [b"\n"]
 
 
+class _Numbers(dict):
+    """Numbers of the words of one language, given at the first sight of a word."""
+
+    def __init__(self, lang: str, words: list[tuple[str, bytes]]) -> None:
+        # No word is empty: blanks that follow on each other are passed over.
+        super().__init__({b"\n": 0, b"": -1})
+        self.lang, self.words = lang, words
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self.words)
+        self.words.append((self.lang, word))
+        return number
+
+
 class _Words:
     """Numbers of the words met, per language, with their hashes; 0 stands for the end of a piece."""
 
     def __init__(self) -> None:
-        self.place: dict[str, dict[bytes, int]] = {}
         self.words: list[tuple[str, bytes]] = [("", b"\n")]
-        self.hashes = np.zeros(1, np.uint64)
+        self.place: dict[str, _Numbers] = {}
+        self._hashes = np.empty(0, np.uint64)
 
     def numbers(self, lang: str, words: list[bytes]) -> np.ndarray:
-        place = self.place.setdefault(lang, {b"\n": 0})
-        out = np.array([place.get(w, -1) for w in words], np.int64)
-        missing = np.flatnonzero(out < 0).tolist()
-        if missing:
-            new = list(dict.fromkeys(words[i] for i in missing))
-            place.update(zip(new, range(len(self.words), len(self.words) + len(new)), strict=True))
-            self.words += [(lang, w) for w in new]
-            self.hashes = np.concatenate([self.hashes, _word_hashes(lang, new)])
-            out[missing] = [place[words[i]] for i in missing]
-        return out
+        place = self.place.get(lang)
+        if place is None:
+            place = self.place[lang] = _Numbers(lang, self.words)
+        out = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
+        return out[out >= 0]
+
+    def hashes(self) -> np.ndarray:
+        new = self.words[len(self._hashes) :]
+        if new:
+            seeds = {lang: xxhash.xxh3_64_intdigest(lang.encode()) for lang in {lang for lang, _ in new}}
+            own = np.array([xxhash.xxh3_64_intdigest(w, seed=seeds[lang]) for lang, w in new], np.uint64)
+            self._hashes = np.concatenate([self._hashes, own])
+        return self._hashes
+
+    def phrases(self, numbers: np.ndarray) -> tuple[pa.Array, pa.Array]:
+        """(languages, phrases) of rows of numbers; words are joined by a blank."""
+        used, at = np.unique(numbers, return_inverse=True)
+        at = at.reshape(numbers.shape)
+        text = pa.array([self.words[i][1].decode("utf-8", "replace") for i in used.tolist()], pa.string())
+        lang = pa.array([self.words[i][0] for i in used.tolist()], pa.string())
+        parts = [text.take(pa.array(column)) for column in at.T]
+        return lang.take(pa.array(at[:, 0])), pc.binary_join_element_wise(*parts, " ") if len(parts) > 1 else parts[0]
 
 
 def _word_hashes(lang: str, words: list[bytes]) -> np.ndarray:
@@ -107,7 +134,7 @@ def _maybe(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 
 def _phrases(order: int, bits: np.ndarray | None) -> Callable:
-    """Per task: (lang, words, n), counts of the phrases of ``order`` words whose parts may be frequent.
+    """Per task: (lang, phrase, n), counts of the phrases of ``order`` words whose parts may be frequent.
 
     A phrase is a number of ``63 // order`` bits a word; a task may hand on a phrase more than once.
     """
@@ -130,12 +157,13 @@ def _phrases(order: int, bits: np.ndarray | None) -> Callable:
             for g in grams:
                 fits &= g > 0
             if bits is not None and order == 2:
-                may = _maybe(bits, _phrase_hash(known.hashes[:, None]))
+                may = _maybe(bits, _phrase_hash(known.hashes()[:, None]))
                 for g in grams:
                     fits &= may[g]
             grams = [g[fits] for g in grams]
             if bits is not None and order > 2:
-                hashes = np.stack([known.hashes[g] for g in grams], axis=1)
+                every = known.hashes()
+                hashes = np.stack([every[g] for g in grams], axis=1)
                 fits = _maybe(bits, _phrase_hash(hashes[:, :-1])) & _maybe(bits, _phrase_hash(hashes[:, 1:]))
                 grams = [g[fits] for g in grams]
             key = np.zeros(len(grams[0]), np.int64)
@@ -157,10 +185,7 @@ def _phrases(order: int, bits: np.ndarray | None) -> Callable:
             compact()
             key, times = counted.pop() if counted else (np.empty(0, np.int64), np.empty(0, np.int64))
             numbers = np.stack([(key >> (width * (order - 1 - j))) & ((1 << width) - 1) for j in range(order)], axis=1)
-            lang = pa.array([known.words[i][0] for i in numbers[:, 0].tolist()], pa.string())
-            flat = pa.array([known.words[i][1].decode("utf-8", "replace") for i in numbers.ravel().tolist()], pa.string())
-            words = pa.ListArray.from_arrays(pa.array(np.arange(len(key) + 1, dtype=np.int32) * order), flat)
-            return pa.RecordBatch.from_arrays([lang, words, pa.array(times)], ["lang", "words", "n"])
+            return pa.RecordBatch.from_arrays([*known.phrases(numbers), pa.array(times)], ["lang", "phrase", "n"])
 
         for batch in (part for whole in batches for part in slices(whole)):
             for lang, text in zip(batch["lang"].to_pylist(), batch["text"].to_pylist(), strict=True):
@@ -192,13 +217,13 @@ def _phrases(order: int, bits: np.ndarray | None) -> Callable:
 
 
 def phrase_counts(docs: DataFrame, order: int, parts: DataFrame | None = None, least: int = LEAST) -> DataFrame:
-    """(lang, words, n) of the phrases of ``order`` words; ``parts``, those a word shorter, narrows them.
+    """(lang, phrase, n) of the phrases of ``order`` words; ``parts``, those a word shorter, narrows them.
 
     With ``parts`` only phrases of at least ``least`` occurrences are given, without it all words.
     """
     bits = None if parts is None else _bits(parts)
-    counts = docs.mapInArrow(_phrases(order, bits), "lang string, words array<string>, n bigint")
-    counts = counts.groupBy("lang", "words").agg(F.sum("n").alias("n"))
+    counts = docs.mapInArrow(_phrases(order, bits), "lang string, phrase string, n bigint")
+    counts = counts.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
     return counts if parts is None else counts.filter(F.col("n") >= least)
 
 
@@ -208,13 +233,13 @@ def _bits(parts: DataFrame) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = np.zeros(1 << (BITS - 6), np.uint64)
         for batch in batches:
-            for lang, words in zip(batch["lang"].to_pylist(), batch["words"].to_pylist(), strict=True):
-                h = _phrase_hash(_word_hashes(lang, [w.encode() for w in words])[None, :])[0] >> np.uint64(64 - BITS)
+            for lang, phrase in zip(batch["lang"].to_pylist(), batch["phrase"].to_pylist(), strict=True):
+                h = _phrase_hash(_word_hashes(lang, phrase.encode().split(b" "))[None, :])[0] >> np.uint64(64 - BITS)
                 cells[h >> np.uint64(6)] |= np.uint64(1) << (h & np.uint64(63))
         used = np.flatnonzero(cells)
         yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(cells[used].view(np.int64))], ["cell", "bits"])
 
-    rows = parts.select("lang", "words").mapInArrow(run, "cell int, bits bigint").groupBy("cell").agg(F.bit_or("bits").alias("bits")).collect()
+    rows = parts.select("lang", "phrase").mapInArrow(run, "cell int, bits bigint").groupBy("cell").agg(F.bit_or("bits").alias("bits")).collect()
     out = np.zeros(1 << (BITS - 6), np.uint64)
     out[[r["cell"] for r in rows]] = np.array([r["bits"] for r in rows], np.int64).view(np.uint64)
     return out
@@ -276,7 +301,7 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, share: tup
     frequent = words.filter(F.col("n") >= least)
     pairs = materialize(phrase_counts(rows, 2, frequent, least), "phrases_2")
     triples = materialize(phrase_counts(rows, 3, pairs, least), "phrases_3")
-    stream = frequent.unionByName(pairs).unionByName(triples)
+    stream = frequent.unionByName(pairs).unionByName(triples).select("lang", F.split("phrase", " ").alias("words"), "n")
     stream = beside(stream, F.col("words"), ["first_1", "first_2"])
     stream = materialize(beside(stream, F.reverse("words"), ["last_1", "last_2"]), "phrases")
     longer = stream.filter(F.size("words") == 3)
