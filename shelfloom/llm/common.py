@@ -124,11 +124,11 @@ def slices(batch: pa.RecordBatch, limit: int = SLICE) -> Iterator[pa.RecordBatch
         yield batch.slice(start, end - start)
 
 
-def add_columns(df: DataFrame, function: Callable[[], Cells], added: str, keep: list[str] | None = None) -> DataFrame:
+def add_columns(df: DataFrame, function: Callable[[], Cells], added: str, keep: list[str] | None = None, limit: int = SLICE) -> DataFrame:
     """One Arrow pass that adds columns to the rows.
 
     ``function()`` is called once per task and gives a function from a record batch, of at
-    most some ``SLICE`` bytes or one row, to the added columns, as Python lists or Arrow arrays. ``keep`` names the columns of ``df``
+    most some ``limit`` bytes or one row, to the added columns, as Python lists or Arrow arrays. ``keep`` names the columns of ``df``
     that stay, all by default. Rows stay in place: there is no shuffle.
     """
     names = df.columns if keep is None else keep
@@ -139,7 +139,7 @@ def add_columns(df: DataFrame, function: Callable[[], Cells], added: str, keep:
         from pyspark.sql.pandas.types import to_arrow_type
 
         cells, types = function(), [to_arrow_type(f.dataType) for f in extra.fields]
-        for batch in (part for whole in batches for part in slices(whole)):
+        for batch in (part for whole in batches for part in slices(whole, limit)):
             made = [
                 c if isinstance(c, pa.Array) else pa.array(c, t)
                 for c, t in zip(cells(batch), types, strict=True)

@@ -42,6 +42,8 @@ END_HASH = int(long_of(word_hashes([END]))[0])
 _P = np.uint64(0x9E3779B97F4A7C15)
 _CELLS = 4_000_000
 _CACHE = 300_000
+#: Bytes of texts looked at in one go: words of equal length share the steps of the recursion.
+_SLICE = 6 << 20
 #: Words and bytes whose expected uses are taken in one go.
 _WORDS, _BYTES = 50_000, 2_000_000
 
@@ -321,7 +323,7 @@ def scores(docs: DataFrame, model: Trained, held_out: Column | None = None) -> D
     looked = add_columns(
         base, _first_look(model.frequent, model.lattice, model.log_end, model.log_word),
         "n_tokens bigint, known bigint, base double, score double, rare array<bigint>, times array<int>",
-        keep=["doc_id", "held_out"],
+        keep=["doc_id", "held_out"], limit=_SLICE,
     )
     # The rows are written with their numbers, so these stay whichever tasks run again.
     looked = materialize(looked.withColumn("key", F.monotonically_increasing_id()), "first_look")
