@@ -17,6 +17,16 @@ def next_id(table: DataFrame, id_column: str = "id") -> Column:
     return table.agg(F.coalesce(F.max(id_column), F.lit(0).cast("bigint"))).scalar()
 
 
+def _free(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores at its end until no column has it."""
+    taken, free = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        free.append(name)
+    return free
+
+
 def number_rows(
     df: DataFrame, order: Sequence[str], after: Column | int = 0, id_column: str = "id"
 ) -> DataFrame:
@@ -27,23 +37,24 @@ def number_rows(
     counts, one per partition, meet in one place. ``order`` must be unique for ids that
     repeat between runs.
     """
+    part, row, n, before_it = _free(df, "_part", "_row", "_n", "_before")
     placed = df.repartitionByRange(*order).sortWithinPartitions(*order)
     placed = materialize(
         placed.withColumns(
             {
-                "_part": F.spark_partition_id(),
-                "_row": F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS)),
+                part: F.spark_partition_id(),
+                row: F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS)),
             }
         ),
         "numbered",
     )
     # One row per partition of the sort: its size is bounded by the number of partitions.
-    counts = placed.groupBy("_part").agg(F.count("*").alias("_n"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    counts = placed.groupBy(part).agg(F.count("*").alias(n))
+    before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(part, F.coalesce(F.sum(n).over(before), F.lit(0)).alias(before_it))
     start = after if isinstance(after, Column) else F.lit(after)
-    return placed.join(F.broadcast(offsets), "_part").select(
-        (start + F.col("_before") + F.col("_row") + 1).cast("bigint").alias(id_column), *df.columns
+    return placed.join(F.broadcast(offsets), part).select(
+        (start + F.col(before_it) + F.col(row) + 1).cast("bigint").alias(id_column), *df.columns
     )
 
 
