@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfloom.llm.common import PLAIN_WORDS, ascii_lower, regex_words, row_key
+from shelfloom.llm.common import PLAIN_WORDS, ascii_lower, free_name, regex_words
 from shelfloom.sources.scratch import materialize
 
 WINDOW, K = 10, 5
@@ -133,7 +133,7 @@ def document_seeds(
     reach = window - k
     lengths = sorted(r["k"] for r in seeds.filter("short").select("k").distinct().collect())
     long_bits = _bit_array(seeds.filter("NOT short"), bits)
-    base = _with_hashes(docs.select(row_key().alias("key"), "doc_id", "text"), "text").drop("text")
+    base = _with_hashes(docs.select(_row().alias("key"), "doc_id", "text"), "text").drop("text")
     found = []
     for size in sorted({k, *lengths}):
         name = f"_grams{size}"
@@ -165,14 +165,18 @@ def _common(a: str, b: str, reach: int) -> Column:
     return total
 
 
+def _row() -> Column:
+    """What tells rows apart: the id and a hash of the text."""
+    return F.struct(F.col("doc_id").alias("id"), F.xxhash64("text").alias("content"))
+
+
 def find_items(docs: DataFrame, items: DataFrame, window: int = WINDOW, k: int = K) -> tuple[DataFrame, DataFrame]:
     """(documents with key, doc_id and n_words; hits with key, item_id, start and length).
 
     A hit is a run of words that holds an occurrence of a window of the item. NULL and empty
-    texts have no words, and so neither windows nor hits. Rows that repeat a doc_id with the
-    same text share their key and their hits; with another text they are told apart by
-    nothing, and each gets the hits of all. NULL doc_ids are told apart by their texts. Items
-    that repeat count by their item_id. Other columns are not read.
+    texts have no words, and so neither windows nor hits. The key is (doc_id, hash of the
+    text): rows that repeat both share their hits, and rows that repeat a doc_id, NULL or
+    not, with another text have their own. Items that repeat count by their item_id. Other columns are not read.
     """
     reach = window - k
     seeds = materialize(item_seeds(items, window, k), "item_seeds")
@@ -223,5 +227,6 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, k: in
 def clean_documents(docs: DataFrame, items: DataFrame, window: int = WINDOW, k: int = K) -> DataFrame:
     """The rows of ``docs`` in which no window of an item occurs, with all their columns."""
     _, hits = find_items(docs, items, window, k)
-    hit = materialize(hits.select(F.col("key").alias("_hit_key")).distinct(), "hit_keys")
-    return docs.join(hit, row_key() == F.col("_hit_key"), "left_anti")
+    key = free_name(docs, "_hit_key")
+    hit = materialize(hits.select(F.col("key").alias(key)).distinct(), "hit_keys")
+    return docs.withColumn(key, _row()).join(hit, key, "left_anti").select(*docs.columns)
