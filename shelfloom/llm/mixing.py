@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfloom.llm.common import BLANK_WORDS
+from shelfloom.llm.common import BLANK_WORDS, free_name
 from shelfloom.sources.scratch import materialize
 
 #: Hex digits of the key that name its range: 16 ** 3 ranges a source.
@@ -31,6 +31,17 @@ def mix_key(id_column: Column, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}-"), F.coalesce(id_column.cast("string"), F.lit(""))))
 
 
+def _place(id_column: Column, text: Column, seed: int) -> list[Column]:
+    """Range, key and tie of a row: its place in its source.
+
+    Rows without an id have one key; their texts deal them over ranges of their own.
+    """
+    key = mix_key(id_column, seed)
+    tie = F.lpad(F.hex(F.xxhash64(F.lit(seed), text)), 16, "0")
+    more = F.when(id_column.isNull(), F.substring(tie, 1, RANGE_DIGITS)).otherwise(F.lit(""))
+    return [F.concat(F.substring(key, 1, RANGE_DIGITS), more).alias("_range"), key.alias("_key"), tie.alias("_tie")]
+
+
 def fill_to_caps(sources: DataFrame, weights: Sequence[int], share: float, epochs: float) -> DataFrame:
     """Target of each source: its weight's part of ``share`` of everything, at most ``epochs`` of itself.
 
@@ -74,19 +85,19 @@ def mix_sources(
     The first has doc_id, source, size, source_size, target and taken: words taken, repeats
     counted. A source takes ``floor(target)`` words exactly; the document at the cut gives
     the part before it. The second has source, source_size, target, epochs (whole passes)
-    and cut_key: in the pass after those, documents with keys up to it belong to the mix.
+    and cut (range, key and tie of a row): in the pass after those, rows up to it belong to the mix.
 
     NULL and empty texts have size 0 and give nothing; a source of such texts has target 0.
     A NULL source is a source of its own, last in order; its weight follows from that place.
-    Rows that repeat a doc_id have the same key and stand next to each other, each with its
-    own size; rows with a NULL doc_id likewise. Empty tables give empty results. Other
+    Rows that repeat a doc_id have the same key and stand next to each other, in the order of
+    a hash of their texts, each with its own size; rows with a NULL doc_id are dealt by their
+    texts. Empty tables give empty results. Other
     columns are not read.
     """
-    key = mix_key(F.col("doc_id"), seed)
     sized = docs.select(
         "doc_id", F.col("source").alias("_source"), (word_count(F.col("text")) if size is None else size).alias("size"),
-        key.alias("_key"),
-    ).withColumn("_range", F.substring("_key", 1, RANGE_DIGITS))
+        *_place(F.col("doc_id"), F.col("text"), seed),
+    )
     sized = materialize(sized, "mix")
     ranges = sized.groupBy("_source", "_range").agg(F.sum("size").alias("_sum"))
     earlier = Window.partitionBy("_source").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
@@ -106,7 +117,7 @@ def mix_sources(
     )
     inside = (
         Window.partitionBy("_source", "_range")
-        .orderBy("_key", "doc_id", "size")
+        .orderBy("_key", "_tie")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     running = sized.withColumn("_to", F.sum("size").over(inside))
@@ -117,40 +128,36 @@ def mix_sources(
         F.col("_source").eqNullSafe(F.col("_source2")) & (F.col("_range") == F.col("_range2")),
     ).select(
         "doc_id", F.col("_source").alias("source"), "size", "source_size", "target",
-        (F.col("epochs") * F.col("size") + part).alias("taken"), "epochs", "_key",
-        (part > 0).alias("_in"),
+        (F.col("epochs") * F.col("size") + part).alias("taken"), "epochs",
+        F.struct("_range", "_key", "_tie").alias("_at"), (part > 0).alias("_in"),
     )
     cuts = taken.groupBy("source").agg(
         F.first("source_size").alias("source_size"),
         F.first("target").alias("target"),
         F.first("epochs").alias("epochs"),
-        F.max(F.when(F.col("_in"), F.col("_key"))).alias("cut_key"),
+        F.max(F.when(F.col("_in"), F.col("_at"))).alias("cut"),
     )
-    return taken.drop("epochs", "_key", "_in"), cuts
+    return taken.drop("epochs", "_at", "_in"), cuts
 
 
 def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them, whole.
 
     A document in the last, partial pass counts once more, also the one at the cut: its
-    source may exceed its budget by less than that document. Documents without words are
+    source may exceed its budget by less than that document, and by the copies of its row
+    where rows repeat an id (or have none) and the text. Documents without words are
     part of no mix and go. All columns of ``docs`` are kept, whatever their names.
     """
     seed = settings.get("seed", 17)
     _, cuts = mix_sources(docs, **settings)
     # One row per source, written down so that Spark knows its size when it picks the join.
-    cuts = materialize(
-        cuts.select(
-            F.col("source").alias("_mix_source"), F.col("epochs").alias("_mix_epochs"), F.col("cut_key").alias("_mix_cut")
-        ),
-        "cuts",
-    )
-    more = F.coalesce(mix_key(F.col("doc_id"), seed) <= F.col("_mix_cut"), F.lit(False)).cast("int")
-    times = F.when(word_count(F.col("text")) > 0, F.col("_mix_epochs").cast("int") + more).otherwise(0)
+    source, cut, again = (free_name(docs, n) for n in ("_mix_source", "_mix_cut", "_mix_pass"))
+    cuts = materialize(cuts.select(F.col("source").alias(source), F.struct("epochs", "cut").alias(cut)), "cuts")
+    place = F.struct(*_place(F.col("doc_id"), F.col("text"), seed))
+    more = F.coalesce(place <= F.col(cut)["cut"], F.lit(False)).cast("int")
+    times = F.when(word_count(F.col("text")) > 0, F.col(cut)["epochs"].cast("int") + more).otherwise(0)
     return (
-        docs.join(cuts, F.col("source").eqNullSafe(F.col("_mix_source")))
-        .withColumn("_mix_times", times)
-        .filter("_mix_times > 0")
-        .withColumn("_mix_pass", F.explode(F.sequence(F.lit(1), F.col("_mix_times"))))
+        docs.join(cuts, F.col("source").eqNullSafe(F.col(source)))
+        .withColumn(again, F.explode(F.array_repeat(F.lit(0), times)))
         .select(*docs.columns)
     )
