@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfloom.llm.common import add_columns, gram_hashes, texts_of, word_hashes
@@ -78,6 +78,11 @@ def _scorer(ratios: np.ndarray):
     return make
 
 
+def _unit(hashed: Column) -> Column:
+    """52 bits of a hash as a number between 0 and 1, neither included."""
+    return (hashed.bitwiseAND(F.lit((1 << 52) - 1)) + 0.5) / float(1 << 52)
+
+
 def _kth_greatest(rows: DataFrame, k: int) -> tuple[float, int] | None:
     """The k-th greatest key, and how many keys are above it; from sums per bin of ever narrower ranges."""
     low, high, above = rows.agg(F.min("key"), F.max("key")).first(), None, 0
@@ -109,22 +114,31 @@ def resample(docs: DataFrame, good: DataFrame, share: float = 0.8, seed: int = 1
 
     log_ratio: mean log ratio of the text's features; score: the weight as a probability of
     being like good texts rather than like all, 0 to 1. selected: among the ``share`` of all
-    rows with the greatest keys; keys that tie at the cut are taken by doc_id, and rows that
-    tie in that too are all taken or all left. Texts that are NULL, empty or without words
+    rows with the greatest keys; keys that tie at the cut are taken by a hash of doc_id and
+    text, and rows that agree in both share one verdict. The noise comes from the doc_id,
+    for a NULL one from the text. Texts that are NULL, empty or without words
     have a NULL ratio, score 0.0 and are never selected. Repeated rows share their key. An
     empty table gives none; without good texts all ratios are 0. Other columns are not read.
     """
     ratios = log_ratios(docs, good)
-    base = docs.select("doc_id", F.col("text").cast("binary").alias("_text"))
-    scored = add_columns(base, _scorer(ratios), "log_ratio double", keep=["doc_id"])
-    part = (F.xxhash64(F.lit(seed), "doc_id").bitwiseAND(F.lit((1 << 52) - 1)) + 0.5) / float(1 << 52)
-    key = F.col("log_ratio") * STRENGTH - F.log(-F.log(part))
+    noise = F.when(F.col("doc_id").isNull(), F.xxhash64(F.lit(seed), "text")).otherwise(F.xxhash64(F.lit(seed), "doc_id"))
+    base = docs.select(
+        "doc_id", F.col("text").cast("binary").alias("_text"), _unit(noise).alias("noise"),
+        _unit(F.xxhash64(F.lit(seed + 1), "doc_id", "text")).alias("tie"),
+    )
+    scored = add_columns(base, _scorer(ratios), "log_ratio double", keep=["doc_id", "noise", "tie"])
+    key = F.col("log_ratio") * STRENGTH - F.log(-F.log("noise"))
     scored = materialize(scored.withColumn("key", key), "resampled")
     found = scored.filter("key IS NOT NULL")
-    cut = _kth_greatest(found, int(share * scored.count()))
+    wanted = int(share * scored.count())
+    cut = _kth_greatest(found, wanted)
     if cut is None:
-        chosen = F.lit(False) if found.isEmpty() or share <= 0 else F.lit(True)
+        chosen = F.lit(False)
     else:
-        chosen = F.coalesce(F.col("key") >= F.lit(cut[0]), F.lit(False))
+        # Keys above the cut are all taken; of those at the cut as many as are still wanted.
+        at_cut = found.filter(F.col("key") == F.lit(cut[0])).select(F.col("tie").alias("key"))
+        last = _kth_greatest(at_cut, wanted - cut[1])
+        tied = (F.col("key") == F.lit(cut[0])) & (F.lit(True) if last is None else F.col("tie") >= F.lit(last[0]))
+        chosen = F.coalesce((F.col("key") > F.lit(cut[0])) | tied, F.lit(False))
     score = F.coalesce(1.0 / (1.0 + F.exp(-STRENGTH * F.col("log_ratio"))), F.lit(0.0))
     return scored.select("doc_id", "log_ratio", score.alias("score"), F.col("key").alias("gumbel_key"), chosen.alias("selected"))
