@@ -21,6 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfloom.llm.common import free_name
 from shelfloom.operators.keys import number_rows
 from shelfloom.sources.scratch import materialize
 
@@ -155,16 +156,17 @@ def kd_shards(
     own = [c for c in (columns or docs.columns) if c.lower() not in ("shard", "slot", "size")]
     has = {c.lower() for c in docs.columns}
     missing = [c for c in ("source", "lang") if c not in has]
+    ua, ub, number, lowest = (free_name(docs, n) for n in ("_unit_a", "_unit_b", "_number", "_first"))
     placed = docs.withColumns(
         {
             "size": text_bytes(F.col("text")),
-            "_unit_a": F.xxhash64(F.lit(1), "text"),
-            "_unit_b": F.xxhash64(F.lit(2), F.reverse("text"), F.col("text").isNull()),
+            ua: F.xxhash64(F.lit(1), "text"),
+            ub: F.xxhash64(F.lit(2), F.reverse("text"), F.col("text").isNull()),
         }
     )
     narrow = placed.withColumns({c: F.lit(None).cast("string") for c in missing}).select(
         "doc_id", F.col("source").cast("string").alias("source"), F.col("lang").cast("string").alias("lang"), "size",
-        F.col("_unit_a").alias("unit_a"), F.col("_unit_b").alias("unit_b"),
+        F.col(ua).alias("unit_a"), F.col(ub).alias("unit_b"),
     )
     units = materialize(_units(narrow), "units")
     dimensions = 4
@@ -201,11 +203,11 @@ def kd_shards(
         open_nodes = below
     leaves += open_nodes
     names = _rows(units.sparkSession, [(n.number, n.first) for n in leaves], "node int,shard int")
-    where = current.join(F.broadcast(names), "node").select(F.col("unit_a").alias("_a"), F.col("unit_b").alias("_b"), "shard")
+    where = current.join(F.broadcast(names), "node").select(F.col("unit_a").alias(ua), F.col("unit_b").alias(ub), "shard")
     where = materialize(where, "unit_shards")
-    sharded = placed.select(*own, "size", "_unit_a", "_unit_b").join(where, (F.col("_unit_a") == F.col("_a")) & (F.col("_unit_b") == F.col("_b"))).drop("_a", "_b")
+    sharded = placed.select(*own, "size", ua, ub).join(where, [ua, ub])
     # Number all rows by shard; a shard's slots start after the rows of the shards before it.
-    order = ["shard", *(["doc_id"] if "doc_id" in own else []), "size", "_unit_a"]
-    numbered = number_rows(sharded, order, 0, "_number")
-    starts = numbered.groupBy("shard").agg(F.min("_number").alias("_first"))
-    return numbered.join(F.broadcast(starts), "shard").select(*own, "size", "shard", (F.col("_number") - F.col("_first")).alias("slot"))
+    order = ["shard", *(["doc_id"] if "doc_id" in own else []), "size", ua]
+    numbered = number_rows(sharded, order, 0, number)
+    starts = numbered.groupBy("shard").agg(F.min(number).alias(lowest))
+    return numbered.join(F.broadcast(starts), "shard").select(*own, "size", "shard", (F.col(number) - F.col(lowest)).alias("slot"))
