@@ -39,9 +39,13 @@ def plain_words(text: bytes) -> list[bytes]:
     return text.translate(_PLAIN).split()
 
 
+#: Keys of rows without an id begin here; ids are below it.
+NO_ID = 1 << 62
+
+
 def row_key(id_column: str = "doc_id", text: str = "text") -> Column:
-    """The id, or for a NULL id a number above the usual ones that the text decides."""
-    content = F.xxhash64(F.col(text)).bitwiseAND(F.lit((1 << 40) - 1))
+    """The id, or for a NULL id a number above all ids: 62 bits of a hash of the text."""
+    content = F.xxhash64(F.col(text)).bitwiseAND(F.lit(NO_ID - 1))
     return F.coalesce(F.col(id_column).cast("bigint"), F.lit((1 << 63) - 1) - content)
 
 

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfloom.llm.common import add_columns, free_name, gram_hashes, long_of, mix, row_key, texts_of, word_hashes
+from shelfloom.llm.common import NO_ID, add_columns, free_name, gram_hashes, long_of, mix, row_key, texts_of, word_hashes
 from shelfloom.llm.components import components
 from shelfloom.sources.scratch import materialize
 
@@ -209,6 +209,11 @@ def _worth_a_look(pairs: DataFrame, minima: int, per_hundred: int, last: Column
     return pairs.filter(sizes & near if last is None else sizes & near & last).select("a", "b")
 
 
+def _first_shared(bucket: str, keys_a: str, keys_b: str) -> Column:
+    """Whether ``bucket`` is the first key that two signatures share, band by band."""
+    return F.get(F.array_intersect(keys_a, keys_b), F.lit(0)) == F.col(bucket)
+
+
 def near_duplicates(
     docs: DataFrame,
     words: int = 5,
@@ -241,11 +246,11 @@ def near_duplicates(
         ),
         "classes",
     )
-    members = first.select("node", "n_shingles", "packed", F.explode("keys").alias("bucket"))
+    # Signatures stay behind: only (node, bucket) is dealt by bucket, and joined back for pairs.
+    members = first.select("node", F.explode("keys").alias("bucket"))
     # Buckets of one class have no pair; they are most, and leave here.
     buckets = (
-        first.select("node", F.explode("keys").alias("bucket"))
-        .groupBy("bucket")
+        members.groupBy("bucket")
         .agg(F.min("node").alias("low"), F.max("node").alias("high"))
         .filter("low < high")
     )
@@ -297,15 +302,16 @@ def near_duplicates(
     every, _ = still_open(materialize(components(links), "labels"))
     opened = every.select(F.col("node").alias("key")).distinct()
     fine = materialize(_fine_sketches(texts.join(opened, "key", "left_semi"), words), "fine")
-    every = every.join(fine, "node")
+    every = every.join(fine.join(first, "node"), "node")
     x = every.filter("label <> main").select(
-        "bucket", F.col("node").alias("a"), F.col("n_shingles").alias("n_a"), F.col("packed").alias("packed_a"), F.col("fine").alias("fine_a"), F.col("label").alias("label_x")
+        "bucket", F.col("node").alias("a"), F.col("n_shingles").alias("n_a"), F.col("packed").alias("packed_a"), F.col("fine").alias("fine_a"), F.col("label").alias("label_x"), F.col("keys").alias("keys_a")
     )
     y = every.select(
-        "bucket", F.col("node").alias("b"), F.col("n_shingles").alias("n_b"), F.col("packed").alias("packed_b"), F.col("fine").alias("fine_b"), F.col("label").alias("label_y"), "main"
+        "bucket", F.col("node").alias("b"), F.col("n_shingles").alias("n_b"), F.col("packed").alias("packed_b"), F.col("fine").alias("fine_b"), F.col("label").alias("label_y"), "main", F.col("keys").alias("keys_b")
     )
     apart = (F.col("label_x") != F.col("label_y")) & ((F.col("label_y") == F.col("main")) | (F.col("a") < F.col("b")))
-    close = fine_estimated(F.col("fine_a"), F.col("fine_b")) >= per_hundred / 100 - FINE_MARGIN
+    # A pair that shares several buckets leaves the first of them that its keys show, and no other.
+    close = (fine_estimated(F.col("fine_a"), F.col("fine_b")) >= per_hundred / 100 - FINE_MARGIN) & _first_shared("bucket", "keys_a", "keys_b")
     crossing = _worth_a_look(x.join(y, "bucket").filter(apart), minima, per_hundred, close)
     worth = materialize(ordered(crossing, "a", "b").join(tried, ["a", "b"], "left_anti"), "pairs")
     links = links.unionByName(materialize(_confirm(worth, texts, words, per_hundred), "links"))
@@ -320,7 +326,7 @@ def near_duplicates(
     out = placed.select(F.col("s.key").alias("key"), "doc_id", F.col("s.n_shingles").alias("n_shingles"), F.coalesce("label", F.col("s.key")).alias("_label"))
     # A label is the least key; only rows without doc_id have keys that are no ids.
     own = F.when(F.col("_label") == F.col("key"), F.col("doc_id")).otherwise(F.col("_label"))
-    no_id = F.col("_label") > F.lit((1 << 63) - 1 - (1 << 40))
+    no_id = F.col("_label") >= F.lit(NO_ID)
     return out.select(
         "key", "doc_id", "n_shingles", F.when(no_id, F.lit(None)).otherwise(own).cast("bigint").alias("component_id"),
         (F.col("_label") == F.col("key")).alias("kept"),
@@ -332,8 +338,8 @@ def deduplicated(docs: DataFrame, **settings) -> DataFrame:
 
     Of rows that repeat a doc_id and its text one stays.
     """
-    kept = near_duplicates(docs, **settings).filter("kept").select(F.col("key").alias("_kept"))
-    kept = materialize(kept.distinct(), "kept")
     key = free_name(docs, "_row_key")
-    rows = docs.withColumn(key, row_key()).join(kept, F.col(key) == F.col("_kept"), "left_semi")
+    kept = near_duplicates(docs, **settings).filter("kept").select(F.col("key").alias(key))
+    kept = materialize(kept.distinct(), "kept")
+    rows = docs.withColumn(key, row_key()).join(kept, key, "left_semi").select(*docs.columns, key)
     return rows.dropDuplicates([key, "text"]).drop(key)
