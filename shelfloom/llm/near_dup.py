@@ -11,8 +11,10 @@
    nothing is left to find. In the others, each member outside the bucket's main component
    is first paired with one member of that, and last with all members in other components.
    So no link that shares a bucket is lost, and groups of copies never become all pairs.
-   The last step asks a finer sketch as well, made for these members alone: the low bits of
-   the least hash in each of many bins, and which bins are used.
+   The last step asks more, of these members alone: sets of at most ``WHOLE`` shingles are
+   compared as they are, by 32 bits of each hash; of larger ones a finer sketch is asked: the
+   low bits of the least hash in each of many bins, and which bins are used. A bucket is dealt
+   in blocks, each of some of its members with all others.
 
 The chance that a pair of similarity ``s`` shares no bucket is ``(1 - s**rows) ** bands``:
 with 40 bands of 5 rows 1.3e-7 at 0.8. The estimate has a standard deviation of about 0.029
@@ -37,6 +39,10 @@ BANDS, ROWS, BITS = 40, 5, 4
 MARGIN = 0.15
 #: Of the finer sketch: bins (2 to the power of) and low bits a bin.
 FINE_LOG, FINE_BITS, FINE_MARGIN = 11, 2, 0.053
+#: Sets up to this size are carried whole into the last step.
+WHOLE = 512
+#: Members of a bucket in one block of the last step.
+BLOCK = 500
 _CHUNK = 2048
 
 
@@ -162,16 +168,37 @@ def fine_estimated(fine_a: Column, fine_b: Column) -> Column:
     return (total(equal_bits) - chance * both) / (1.0 - chance) / used
 
 
-def _fine_sketches(texts: DataFrame, words: int) -> DataFrame:
-    """(node, fine) for each row of (key, text) with a word."""
+def _fine_sketches(texts: DataFrame, words: int, per_hundred: int) -> DataFrame:
+    """(node, whole, fine) for each row of (key, text) with a word.
+
+    ``whole`` is NULL above ``WHOLE`` shingles. ``fine`` is NULL for sets so small that no
+    set above ``WHOLE`` can be similar to them: two sets worth a look share one of the two.
+    """
 
     def make():
         def cells(batch: pa.RecordBatch) -> list:
-            return [[long_of(fine_sketch(shingle_set(text, words))) for text in texts_of(batch, "text")]]
+            whole, fine = [], []
+            for text in texts_of(batch, "text"):
+                found = shingle_set(text, words)
+                short = np.unique((mix(found) >> np.uint64(32)).astype(np.uint32)).view(np.int32)
+                whole.append(short if len(found) <= WHOLE else None)
+                fine.append(long_of(fine_sketch(found)) if 100 * len(found) >= per_hundred * WHOLE else None)
+            return [whole, fine]
 
         return cells
 
-    return add_columns(texts, make, "fine array<bigint>", keep=["key"]).withColumnRenamed("key", "node")
+    return add_columns(texts, make, "whole array<int>, fine array<bigint>", keep=["key"]).withColumnRenamed("key", "node")
+
+
+def _close(per_hundred: int) -> Column:
+    """Whether the sets may be similar enough, by what ``_fine_sketches`` gave.
+
+    One more than the shared 32-bit hashes: two shingles of one set may have equal ones.
+    """
+    shared = F.size(F.array_intersect("whole_a", "whole_b")) + 1
+    by_sets = 100 * shared >= per_hundred * (F.col("n_a") + F.col("n_b") - shared)
+    by_sketch = fine_estimated(F.col("fine_a"), F.col("fine_b")) >= per_hundred / 100 - FINE_MARGIN
+    return F.when(F.col("whole_a").isNotNull() & F.col("whole_b").isNotNull(), by_sets).otherwise(by_sketch)
 
 
 def _confirm(pairs: DataFrame, texts: DataFrame, words: int, per_hundred: int) -> DataFrame:
@@ -277,10 +304,10 @@ def near_duplicates(
             named.groupBy("bucket", "label")
             .agg(F.count("*").alias("n"))
             .groupBy("bucket")
-            .agg(F.count("*").alias("labels"), F.max_by("label", F.struct("n", "label")).alias("main"))
+            .agg(F.count("*").alias("labels"), F.sum("n").alias("size"), F.max_by("label", F.struct("n", "label")).alias("main"))
             .filter("labels > 1")
         )
-        every = materialize(named.join(mixed.select("bucket", "main"), "bucket"), "open")
+        every = materialize(named.join(mixed.select("bucket", "main", "size"), "bucket"), "open")
         return every, every.filter("label <> main")
 
     # Each class with the least and the greatest of its buckets.
@@ -301,18 +328,22 @@ def near_duplicates(
     # What is still apart: pairs across components, once, unless a sketch rules them out.
     every, _ = still_open(materialize(components(links), "labels"))
     opened = every.select(F.col("node").alias("key")).distinct()
-    fine = materialize(_fine_sketches(texts.join(opened, "key", "left_semi"), words), "fine")
+    fine = materialize(_fine_sketches(texts.join(opened, "key", "left_semi"), words, per_hundred), "fine")
     every = every.join(fine.join(first, "node"), "node")
-    x = every.filter("label <> main").select(
-        "bucket", F.col("node").alias("a"), F.col("n_shingles").alias("n_a"), F.col("packed").alias("packed_a"), F.col("fine").alias("fine_a"), F.col("label").alias("label_x"), F.col("keys").alias("keys_a")
+    # Each block of a bucket meets all its members; work and not bytes is dealt, so the number of parts is set.
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    x = every.filter("label <> main").withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int")).select(
+        "bucket", "block", F.col("node").alias("a"), F.col("n_shingles").alias("n_a"), F.col("packed").alias("packed_a"), F.col("whole").alias("whole_a"), F.col("fine").alias("fine_a"), F.col("label").alias("label_x"), F.col("keys").alias("keys_a")
     )
-    y = every.select(
-        "bucket", F.col("node").alias("b"), F.col("n_shingles").alias("n_b"), F.col("packed").alias("packed_b"), F.col("fine").alias("fine_b"), F.col("label").alias("label_y"), "main", F.col("keys").alias("keys_b")
+    y = every.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))).select(
+        "bucket", "block", F.col("node").alias("b"), F.col("n_shingles").alias("n_b"), F.col("packed").alias("packed_b"), F.col("whole").alias("whole_b"), F.col("fine").alias("fine_b"), F.col("label").alias("label_y"), "main", F.col("keys").alias("keys_b")
     )
     apart = (F.col("label_x") != F.col("label_y")) & ((F.col("label_y") == F.col("main")) | (F.col("a") < F.col("b")))
     # A pair that shares several buckets leaves the first of them that its keys show, and no other.
-    close = (fine_estimated(F.col("fine_a"), F.col("fine_b")) >= per_hundred / 100 - FINE_MARGIN) & _first_shared("bucket", "keys_a", "keys_b")
-    crossing = _worth_a_look(x.join(y, "bucket").filter(apart), minima, per_hundred, close)
+    close = _first_shared("bucket", "keys_a", "keys_b") & _close(per_hundred)
+    x, y = x.repartition(parts, "bucket", "block"), y.repartition(parts, "bucket", "block")
+    crossing = _worth_a_look(x.join(y, ["bucket", "block"]).filter(apart), minima, per_hundred, close)
     worth = materialize(ordered(crossing, "a", "b").join(tried, ["a", "b"], "left_anti"), "pairs")
     links = links.unionByName(materialize(_confirm(worth, texts, words, per_hundred), "links"))
     labels = materialize(components(links), "labels")
