@@ -66,3 +66,22 @@ def test_ties_at_the_cut_are_exact(spark):
     distinct = spark.createDataFrame([(7, f"word{i} word{i}") for i in range(100)], "doc_id bigint, text string")
     got = resampling.resample(distinct, distinct.filter("doc_id = -1").select("doc_id"), share=0.5).toPandas()
     assert got.gumbel_key.nunique() == 1 and got.selected.sum() == 50
+
+
+def test_members_of_one_bucket_meet_whatever_their_sizes(spark):
+    """Sets around ``WHOLE`` shingles: each pair worth a look has whole sets or sketches on both sides."""
+    found = []
+    for n in (30, 420, 500, 512, 513, 600, 3000):
+        words = [f"w{i}" for i in range(n + 1)]
+        near = [*words[: int(n * 0.93)], *(f"x{i}" for i in range(n // 20))]
+        found += [(n, " ".join(words)), (n + 1_000_000, " ".join(near))]
+    texts = spark.createDataFrame([(k, t.encode()) for k, t in found], "key bigint, text binary")
+    sketched = near_dup._fine_sketches(texts, 2, 80).withColumn("pair", F.col("node") % 1_000_000)
+    sizes = {k: len(near_dup.shingle_set(t.encode(), 2)) for k, t in found}
+    n_of = F.udf(lambda k: sizes[k], "bigint")
+    a = sketched.filter("node < 1000000").select("pair", F.col("whole").alias("whole_a"), F.col("fine").alias("fine_a"), n_of("node").alias("n_a"))
+    b = sketched.filter("node > 1000000").select("pair", F.col("whole").alias("whole_b"), F.col("fine").alias("fine_b"), n_of("node").alias("n_b"))
+    assert {r.pair: r.close for r in a.join(b, "pair").select("pair", near_dup._close(80).alias("close")).collect()} == {
+        n: True for n in (30, 420, 500, 512, 513, 600, 3000)
+    }
+    assert not any(r[0] for r in a.join(b, "pair").select(near_dup._close(97).alias("close")).collect())
