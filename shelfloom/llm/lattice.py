@@ -20,10 +20,10 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from pathlib import Path
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,7 +40,11 @@ MARK = "▁".encode()
 END = b" "
 END_HASH = int(long_of(word_hashes([END]))[0])
 _P = np.uint64(0x9E3779B97F4A7C15)
-_CELLS = 4_000_000
+_TOP = np.uint64(44)
+#: Bytes of words whose pieces are sought in one go: some 100 bytes of memory each, and it stays in the cache.
+_CELLS = 1 << 17
+#: Words above so many bytes are computed one at a time, in runs of so many starts.
+_LONG = 4096
 _CACHE = 300_000
 #: Bytes of texts looked at in one go: words of equal length share the steps of the recursion.
 _SLICE = 6 << 20
@@ -71,6 +75,15 @@ def read_vocabulary(path: str) -> tuple[list[bytes], np.ndarray]:
     return pieces, np.log(weight / weight.sum())
 
 
+class Arc(NamedTuple):
+    """Pieces of one size: their words' columns, numbers and weights; those of start s lie from bounds[s] to bounds[s + 1]."""
+
+    row: np.ndarray
+    piece: np.ndarray
+    weight: np.ndarray
+    bounds: list[int]
+
+
 @dataclass
 class Lattice:
     """Pieces by the hash of their bytes, and their natural-log weights."""
@@ -89,76 +102,142 @@ class Lattice:
         order = np.argsort(hashed)
         return cls(hashed[order], np.asarray(weights, np.float64)[order], longest)
 
-    def arcs(self, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """For (words, length) bytes: index of the piece that ends before place e and has m + 1 bytes, -1 if none."""
-        if not hasattr(self, "_maybe"):
-            self._maybe = np.zeros(1 << 20, bool)
-            self._maybe[self.hashes >> np.uint64(44)] = True
-        n, length = text.shape
-        longest = min(self.longest, length)
-        found = np.full((n, length + 1, longest), -1, np.int32)
+    def _find(self, hashed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of ``hashed`` that hold the hash of a piece, in order, and which piece."""
+        if not hasattr(self, "_first"):
+            top = (self.hashes >> _TOP).astype(np.int64)
+            self._first = np.searchsorted(top, np.arange(1 << 20)).astype(np.int32)
+            self._maybe = np.bincount(top, minlength=1 << 20) > 0
+            self._most = int(np.bincount(top).max())
+        top = (hashed >> _TOP).ravel().view(np.int64)
+        at = np.flatnonzero(self._maybe[top])
+        wanted, piece = hashed.ravel()[at], self._first[top[at]]
+        ok = self.hashes[piece] == wanted
+        for _ in range(1, self._most):
+            # Pieces with the same leading bits lie side by side.
+            piece = np.where(ok, piece, np.minimum(piece + 1, len(self.hashes) - 1))
+            ok |= self.hashes[piece] == wanted
+        return at[ok], piece[ok]
+
+    def arcs(self, text: np.ndarray) -> list[Arc]:
+        """Pieces in (length, words) bytes: at m those of m + 1 bytes, ordered by their start."""
+        length, n = text.shape
         value = text.astype(np.uint64) + np.uint64(1)
-        hashed, power = np.zeros((n, length), np.uint64), _P
-        for m in range(longest):
-            hashed = hashed[:, : length - m] + value[:, m:] * power
+        hashed, power, out = np.zeros((length, n), np.uint64), _P, []
+        for m in range(min(self.longest, length)):
+            hashed = hashed[: length - m] + value[m:] * power
             power = np.uint64(int(power) * int(_P) % (1 << 64))
-            row, start = np.nonzero(self._maybe[hashed >> np.uint64(44)])
-            wanted = hashed[row, start]
-            at = np.minimum(np.searchsorted(self.hashes, wanted), len(self.hashes) - 1)
-            ok = self.hashes[at] == wanted
-            found[row[ok], start[ok] + m + 1, m] = at[ok]
-        return found, np.where(found >= 0, self.weights[found], -np.inf)
-
-    def forward(self, arc: np.ndarray) -> np.ndarray:
-        """Natural log of the summed weights of all ways to each place."""
-        n, places, longest = arc.shape
-        alpha = np.full((n, places + longest - 1), -np.inf)
-        alpha[:, longest - 1] = 0.0
-        for e in range(1, places):
-            # Column longest - 1 + e - (m + 1) is the place before the piece of m + 1 bytes.
-            terms = alpha[:, e - 1 : e - 1 + longest][:, ::-1] + arc[:, e, :]
-            top = terms.max(axis=1)
-            alpha[:, longest - 1 + e] = top + np.log(np.exp(terms - top[:, None]).sum(axis=1))
-        return alpha[:, longest - 1 :]
-
-    def _groups(self, words: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(places in ``words``, their bytes with the mark) for words of equal length, in bounded parts."""
-        size = np.fromiter(map(len, words), np.int64, len(words)) + len(MARK)
-        order = np.argsort(size, kind="stable")
-        cut = np.flatnonzero(np.diff(size[order])) + 1
-        for group in np.split(order, cut):
+            place, piece = self._find(hashed)
+            bounds = np.searchsorted(place, np.arange(length - m + 1) * n).tolist()
+            out.append(Arc(place % n, piece, self.weights[piece], bounds))
+        return out
+
+    @staticmethod
+    def forward(arcs: list[Arc], length: int, n: int) -> np.ndarray:
+        """Natural log of the summed weights of all ways to each place, (length + 1, words)."""
+        alpha = np.full((length + 1, n), -np.inf)
+        alpha[0] = 0.0
+        for end in range(1, length + 1):
+            for m, arc in enumerate(arcs[:end]):
+                start = end - m - 1
+                i, j = arc.bounds[start], arc.bounds[start + 1]
+                if i < j:
+                    row = arc.row[i:j]
+                    alpha[end, row] = np.logaddexp(alpha[end, row], alpha[start, row] + arc.weight[i:j])
+        return alpha
+
+    @staticmethod
+    def backward(arcs: list[Arc], size: np.ndarray, length: int) -> np.ndarray:
+        """The same from each place to the end of its word, which is at ``size``."""
+        n = len(size)
+        beta = np.full((length + 1, n), -np.inf)
+        beta[size, np.arange(n)] = 0.0
+        for start in range(length - 1, -1, -1):
+            for m, arc in enumerate(arcs[: length - start]):
+                i, j = arc.bounds[start], arc.bounds[start + 1]
+                if i < j:
+                    row = arc.row[i:j]
+                    beta[start, row] = np.logaddexp(beta[start, row], beta[start + m + 1, row] + arc.weight[i:j])
+        return beta
+
+    @staticmethod
+    def _groups(words: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(places in ``words``, their sizes, bytes in columns) for words of similar size, in bounded parts.
+
+        Shorter words are filled up with blanks, which lie behind their ends.
+        """
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        room = np.where(size <= 64, -(-size // 4) * 4, -(-size // 64) * 64)
+        order = np.argsort(room, kind="stable")
+        for group in np.split(order, np.flatnonzero(np.diff(room[order])) + 1):
             if len(group) == 0:
                 continue
-            length = int(size[group[0]])
-            part = max(1, _CELLS // ((length + 1) * min(self.longest, length)))
+            length = int(room[group[0]])
+            part = max(1, _CELLS // length)
             for i in range(0, len(group), part):
                 own = group[i : i + part]
-                text = np.frombuffer(b"".join(MARK + words[j] for j in own), np.uint8).reshape(len(own), length)
-                yield own, text
+                text = np.frombuffer(b"".join(words[j].ljust(length) for j in own), np.uint8)
+                yield own, size[own], np.ascontiguousarray(text.reshape(len(own), length).T)
+
+    def _long(self, word: bytes) -> float:
+        """Log marginal of one word of any size: pieces of a run of starts at a time, sums of the last places only."""
+        ring = self.longest + 1
+        sums = [-math.inf] * ring
+        sums[0] = 0.0
+        for begin in range(0, len(word), _LONG):
+            window = np.frombuffer(word[begin : begin + _LONG + self.longest - 1], np.uint8)
+            arcs = self.arcs(window[:, None])
+            own = [a.bounds[min(_LONG, len(a.bounds) - 1)] for a in arcs]
+            bounds = [np.diff(a.bounds[: _LONG + 1]) for a in arcs]
+            start = np.concatenate([np.repeat(np.arange(len(b)), b) for b in bounds])
+            bytes_ = np.repeat(np.arange(1, len(arcs) + 1), own)
+            weight = np.concatenate([a.weight[:k] for a, k in zip(arcs, own, strict=True)])
+            order = np.argsort(start, kind="stable")
+            last, here = -1, 0.0
+            for s, m, w in zip(start[order].tolist(), bytes_[order].tolist(), weight[order].tolist(), strict=True):
+                if s != last:
+                    # Every byte is a piece: each start comes once, and its slot is free again.
+                    slot, last = (begin + s) % ring, s
+                    here, sums[slot] = sums[slot], -math.inf
+                slot = (begin + s + m) % ring
+                old, new = sums[slot], here + w
+                if old < new:
+                    old, new = new, old
+                sums[slot] = old + math.log1p(math.exp(new - old))
+        return sums[len(word) % ring]
 
     def log_marginals(self, words: list[bytes]) -> np.ndarray:
+        """Natural log of the summed weights of all ways to spell each word after its mark."""
         out = np.empty(len(words))
-        for own, text in self._groups(words):
-            out[own] = self.forward(self.arcs(text)[1])[:, -1]
+        marked = [MARK + w for w in words]
+        long = [i for i, w in enumerate(marked) if len(w) > _LONG]
+        for i in long:
+            out[i], marked[i] = self._long(marked[i]), MARK
+        done = out[long]
+        for own, size, text in self._groups(marked):
+            alpha = self.forward(self.arcs(text), *text.shape)
+            out[own] = alpha[size, np.arange(len(own))]
+        out[long] = done
         return out
 
     def expected(self, words: list[bytes], counts: np.ndarray) -> np.ndarray:
-        """Expected number of uses of each piece when the words are spelled at random by weight."""
+        """Expected number of uses of each piece when the words are spelled at random by weight.
+
+        Words above ``_LONG`` bytes are spelled in parts of that size here: no piece crosses a cut.
+        """
         total = np.zeros(len(self.hashes))
-        for own, text in self._groups(words):
-            found, arc = self.arcs(text)
-            alpha = self.forward(arc)
-            n, places, longest = arc.shape
-            beta = np.full((n, places + longest), -np.inf)
-            beta[:, places - 1] = 0.0
-            for s in range(places - 2, -1, -1):
-                ends = np.arange(s + 1, min(s + longest, places - 1) + 1)
-                terms = beta[:, ends] + arc[:, ends, ends - s - 1]
-                top = terms.max(axis=1)
-                beta[:, s] = top + np.log(np.exp(terms - top[:, None]).sum(axis=1))
-            row, end, m = np.nonzero(found >= 0)
-            log_use = alpha[row, end - m - 1] + arc[row, end, m] + beta[row, end] - alpha[row, -1]
-            np.add.at(total, found[row, end, m], np.exp(log_use) * counts[own][row])
+        marked = [MARK + w for w in words]
+        times = np.repeat(counts, [-(-len(w) // _LONG) for w in marked])
+        parts = [w[i : i + _LONG] for w in marked for i in range(0, len(w), _LONG)]
+        for own, size, text in self._groups(parts):
+            arcs = self.arcs(text)
+            length, n = text.shape
+            alpha, beta = self.forward(arcs, length, n), self.backward(arcs, size, length)
+            whole = alpha[size, np.arange(n)]
+            for m, arc in enumerate(arcs):
+                start = np.repeat(np.arange(length - m), np.diff(arc.bounds))
+                log_use = alpha[start, arc.row] + arc.weight + beta[start + m + 1, arc.row] - whole[arc.row]
+                total += np.bincount(arc.piece, np.exp(log_use) * times[own][arc.row], len(total))
         return total
 
     def adapted(self, uses: np.ndarray) -> Lattice:
@@ -251,13 +330,13 @@ def train(texts: DataFrame, vocabulary: str = VOCABULARY, frequent: int = FREQUE
         if seen > frequent:
             break
         least = row["step"]
-    rows = counts.filter(steps >= least).collect() if least is not None else []
-    rows = sorted((r["hash"], bytes(r["word"]), r["n"]) for r in rows)
-    ends = next((n for _, word, n in rows if word == END), 0) or counts.filter(F.col("word") == F.lit(END)).agg(F.sum("n")).first()[0] or 0
+    # Of the frequent words only 16 bytes each reach the driver, however long they are.
+    rows = sorted(counts.filter(steps >= least).select("hash", "n").collect()) if least is not None else []
+    ends = counts.filter(F.col("word") == F.lit(END)).agg(F.sum("n")).first()[0] or 0
     lattice = Lattice.of(*read_vocabulary(vocabulary))
     lattice = lattice.adapted(expected_uses(counts, lattice))
     part = (ends + 1) / (total[0] + 2)
-    table = {"hash": np.array([h for h, _, _ in rows], np.int64), "n": np.array([n for _, _, n in rows], np.int64)}
+    table = {"hash": np.array([h for h, _ in rows], np.int64), "n": np.array([n for _, n in rows], np.int64)}
     return Trained(counts.select("hash", "n"), total[0], total[1], table, lattice, math.log10(part), math.log10(1 - part))
 
 
@@ -273,9 +352,11 @@ def _first_look(frequent: dict[str, np.ndarray], lattice: Lattice, log_end: floa
             out: list[list] = [[], [], [], [], [], []]
             texts = [Counter(lower_words(t)) for t in texts_of(batch, "_text")]
             if len(hashes) > _CACHE:
-                hashes.clear(), marginal.clear()
+                # The frequent words stay: there are at most as many as their table has.
+                for word in [w for w, h in hashes.items() if h not in table]:
+                    del hashes[word], marginal[word]
             new = [w for w in {w for c in texts for w in c} if w not in hashes]
-            hashes.update(zip(new, map(xxhash.xxh3_64_intdigest, new), strict=True))
+            hashes.update(zip(new, long_of(word_hashes(new)).tolist(), strict=True))
             marginal.update(zip(new, (lattice.log_marginals(new) / math.log(10)).tolist(), strict=True))
             for words in texts:
                 known, base, score, rare, times = 0, 0.0, log_end, [], []
@@ -284,7 +365,6 @@ def _first_look(frequent: dict[str, np.ndarray], lattice: Lattice, log_end: floa
                     number += n
                     score += n * (marginal[word] + log_word)
                     h = hashes[word]
-                    h -= (h >> 63) << 64
                     c = table.get(h)
                     if c is None:
                         rare.append(h), times.append(n)

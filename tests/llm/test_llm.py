@@ -157,6 +157,29 @@ def test_piece_weights_learn_from_every_word(spark):
         assert len(model.frequent["hash"]) <= frequent and np.allclose(model.lattice.weights, weights, rtol=1e-9)
 
 
+def test_long_words_are_computed_in_bounded_runs(monkeypatch):
+    table = lattice.Lattice.of(*lattice.read_vocabulary(lattice.VOCABULARY))
+    words = ["transportation of zebras ".replace(" ", "").encode() * 9, "漢字".encode() * 50, b"x" * 301, b"cat"]
+    whole, uses = table.log_marginals(words), table.expected(words, np.ones(4))
+    monkeypatch.setattr(lattice, "_LONG", 32)
+    assert np.allclose(table.log_marginals(words), whole, rtol=1e-12)
+    # The uses of a word in parts leave out only pieces that cross a cut.
+    assert abs(table.expected(words, np.ones(4)).sum() / uses.sum() - 1) < 0.1
+
+
+def test_document_scores_sum_the_words(spark):
+    texts = ["the the the the cat", "the transportation of a zebra " * 3, None, "", "x" * 6000 + " éq the"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    model = lattice.train(frame.filter("doc_id < 2"))
+    # 5 and 15 words and two ends.
+    assert (model.tokens, 10**model.log_end) == (22, pytest.approx(3 / 24))
+    got = {r["doc_id"]: r["score"] for r in lattice.scores(frame, model).collect()}
+    for doc_id, text in enumerate(texts):
+        words = lattice.lower_words(text and text.encode())
+        each = model.lattice.log_marginals(words) / math.log(10) + model.log_word
+        assert got[doc_id] == pytest.approx(each.sum() + model.log_end)
+
+
 def test_tagger_gradients_and_held_out_accuracy(spark, docs):
     tagger = language.ByteTagger.fresh(["a", "b"])
     tagger.weights = {k: v.astype(np.float64) for k, v in tagger.weights.items()}
