@@ -14,6 +14,7 @@ UNFETCHABLE = "failed_unfetchable"
 PARSING = "parsing"
 PARSED = "parsed_succeeded"
 PARSE_FAILED = "parsing_failed"
+STATUSES = (PENDING, IN_PROGRESS, FETCHING, FETCHED, FAILED, UNFETCHABLE, PARSING, PARSED, PARSE_FAILED)
 
 
 def already_queued(status: Column) -> Column:

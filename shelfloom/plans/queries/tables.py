@@ -8,6 +8,7 @@ from shelfloom import schemas
 from shelfloom.functions.names import stamp_text
 from shelfloom.operators import frontier as fr
 from shelfloom.operators import products as pr
+from shelfloom.plans.counts import observed_counts
 from shelfloom.plans.queries.extraction import ITEMS_B, listing_b
 from shelfloom.plans.queries.queues import FRONTIER, PRODUCTS, frontier, products
 from shelfloom.plans.queries.registry import load, load_part, query
@@ -125,8 +126,7 @@ SELECT row_number() OVER (ORDER BY page_id, pos) AS id, link AS product_url,
 FROM found f LEFT JOIN captures c ON c.url = f.link"""
 
 
-@query("run_stages", _RUN)
-def whole_run(spark, sf_dir):
+def _whole_run(spark, sf_dir):
     root, part = scratch_path(spark, "run"), load_part(spark, sf_dir)
     listings, details = CaptureStore(spark, root, "listing_captures"), CaptureStore(spark, root, "product_captures")
     listings.land(listing_b(spark, sf_dir))
@@ -145,5 +145,20 @@ def whole_run(spark, sf_dir):
     )
     requests = fr.with_base(discovered_bases(requests, listings, root=root))
     run_stages(spark, root, F.lit("2024-03-01 12:00:00"), requests, listings, details)
+    return root
+
+
+@query("run_stages", _RUN)
+def whole_run(spark, sf_dir):
+    root = _whole_run(spark, sf_dir)
     table = tb.read_snapshot(spark, root, "products", schemas.PRODUCTS)
     return table.select("id", "product_url", "slug", "price", "fetch_status", "parse_status")
+
+
+@query("observed_counts", f"""
+WITH run AS ({_RUN})
+SELECT 'listing_parse' AS stage, 'pending' AS status, count(*) AS n FROM run HAVING count(*) > 0
+UNION ALL SELECT 'product_fetch', fetch_status, count(*) FROM run GROUP BY fetch_status
+UNION ALL SELECT 'product_parse', parse_status, count(*) FROM run WHERE parse_status IS NOT NULL GROUP BY parse_status""")
+def run_counts(spark, sf_dir):
+    return observed_counts(spark, _whole_run(spark, sf_dir), ["products"]).select("stage", "status", "n")

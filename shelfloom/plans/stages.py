@@ -20,6 +20,7 @@ from shelfloom.operators.extract import (
 )
 from shelfloom.operators.history import stage_counts
 from shelfloom.plans.claims import claim_rows, release
+from shelfloom.plans.counts import by_status
 from shelfloom.rules import SITES, SiteRule
 from shelfloom.sources.captures import CaptureStore, parse_new, rules_mark
 from shelfloom.sources.scratch import materialize
@@ -27,7 +28,8 @@ from shelfloom.sources.tables import append_changes, compact_if_long, read_snaps
 from shelfloom.streaming.incremental import latest_parses
 
 STAGES = ("seed", "listing_fetch", "listing_parse", "product_fetch", "product_parse")
-
+#: Tables whose commits name their stage: ``observed_counts`` tells what a run did, without a scan.
+COUNTED = ("frontier", "products", "errors_seed", "errors_listing_parse", "errors_product_parse")
 
 Captures = DataFrame | CaptureStore
 
@@ -74,7 +76,8 @@ def run_stages(
     ``request_no``; those of unknown sites and without a base become error rows. Captures are
     tables with the columns of ``schemas.CAPTURES``, parsed whole in every run, or stores, of
     which a run parses the new landings only. Every stage writes the rows it changes; a table
-    is written whole once its log of changes is long.
+    is written whole once its log of changes is long. Each write counts its rows by the status the
+    stage gave them; ``observed_counts(spark, root, COUNTED)`` tells these numbers.
 
     With an ``owner`` the fetching stages take only rows they have claimed, for ``lease`` from
     now, so that several runs may share the tables. Without one a run is taken to be alone, and
@@ -92,7 +95,10 @@ def run_stages(
         return read_snapshot(spark, root, "products", schemas.PRODUCTS)
 
     def errors(rows: DataFrame, stage: str) -> None:
-        write_snapshot(rows, root, f"errors_{stage}")
+        write_snapshot(rows, root, f"errors_{stage}", {"stage": stage})
+
+    def change(build: Callable[[], DataFrame], table: str, stage: str, column: str) -> None:
+        append_changes(build, spark, root, table, facts={"stage": stage}, counts=by_status(column))
 
     def results(pages: Captures, table: str, parse: Callable[[DataFrame], DataFrame]) -> DataFrame:
         """Parsed rows of captures that are not empty; an empty one never replaces a full one."""
@@ -115,7 +121,7 @@ def run_stages(
         requests = materialize(requests, "requests")
         errors(fr.base_errors(requests), "seed")
         seeds = fr.expand_pages(requests)
-        append_changes(lambda: fr.seed_changes(frontier(), seeds, stamp), spark, root, "frontier")
+        change(lambda: fr.seed_changes(frontier(), seeds, stamp), "frontier", "seed", "status")
 
     if "listing_fetch" in stages:
         captured = index(listing_pages)
@@ -124,7 +130,7 @@ def run_stages(
             waiting = own(frontier(), "frontier", "status", st.IN_PROGRESS, st.PENDING).filter(F.col("status") == st.PENDING)
             return fr.fetch_outcome_of(waiting, captured, of=st.PENDING)
 
-        append_changes(fetched, spark, root, "frontier")
+        change(fetched, "frontier", "listing_fetch", "status")
         release(spark, root, "frontier", owner)
 
     if "listing_parse" in stages:
@@ -141,7 +147,7 @@ def run_stages(
             .select("source_page_id", "pos", "link", "slug")
         )
         unique = materialize(pr.dedup_products(found), "found_products")
-        append_changes(lambda: pr.insert_products(products(), unique), spark, root, "products")
+        change(lambda: pr.insert_products(products(), unique), "products", "listing_parse", "fetch_status")
 
     if "product_fetch" in stages:
         captured = index(product_pages)
@@ -150,7 +156,7 @@ def run_stages(
             table = own(products(), "products", "fetch_status", st.FETCHING, st.PENDING, st.FAILED)
             return pr.product_fetch_changes(table, captured, retry=True)
 
-        append_changes(outcome, spark, root, "products")
+        change(outcome, "products", "product_fetch", "fetch_status")
         release(spark, root, "products", owner)
 
     if "product_parse" in stages:
@@ -163,7 +169,7 @@ def run_stages(
 
         lost = pr.lost_pages(waiting(), parsed)
         errors(error_rows(rows, "product_parse").unionByName(lost), "product_parse")
-        append_changes(lambda: pr.apply_parsed(waiting(), parsed, "product_url", stamp), spark, root, "products")
+        change(lambda: pr.apply_parsed(waiting(), parsed, "product_url", stamp), "products", "product_parse", "parse_status")
 
     compact_if_long(spark, root, "frontier", schemas.FRONTIER)
     compact_if_long(spark, root, "products", schemas.PRODUCTS)

@@ -9,6 +9,9 @@ A version is ``whole`` (the table as it is from there on), ``changes`` (rows tha
 those with the same key, or add to them) or ``rows`` (rows that only add). The current table is
 the last whole version with the last change of each key laid over it; ``compact`` writes it as
 a new whole version, and ``vacuum`` removes folders that no reader needs any more.
+
+Each write counts its rows as it goes (``Observation``), and the log file keeps the numbers, so
+that how much a version holds is known without reading it.
 """
 
 from __future__ import annotations
@@ -16,10 +19,10 @@ from __future__ import annotations
 import json
 import os
 import re
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -91,14 +94,19 @@ Built = tuple[DataFrame, dict]
 
 
 def commit(
-    spark: SparkSession, root: str, name: str, build: Callable[[], Built | None], kind: str, key: Sequence[str] = ()
+    spark: SparkSession, root: str, name: str, build: Callable[[], Built | None], kind: str, key: Sequence[str] = (),
+    counts: Mapping[str, Column] | None = None,
 ) -> tuple[int, DataFrame] | None:
     """Write what ``build`` gives as the next version; its number and the written rows.
 
     ``build`` gives rows and facts for the log file, or None if there is nothing to write, and
     reads what it needs itself. If another writer takes the number meanwhile, the rows may rest
     on what is no longer so: they are built and written again.
+
+    ``counts`` are aggregates over the written rows. They and the number of rows are taken while
+    writing, at the top of the plan, where each partition counts once even if its task runs again.
     """
+    aggregates = [F.count(F.lit(1)).alias("rows"), *(column.alias(what) for what, column in (counts or {}).items())]
     while True:
         number = max(_log(spark, root, name), default=-1) + 1
         built = build()
@@ -107,20 +115,26 @@ def commit(
         rows, facts = built
         folder = f"v={number}-{uuid4().hex}"
         path = f"{root}/{name}/{folder}"
-        rows.withColumn("_version", F.lit(number).cast("bigint")).write.parquet(path)
-        entry = {"kind": kind, "folder": folder, "key": list(key), "schema": rows.schema.json(), **facts}
+        seen = Observation()
+        rows.withColumn("_version", F.lit(number).cast("bigint")).observe(seen, *aggregates).write.parquet(path)
+        entry = {
+            "kind": kind, "folder": folder, "key": list(key), "schema": rows.schema.json(), "counts": seen.get, **facts
+        }
         if _create(spark, f"{root}/{name}/_log/{number}.json", json.dumps(entry)):
             return number, spark.read.schema(rows.schema).parquet(path)
 
 
-def write_snapshot(df: DataFrame, root: str, name: str) -> DataFrame:
+def write_snapshot(df: DataFrame, root: str, name: str, facts: Mapping | None = None) -> DataFrame:
     """Write the next version of a whole table and return it."""
-    return commit(df.sparkSession, root, name, lambda: (df, {}), "whole")[1]
+    return commit(df.sparkSession, root, name, lambda: (df, dict(facts or {})), "whole")[1]
 
 
-def append_changes(build: Callable[[], DataFrame], spark: SparkSession, root: str, name: str, key: Sequence[str] = ("id",)) -> DataFrame:
+def append_changes(
+    build: Callable[[], DataFrame], spark: SparkSession, root: str, name: str, key: Sequence[str] = ("id",),
+    facts: Mapping | None = None, counts: Mapping[str, Column] | None = None,
+) -> DataFrame:
     """Write rows that replace those with the same ``key``; ``build`` gives one row a key at most."""
-    return commit(spark, root, name, lambda: (build(), {}), "changes", key)[1]
+    return commit(spark, root, name, lambda: (build(), dict(facts or {})), "changes", key, counts)[1]
 
 
 def append_rows(df: DataFrame, root: str, name: str) -> tuple[int, DataFrame]:

@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 from shelfloom import schemas
 from shelfloom.operators import frontier as fr
+from shelfloom.operators.history import stage_counts
 from shelfloom.plans import claims
-from shelfloom.plans.stages import discovered_bases, run_stages
+from shelfloom.plans.counts import observed_counts
+from shelfloom.plans.stages import COUNTED, discovered_bases, run_stages
 from shelfloom.rules import SITES
 from shelfloom.sources import tables
 from shelfloom.sources.captures import CaptureStore, rules_mark, unparsed
@@ -227,3 +229,46 @@ def test_unknown_sites_and_requests_without_a_base_are_error_rows(spark, tmp_pat
     assert sorted((r.key, r.reason) for r in parse) == [("1", "unsupported_site"), ("2", "unsupported_site")]
     assert tables.read_snapshot(spark, root, "frontier", schemas.FRONTIER).count() == 1
     assert fr.crawl_requests(asked).count() == 1
+
+
+# --- run-time counts ---
+
+
+def test_observed_counts_equal_a_recount_and_read_no_table(spark, tmp_path):
+    root = str(tmp_path)
+    asked = spark.createDataFrame([("amazon", "d", 2), ("nosite", "d", 1)], schemas.REQUESTS)
+    requests = fr.with_base(fr.crawl_requests(asked, keep_unknown=True)).withColumn("request_no", F.monotonically_increasing_id())
+    run_stages(spark, root, F.lit(AT), requests, captures(spark), captures(spark), stages=["seed", "listing_fetch"])
+    seen = {(r.stage, r.status): r.n for r in observed_counts(spark, root, COUNTED).collect()}
+    queued = tables.read_versions(spark, root, "frontier", schemas.FRONTIER, [0]).count()
+    assert seen == {("seed", "pending"): queued, ("seed", None): 1, ("listing_fetch", "failed"): queued}
+    # Each version's numbers equal a count of its rows, and one run is told from the next.
+    tables.append_changes(lambda: tables.read_snapshot(spark, root, "frontier", schemas.FRONTIER).limit(0), spark, root, "frontier")
+    last = {"frontier": 1, "errors_seed": 0}
+    assert observed_counts(spark, root, COUNTED, after=last).count() == 0
+    for version, stage in ((0, "seed"), (1, "listing_fetch")):
+        own = tables.read_versions(spark, root, "frontier", schemas.FRONTIER, [version])
+        counted = {(r.stage, r.status): r.n for r in stage_counts(own, stage).collect()}
+        assert counted == {k: n for k, n in seen.items() if k[0] == stage and k[1]}
+    entries = tables.log_entries(spark, root, "frontier")
+    assert [e["counts"]["rows"] for e in entries.values()] == [queued, queued, 0]
+    # The numbers lie in the log files alone.
+    for folder in (tmp_path / "frontier").glob("v=*"):
+        for part in folder.glob("part-*"):
+            part.unlink()
+    assert {(r.stage, r.status): r.n for r in observed_counts(spark, root, COUNTED).collect()} == seen
+
+
+def test_counts_of_products_without_a_status(spark, tmp_path):
+    root = str(tmp_path)
+    frontier = [(1, "u1", None, "page_1.html", "fetched")]
+    tables.write_snapshot(spark.createDataFrame(frontier, schemas.FRONTIER), root, "frontier")
+    listings, details = captures(spark, (1, "u1", ITEM.format("p1", "Uno") + ITEM.format("p2", "Dos"))), captures(
+        spark, (1, "p1", DETAIL.format("Uno!", "1.000"))
+    )
+    run_stages(spark, root, F.lit(AT), None, listings, details, stages=["listing_parse", "product_fetch", "product_parse"])
+    seen = sorted((r.stage, r.status, r.n) for r in observed_counts(spark, root, ["products"]).collect())
+    assert seen == [
+        ("listing_parse", "pending", 2), ("product_fetch", "failed", 1), ("product_fetch", "fetched", 1),
+        ("product_parse", "parsed_succeeded", 1),
+    ]
