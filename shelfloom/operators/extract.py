@@ -7,11 +7,13 @@ of the same task: no shuffle happens before or inside extraction.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import re
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfloom import schemas
 from shelfloom.functions import media, prices
 from shelfloom.functions.text import slug_of_name
 from shelfloom.functions.urls import absolute_url, product_link
@@ -21,6 +23,12 @@ from shelfloom.rules import SITES, PageRule, SiteRule, site_rules
 NO_CONTAINER = "no_container"
 BAD_PRICE = "price_unreadable"
 
+#: Slots that extraction itself reads.
+_READ = (
+    "name", "price", "currency", "usd_text", "ars_text", "image_data_src", "image_src", "link", "reviews",
+)
+#: Product columns that no rule of the known sites fills: a slot may.
+OPEN_COLUMNS = ("description", "condition", "seller")
 _RULE_COLUMNS = ("site", "constant_currency", "price_rule", "price_fallback")
 
 
@@ -30,6 +38,22 @@ def rules_for_page(pages: DataFrame, rules: Mapping[str, SiteRule] = SITES) -> D
     return pages.join(F.broadcast(table), "site")
 
 
+def own_fields(page_rules: Iterable[PageRule]) -> list[str]:
+    """Slots that the rules add of their own, in order of first use; each becomes a text column.
+
+    A slot that would hide a column of extraction or of the product table is refused.
+    """
+    taken = {f.split()[0] for f in schemas.PRODUCTS.split(", ")} - set(OPEN_COLUMNS)
+    taken |= {*_OUTPUT, *_PLACE, *_RULE_COLUMNS, "reason", "error", "item", "items"}
+    fields = [s for s in slot_names(page_rules) if s not in _READ]
+    for field in fields:
+        if field.lower() in taken or not re.fullmatch(r"[A-Za-z]\w*", field, re.ASCII):
+            raise ValueError(f"slot {field!r} cannot be a column")
+    if len({f.lower() for f in fields}) < len(fields):
+        raise ValueError(f"slots differ by case only: {sorted(fields)}")
+    return fields
+
+
 def _with_rule_values(rows: DataFrame, rules: Mapping[str, SiteRule]) -> DataFrame:
     table = site_rules(rows.sparkSession, rules.values()).select(*_RULE_COLUMNS)
     return rows.join(F.broadcast(table), "site", "left")
@@ -96,7 +120,7 @@ def _extract(
     pages: DataFrame, rules: Mapping[str, SiteRule], page_rules: dict[str, PageRule],
     listing: bool, strict: bool = False,
 ) -> DataFrame:
-    slots = slot_names(page_rules.values())
+    slots, fields = slot_names(page_rules.values()), own_fields(page_rules.values())
     parsed = page_items(pages, page_rules)
     if strict:
         parsed = _without_bad_pages(parsed, rules)
@@ -111,7 +135,7 @@ def _extract(
         "page_id", "url", "site", "error", "page_items",
         (F.col("at") + 1).alias("pos"), "zipped.item", "zipped.image",
     )
-    columns = _product_columns(slots)
+    columns = _product_columns(slots) | {field: _slot("item", field, slots) for field in fields}
     rows = _with_rule_values(exploded, rules).withColumns(columns)
     with_fallback = F.col("price_fallback").isNotNull()
     found = prices.price_fallback(F.col("currency"), F.col("price_text"), _fallback(slots))
@@ -131,10 +155,11 @@ def _extract(
         F.when(unreadable, F.lit(BAD_PRICE)),
     )
     return rows.withColumn("price", price).select(
-        "page_id", "url", "site", "page_items", "pos", *_OUTPUT, reason.alias("reason")
+        *_PLACE, *_OUTPUT, reason.alias("reason"), *fields
     )
 
 
+_PLACE = ("page_id", "url", "site", "page_items", "pos")
 _OUTPUT = (
     "name", "slug", "product_code", "currency", "price_text", "price", "link", "reviews", "image",
 )
@@ -147,7 +172,8 @@ def extract_listing(
 
     ``pos`` counts the containers of a page from 1. A page without containers, or one that
     could not be read, gives a single row with a NULL ``pos``; ``reason`` says what is wrong
-    with a row. Split the result with ``good_rows`` and ``error_rows``. With ``strict_page``
+    with a row. Slots of a rule's own (``own_fields``) follow as text columns, NULL on pages of
+    sites without them. Split the result with ``good_rows`` and ``error_rows``. With ``strict_page``
     a page with an unreadable price loses all its products, not only that price.
     """
     page_rules = {s: r.listing for s, r in rules.items()}

@@ -131,16 +131,19 @@ def parsed_values(rows: DataFrame) -> DataFrame:
 
 
 def apply_parsed(
-    products: DataFrame, parsed: DataFrame, key: str, at: Column, by: str = "id"
+    products: DataFrame, parsed: DataFrame, key: str, at: Column, by: str = "id", fields: Sequence[str] = ()
 ) -> DataFrame:
     """Overwrite parsed columns of matched products, with NULL too; links stay as they are.
 
     ``parsed`` holds one row per ``key`` with the value columns, ``reviews_num`` and
     ``reason`` (NULL when the page was readable). Only products that are fetched and not
     yet parsed change. One without a parsed row has lost its page: it fails and keeps
-    its values.
+    its values. ``fields`` are text columns of ``parsed`` that rules add of their own; those that
+    ``products`` lacks are added to it.
     """
-    values = [*PARSED_COLUMNS, "reviews_num"]
+    values = [*PARSED_COLUMNS, "reviews_num", *fields]
+    new = [f for f in fields if f not in products.columns]
+    products = products.withColumns({f: F.lit(None).cast("string") for f in new})
     right = parsed.select(
         key, F.col("reason").alias("_reason"), F.lit(True).alias("_found"),
         *[F.col(c).alias(f"_{c}") for c in values],

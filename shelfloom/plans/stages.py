@@ -17,6 +17,7 @@ from shelfloom.operators.extract import (
     extract_product,
     good_rows,
     next_page_links,
+    own_fields,
 )
 from shelfloom.operators.history import stage_counts
 from shelfloom.plans.claims import claim_rows, release
@@ -24,7 +25,7 @@ from shelfloom.plans.counts import by_status
 from shelfloom.rules import SITES, SiteRule
 from shelfloom.sources.captures import CaptureStore, parse_new, rules_mark
 from shelfloom.sources.scratch import materialize
-from shelfloom.sources.tables import append_changes, compact_if_long, read_snapshot, write_snapshot
+from shelfloom.sources.tables import append_changes, compact_if_long, evolved_schema, read_snapshot, write_snapshot
 from shelfloom.streaming.incremental import latest_parses
 
 STAGES = ("seed", "listing_fetch", "listing_parse", "product_fetch", "product_parse")
@@ -76,7 +77,8 @@ def run_stages(
     ``request_no``; those of unknown sites and without a base become error rows. Captures are
     tables with the columns of ``schemas.CAPTURES``, parsed whole in every run, or stores, of
     which a run parses the new landings only. Every stage writes the rows it changes; a table
-    is written whole once its log of changes is long. Each write counts its rows by the status the
+    is written whole once its log of changes is long. Slots that the rules of product pages add of
+    their own become columns of the product table, which stay when later rules lack them. Each write counts its rows by the status the
     stage gave them; ``observed_counts(spark, root, COUNTED)`` tells these numbers.
 
     With an ``owner`` the fetching stages take only rows they have claimed, for ``lease`` from
@@ -87,12 +89,14 @@ def run_stages(
     if unknown:
         raise ValueError(f"unknown stages: {sorted(unknown)}")
     mark = rules_mark(rules)
+    fields = own_fields(r.product for r in rules.values() if r.product is not None)
+    product_schema = evolved_schema(spark, root, "products", schemas.PRODUCTS, fields)
 
     def frontier() -> DataFrame:
         return read_snapshot(spark, root, "frontier", schemas.FRONTIER)
 
     def products() -> DataFrame:
-        return read_snapshot(spark, root, "products", schemas.PRODUCTS)
+        return read_snapshot(spark, root, "products", product_schema)
 
     def errors(rows: DataFrame, stage: str) -> None:
         write_snapshot(rows, root, f"errors_{stage}", {"stage": stage})
@@ -169,10 +173,10 @@ def run_stages(
 
         lost = pr.lost_pages(waiting(), parsed)
         errors(error_rows(rows, "product_parse").unionByName(lost), "product_parse")
-        change(lambda: pr.apply_parsed(waiting(), parsed, "product_url", stamp), "products", "product_parse", "parse_status")
+        change(lambda: pr.apply_parsed(waiting(), parsed, "product_url", stamp, fields=fields), "products", "product_parse", "parse_status")
 
     compact_if_long(spark, root, "frontier", schemas.FRONTIER)
-    compact_if_long(spark, root, "products", schemas.PRODUCTS)
+    compact_if_long(spark, root, "products", product_schema)
     return (
         stage_counts(frontier(), "listing")
         .unionByName(stage_counts(products(), "product_fetch", "fetch_status"))

@@ -182,6 +182,20 @@ def read_snapshot(spark: SparkSession, root: str, name: str, schema: str) -> Dat
     return table
 
 
+def evolved_schema(spark: SparkSession, root: str, name: str, schema: str, added: Sequence[str] = ()) -> str:
+    """``schema`` with the columns that a committed version has beyond it, and ``added`` ones as texts.
+
+    Versions of before such a column was there read as NULL in it; a writer that does not fill it
+    passes on what is there.
+    """
+    fields = {f.name.lower(): f for f in StructType.fromDDL(schema).fields}
+    for entry in _log(spark, root, name).values():
+        for field in StructType.fromJson(json.loads(entry["schema"])).fields:
+            fields.setdefault(field.name.lower(), field)
+    known = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields.values())
+    return ", ".join([known, *(f"`{a}` STRING" for a in added if a.lower() not in fields)])
+
+
 def read_versions(spark: SparkSession, root: str, name: str, schema: str | None, versions: Sequence[int]) -> DataFrame:
     """The rows that these versions wrote; without a schema, by that of the last of them."""
     log = _log(spark, root, name)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import threading
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import DataFrameWriter
@@ -15,7 +16,8 @@ from shelfloom.operators.history import stage_counts
 from shelfloom.plans import claims
 from shelfloom.plans.counts import observed_counts
 from shelfloom.plans.stages import COUNTED, discovered_bases, run_stages
-from shelfloom.rules import SITES
+from shelfloom.operators.extract import extract_product, own_fields
+from shelfloom.rules import SITES, PageRule, Selector
 from shelfloom.sources import tables
 from shelfloom.sources.captures import CaptureStore, rules_mark, unparsed
 from tests.test_stores import DETAIL, ITEM, NEXT, captures
@@ -272,3 +274,53 @@ def test_counts_of_products_without_a_status(spark, tmp_path):
         ("listing_parse", "pending", 2), ("product_fetch", "failed", 1), ("product_fetch", "fetched", 1),
         ("product_parse", "parsed_succeeded", 1),
     ]
+
+
+# --- fields of a rule's own ---
+
+SOLD = '<p class="seller">{0}</p><p class="warranty">{1}</p>'
+
+
+def _with_slots(*slots):
+    rule = SITES["mercadolibre"]
+    added = tuple(Selector(s, "p", s) for s in slots)
+    return {**SITES, rule.site: replace(rule, product=replace(rule.product, slots=rule.product.slots + added))}
+
+
+def test_slots_of_a_rule_become_product_columns(spark, tmp_path):
+    root, rules = str(tmp_path), _with_slots("seller", "warranty")
+    frontier = [(1, "u1", None, "page_1.html", "fetched")]
+    tables.write_snapshot(spark.createDataFrame(frontier, schemas.FRONTIER), root, "frontier")
+    listings = captures(spark, (1, "u1", "".join(ITEM.format(f"p{i}", "x") for i in (1, 2, 3))))
+    last = ["product_fetch", "product_parse"]
+    details = CaptureStore(spark, root, "details")
+    # One product is stored before any rule has fields.
+    details.land(captures(spark, (1, "p1", DETAIL.format("Uno", "1.000") + SOLD.format("Ana", "1 year"))))
+    run_stages(spark, root, F.lit(AT), None, listings, details, stages=["listing_parse", *last])
+    assert tables.evolved_schema(spark, root, "products", schemas.PRODUCTS).count("`") == 2 * len(schemas.PRODUCTS.split(", "))
+    details.land(captures(spark, (2, "p2", DETAIL.format("Dos", "2.000") + SOLD.format("Bea", "2 years"))))
+    run_stages(spark, root, F.lit(AT), None, None, details, stages=last, rules=rules)
+    # Rules without the fields leave the columns and what is in them alone, and so does a whole version.
+    details.land(captures(spark, (3, "p3", DETAIL.format("Tres", "3.000") + SOLD.format("Cyn", "3 years"))))
+    run_stages(spark, root, F.lit(AT), None, None, details, stages=last)
+    schema = tables.evolved_schema(spark, root, "products", schemas.PRODUCTS)
+    want = [("p1", "Uno", None, None), ("p2", "Dos", "Bea", "2 years"), ("p3", "Tres", None, None)]
+    for _ in range(2):
+        now = tables.read_snapshot(spark, root, "products", schema)
+        assert rows(now.select("product_url", "name", "seller", "warranty")) == want
+        tables.compact(spark, root, "products", schema)
+        tables.vacuum(spark, root, "products")
+        assert tables.evolved_schema(spark, root, "products", schemas.PRODUCTS) == schema
+
+
+def test_slots_that_hide_a_column_are_refused(spark):
+    for slot in ("slug", "Parse_Status", "pos", "a b", "_found", "reason"):
+        with pytest.raises(ValueError):
+            own_fields([_with_slots(slot)["mercadolibre"].product])
+    with pytest.raises(ValueError):
+        own_fields([PageRule(None, (Selector("seller", "p"), Selector("Seller", "b")))])
+    assert own_fields(r.product for r in SITES.values() if r.product) == []
+    pages = captures(spark, (1, "p1", DETAIL.format("Uno", "1.000") + SOLD.format("Ana", "")))
+    found = extract_product(pages, _with_slots("seller")).first()
+    assert (found.name, found.seller, found.reason) == ("Uno", "Ana", None)
+    assert "seller" not in extract_product(pages).columns
