@@ -19,6 +19,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import threading
 from collections.abc import Callable, Mapping, Sequence
 from uuid import uuid4
 
@@ -28,6 +29,8 @@ from pyspark.sql.types import StructType
 
 #: Versions of changes after which ``compact_if_long`` writes a whole one.
 LONG = 16
+#: Seconds to wait for observed numbers once the rows are written.
+PATIENCE = 30
 
 
 def _folder(spark: SparkSession, path: str):
@@ -117,11 +120,22 @@ def commit(
         path = f"{root}/{name}/{folder}"
         seen = Observation()
         rows.withColumn("_version", F.lit(number).cast("bigint")).observe(seen, *aggregates).write.parquet(path)
+        written = spark.read.schema(rows.schema).parquet(path)
+        numbers = _observed(seen, lambda written=written: written.agg(*aggregates).first().asDict())
         entry = {
-            "kind": kind, "folder": folder, "key": list(key), "schema": rows.schema.json(), "counts": seen.get, **facts
+            "kind": kind, "folder": folder, "key": list(key), "schema": rows.schema.json(), "counts": numbers, **facts
         }
         if _create(spark, f"{root}/{name}/_log/{number}.json", json.dumps(entry)):
-            return number, spark.read.schema(rows.schema).parquet(path)
+            return number, written
+
+
+def _observed(seen: Observation, recount: Callable[[], dict]) -> dict:
+    """The observed numbers. They come by an event, which a busy driver may drop: then the rows are counted."""
+    found: list[dict] = []
+    waiting = threading.Thread(target=lambda: found.append(seen.get), daemon=True)
+    waiting.start()
+    waiting.join(PATIENCE)
+    return found[0] if found else recount()
 
 
 def write_snapshot(df: DataFrame, root: str, name: str, facts: Mapping | None = None) -> DataFrame:
