@@ -77,7 +77,7 @@ def only_matching(wide: DataFrame, keys: DataFrame, key: str) -> DataFrame:
 
 
 def left_join_on(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Left join on a key that may be NULL in many left rows; right keys are unique.
+    """Left join on a key that may be NULL in many left rows; a right key that repeats repeats its left rows.
 
     NULL keys match nothing, yet a join would send all of them to one partition. They pass
     beside the join, with NULLs for the right columns, and are never shuffled.

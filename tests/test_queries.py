@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import shutil
+
+import duckdb
 import pytest
 
 import __spark_entry__ as entry
@@ -23,5 +26,14 @@ def test_query_equals_sql(spark, db, name):
     assert difference(entry.queries()[name], SQL[name], spark, SF_DIR, db) is None
 
 
+def test_filename_once_equals_sql_where_urls_repeat(spark, tmp_path):
+    shutil.copytree(SF_DIR, tmp_path, dirs_exist_ok=True, ignore=shutil.ignore_patterns("pages.parquet"))
+    given = f"FROM '{SF_DIR}/pages.parquet'"
+    more = f"SELECT * REPLACE (page_id + 1000 AS page_id) {given} WHERE page_id % 5 < 2"
+    duckdb.sql(f"COPY (SELECT * {given} UNION ALL {more}) TO '{tmp_path}/pages.parquet'")
+    name = "filename_once"
+    assert difference(entry.queries()[name], SQL[name], spark, str(tmp_path), connect(str(tmp_path))) is None
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
