@@ -156,8 +156,8 @@ def product_url(key: Column, variant: Column | None = None) -> Column:
     return url if variant is None else _cat(url, "?v=", _text(variant))
 
 
-def product_pages(part: DataFrame) -> DataFrame:
-    """One product page per part."""
+def product_pages(part: DataFrame, *beside: Column) -> DataFrame:
+    """One product page per part, and columns of the part beside it."""
     key = F.col("p_partkey")
     name = F.when(key % 13 == 0, F.lit("")).otherwise(
         _cat('<h1 class="ui-pdp-title">Caf&#233; ', F.col("p_name"), " ", F.col("p_brand"), "</h1>")
@@ -185,4 +185,5 @@ def product_pages(part: DataFrame) -> DataFrame:
         product_url(key).alias("url"),
         F.lit("mercadolibre").alias("site"),
         html.alias("html"),
+        *beside,
     )

@@ -44,6 +44,19 @@ def test_files_written_and_read_back(spark, tmp_path):
     assert {(r.filename, r.html) for r in back} == {("a.html", "é\n<p>"), ("None.html", "x")}
 
 
+def test_files_dealt_into_folders_are_listed_by_tasks(spark, tmp_path):
+    rows = [(f"page_{n}.html", f"<p>{n}\r\n") for n in range(40)] + [("other.html", "é"), ("empty.html", "")]
+    captures = spark.createDataFrame(rows, "filename STRING, html STRING").repartition(5)
+    assert files.html_file_sink(captures, f"file://{tmp_path}", 16).count() == 42
+    (tmp_path / "dealt-00003" / "page_7.html.tmp").write_text("half")
+    (tmp_path / "dealt-00003" / ".page_8.html").write_text("hidden")
+    found = files.scan_product_files(spark, f"file://{tmp_path}", 16)
+    assert sorted(map(tuple, found.collect())) == sorted((n, h.replace("\r\n", "\n")) for n, h in rows)
+    listed = files.scan_listing_files(spark, f"file://{tmp_path}", 16)
+    assert [r.page_id for r in files.numeric_file_order(listed).collect()] == list(range(40))
+    assert "Scan text" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_run_config(spark, tmp_path):
     (tmp_path / "a.json").write_text(json.dumps({"site": "amazon", "pages_to_crawl": 4}, indent=2))
     (tmp_path / "b.json").write_text(json.dumps([{"site": "x", "database_path": "d", "pages_to_crawl": 0}]))
