@@ -37,4 +37,4 @@ def load_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def load_part(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The part table, spread before pages are rendered from it."""
-    return read_spread(spark, f"{sf_dir}/part.parquet")
+    return read_spread(spark, f"{sf_dir}/part.parquet", narrow=True)

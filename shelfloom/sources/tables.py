@@ -29,6 +29,8 @@ from pyspark.sql.types import StructType
 
 #: Versions of changes after which ``compact_if_long`` writes a whole one.
 LONG = 16
+#: Rows a task is dealt of a table that lies in too few splits.
+_ROWS_A_TASK = 20_000
 #: Seconds to wait for observed numbers once the rows are written.
 PATIENCE = 30
 
@@ -251,16 +253,22 @@ def vacuum(spark: SparkSession, root: str, name: str, keep: int = 1) -> list[int
     return gone
 
 
-def read_spread(spark: SparkSession, path: str) -> DataFrame:
-    """A stored table in at least as many partitions as there are cores.
+def read_spread(spark: SparkSession, path: str, narrow: bool = False) -> DataFrame:
+    """A stored table whose rows are spread over at least as many tasks as there are cores.
 
-    Parsing runs some ten times slower than shuffling, so a table in a few big splits is
-    dealt out evenly first, whatever its keys. A table with enough splits is left as it is:
-    at scale no html is shuffled.
+    Parsing runs some ten times slower than shuffling, so a table most of whose rows lie in a few
+    splits is dealt out evenly first, whatever its keys: a split of a file has no rows if no row group
+    begins in it. A table whose rows lie in enough splits is left as it is: at scale no html is
+    shuffled. A ``narrow`` table, which html is rendered from, has very many rows in a split and is
+    dealt out unless they are few. The rows of the splits are counted by their footers.
     """
     table = spark.read.parquet(path)
     cores = spark.sparkContext.defaultParallelism
-    return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores)
+    each = table.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"))
+    rows, most = each.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
+    tasks = max(cores, -(-rows // _ROWS_A_TASK))
+    enough = most * (tasks if narrow else cores) <= 2 * rows
+    return table if enough else table.repartition(tasks)
 
 
 def capture_sink(pages: DataFrame, path: str, site: Column | None = None) -> DataFrame:

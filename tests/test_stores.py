@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 
+import duckdb
 from pyspark.sql import functions as F
 
 from shelfloom import schemas
@@ -57,6 +58,19 @@ def test_files_dealt_into_folders_are_listed_by_tasks(spark, tmp_path):
     assert "Scan text" not in found._jdf.queryExecution().executedPlan().toString()
 
 
+def test_rows_of_one_row_group_are_dealt_out(spark, tmp_path):
+    path, name = f"{tmp_path}/t.parquet", "spark.sql.files.maxPartitionBytes"
+    duckdb.sql(f"COPY (SELECT i, md5(i::VARCHAR) || md5((i + 1)::VARCHAR) AS t FROM range(60000) r(i)) TO '{path}'")
+    spark.conf.set(name, "100k")
+    try:
+        # More splits than cores, and all rows in one of them.
+        spread = tables.read_spread(spark, path)
+        rows = [r["count"] for r in spread.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset(name)
+    assert sum(rows) == 60000 and max(rows) <= 60000 / spark.sparkContext.defaultParallelism + 100
+
+
 def test_run_config(spark, tmp_path):
     (tmp_path / "a.json").write_text(json.dumps({"site": "amazon", "pages_to_crawl": 4}, indent=2))
     (tmp_path / "b.json").write_text(json.dumps([{"site": "x", "database_path": "d", "pages_to_crawl": 0}]))
