@@ -135,6 +135,8 @@ def listing_stream(
         # One row a batch, so the last id is known without the products themselves.
         last = read_batches(spark, root, "product_ids", "last BIGINT", before=number)
         last = last.agg(F.coalesce(F.max("last"), F.lit(0).cast("bigint"))).first()[0]
+        # Written first: the sort samples its keys, and would look up the state for that once more.
+        new = _write(new, root, "found_products", number)
         rows = number_products(new, last, ["batch", "source_page_id", "pos"])
         rows = _write(rows, root, "products", number)
         _write(rows.agg(F.coalesce(F.max("id"), F.lit(last).cast("bigint")).alias("last")), root, "product_ids", number)

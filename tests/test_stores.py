@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from shelfloom import schemas
 from shelfloom.operators import frontier as fr
+from shelfloom.plans.render import product_pages
 from shelfloom.plans.stages import discovered_bases, run_stages
 from shelfloom.rules import SITES
 from shelfloom.sources import export, files, requests, scratch, tables
 from shelfloom.streaming import incremental as inc
+from tests.conftest import TESTDATA
 
 ITEM = """<li class="ui-search-layout__item"><h3 class="poly-component__title-wrapper">
 <a class="poly-component__title" href="{0}">{1}</a></h3></li>"""
@@ -251,3 +253,26 @@ def test_stream_dedup_over_many_batches_equals_one_batch(spark, tmp_path):
         first.setdefault(k, seen[k, step])
     got = [tuple(r) for r in inc.read_batches(spark, str(tmp_path / "root"), "unique", schema).collect()]
     assert len(got) == len(first) and dict(got) == first
+
+
+def test_the_state_of_products_is_looked_up_once_a_batch(spark, tmp_path, monkeypatch):
+    plans, number = [], inc.number_products
+
+    def watched(new, *rest):
+        plans.append(new._jdf.queryExecution().executedPlan().toString())
+        return number(new, *rest)
+
+    monkeypatch.setattr(inc, "number_products", watched)
+    tables.capture_sink(captures(spark, (1, "u1", ITEM.format("/a", "A")), (2, "u2", ITEM.format("/b", "B"))), f"{tmp_path}/landing")
+    inc.listing_stream(spark, f"{tmp_path}/landing", str(tmp_path)).awaitTermination()
+    assert inc.read_batches(spark, str(tmp_path), "products", schemas.PRODUCTS).count() == 2
+    # The sort that gives the ids reads its rows twice: they are written before.
+    assert plans and all("FileScan parquet" in p and "ExistingRDD" not in p for p in plans)
+
+
+def test_product_pages_bring_columns_of_the_part_without_a_join(spark):
+    part = spark.read.parquet(f"{TESTDATA}/sf0.001/part.parquet")
+    pages = product_pages(part, F.col("p_name").alias("name"))
+    assert "Exchange" not in pages._jdf.queryExecution().executedPlan().toString()
+    assert pages.columns == [*product_pages(part).columns, "name"]
+    assert pages.select("page_id", "name").exceptAll(part.select("p_partkey", "p_name")).count() == 0
