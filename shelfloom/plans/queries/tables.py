@@ -132,9 +132,8 @@ def _whole_run(spark, sf_dir):
     listings.land(listing_b(spark, sf_dir))
     item = (F.col("p_partkey") % 8).cast("int")
     # Product captures are addressed by the links of the listings; several may share one.
-    addresses = part.select(F.col("p_partkey").alias("page_id"), listing_item_url(item).alias("url"))
-    pages = product_pages(part).drop("url").join(addresses, "page_id")
-    details.land(pages)
+    pages = product_pages(part, listing_item_url(item).alias("link"))
+    details.land(pages.drop("url").withColumnRenamed("link", "url"))
     rule = SITES["mercadolibre"]
     requests = listings.read().select(
         F.col("page_id").alias("request_no"), F.col("url").alias("seed_url"),

@@ -29,7 +29,7 @@ from pyspark.sql.types import StructType
 
 #: Versions of changes after which ``compact_if_long`` writes a whole one.
 LONG = 16
-#: Rows a task is dealt of a table that lies in too few splits.
+#: Most rows a task is dealt of a table that lies in too few splits.
 _ROWS_A_TASK = 20_000
 #: Seconds to wait for observed numbers once the rows are written.
 PATIENCE = 30
@@ -266,7 +266,7 @@ def read_spread(spark: SparkSession, path: str, narrow: bool = False) -> DataFra
     cores = spark.sparkContext.defaultParallelism
     each = table.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"))
     rows, most = each.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
-    tasks = max(cores, -(-rows // _ROWS_A_TASK))
+    tasks = cores * max(1, -(-rows // (cores * _ROWS_A_TASK)))
     enough = most * (tasks if narrow else cores) <= 2 * rows
     return table if enough else table.repartition(tasks)
 

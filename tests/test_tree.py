@@ -72,6 +72,30 @@ def test_given_pages_read_as_the_library_reads_them():
     assert all(state(PageTree(h)) == state(LibraryTree(h)) for (h,) in pages)
 
 
+ESCAPED = st.lists(
+    st.sampled_from(
+        ['<a href="?a=1&amp;b=2">', '<a href="&amp;lt;&amp;">', '<b t="&amp;x;&lt;">', "</a>", '<script>t="</li>"</script>',
+         "<script></SCRIPT></script>", "<style></script></style>", "<script></scripts></script>", "<script></script x></script>",
+         "<script></", "<script>", "</script>", "<!--", "-->", "<p>", "x", "&amp;", '<img alt="&amp;amp;"/>', "<style>", "</style>"]
+    ),
+    max_size=12,
+)
+
+
+@settings(max_examples=2000, deadline=None)
+@given(ESCAPED)
+def test_escapes_in_values_and_tags_in_scripts_read_as_the_library_reads_them(pieces):
+    html = "".join(pieces)
+    assert state(PageTree(html)) == state(LibraryTree(html))
+
+
+def test_escaped_addresses_and_scripts_with_tags_are_read_as_plain_pieces(monkeypatch):
+    html = '<script>var t="</li>";</script><li class="x"><a href="/p?a=1&amp;b=2&amp;lt;">x</a></li>'
+    wanted = state(LibraryTree(html))
+    monkeypatch.setattr(PageTree, "feed", None)
+    assert state(PageTree(html)) == wanted
+
+
 def test_tree_rules():
     assert shape("<p>a<p>b") == [("p", None), ("p", "p")]
     assert shape("<div><p>a</div><i>") == [("div", None), ("p", "div"), ("i", None)]
