@@ -345,32 +345,32 @@ def _first_look(frequent: dict[str, np.ndarray], lattice: Lattice, log_end: floa
 
     def make():
         table = dict(zip(frequent["hash"].tolist(), frequent["n"].tolist(), strict=True))
-        hashes: dict[bytes, int] = {}
-        marginal: dict[bytes, float] = {}
+        # Of each word: what it adds to the score, its hash and, if it is frequent, what it adds to the base.
+        looked: dict[bytes, tuple[float, int, float | None]] = {}
 
         def cells(batch: pa.RecordBatch) -> list:
             out: list[list] = [[], [], [], [], [], []]
             texts = [Counter(lower_words(t)) for t in texts_of(batch, "_text")]
-            if len(hashes) > _CACHE:
+            if len(looked) > _CACHE:
                 # The frequent words stay: there are at most as many as their table has.
-                for word in [w for w, h in hashes.items() if h not in table]:
-                    del hashes[word], marginal[word]
-            new = [w for w in {w for c in texts for w in c} if w not in hashes]
-            hashes.update(zip(new, long_of(word_hashes(new)).tolist(), strict=True))
-            marginal.update(zip(new, (lattice.log_marginals(new) / math.log(10)).tolist(), strict=True))
+                for word in [w for w, (_, _, base) in looked.items() if base is None]:
+                    del looked[word]
+            new = list(set().union(*texts) - looked.keys())
+            hashes = long_of(word_hashes(new)).tolist()
+            marginals = (lattice.log_marginals(new) / math.log(10) + log_word).tolist()
+            bases = [None if (c := table.get(h)) is None else math.log10(c + 1) for h in hashes]
+            looked.update(zip(new, zip(marginals, hashes, bases, strict=True), strict=True))
             for words in texts:
-                known, base, score, rare, times = 0, 0.0, log_end, [], []
-                number = 0
+                base, score, rare, times = 0.0, log_end, [], []
                 for word, n in words.items():
-                    number += n
-                    score += n * (marginal[word] + log_word)
-                    h = hashes[word]
-                    c = table.get(h)
-                    if c is None:
+                    part, h, own = looked[word]
+                    score += n * part
+                    if own is None:
                         rare.append(h), times.append(n)
                     else:
-                        known += n
-                        base += n * math.log10(c + 1)
+                        base += n * own
+                number = words.total()
+                known = number - sum(times)
                 end = table.get(END_HASH)
                 if end is None:
                     rare.append(END_HASH), times.append(1)
