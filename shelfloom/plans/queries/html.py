@@ -134,10 +134,11 @@ _NAME = (
 )
 
 
-def _stored_nodes(spark, sf_dir):
-    """(nodes, containers): pages are parsed once, then both sides read the node table."""
-    nodes = materialize(ht.html_nodes(listing_pages_b(load_part(spark, sf_dir))), "nodes")
-    return nodes, ht.elements_by_class(nodes, _ITEM.tag, _ITEM.class_)
+def _stored_nodes(spark, sf_dir, *columns):
+    """(nodes, containers): pages are parsed once, then both sides read the node table, of which these columns are kept."""
+    nodes = ht.html_nodes(listing_pages_b(load_part(spark, sf_dir)))
+    nodes = materialize(nodes.select("page_id", "node_id", "end_id", "tag", "classes", *columns), "nodes")
+    return nodes.drop("classes"), ht.elements_by_class(nodes, _ITEM.tag, _ITEM.class_)
 
 
 @query("descendants", f"""
@@ -148,7 +149,7 @@ SELECT p_partkey AS page_id, CAST(i AS BIGINT) AS item,
        2 + CASE WHEN {_TURN} % 9 IN (1, 2) THEN 0 ELSE 1 END + 2 AS texts
 FROM {_ITEMS}""")
 def descendant_counts(spark, sf_dir):
-    nodes, items = _stored_nodes(spark, sf_dir)
+    nodes, items = _stored_nodes(spark, sf_dir, "text")
     number = F.regexp_extract("text", "^Nº ([0-9]+)$", 1).try_cast("bigint")
     return (
         descendants(items, nodes)
@@ -169,7 +170,7 @@ SELECT p_partkey AS page_id,
             WHEN {_TURN} % 7 IN (1, 4, 5, 6) THEN 'data:image/gif;base64,R0lGOD' END AS src
 FROM {_ITEMS}""")
 def first_images(spark, sf_dir):
-    nodes, items = _stored_nodes(spark, sf_dir)
+    nodes, items = _stored_nodes(spark, sf_dir, "attrs")
     first = first_descendant(items, nodes.filter(F.col("tag") == "img"))
     return first.select("page_id", F.try_element_at("attrs", F.lit("src")).alias("src"))
 

@@ -8,7 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from shelfloom.plans.queries import QUERIES
+from shelfloom.plans.queries import QUERIES, html
 from tests.compare import connect, difference
 from tests.conftest import TESTDATA
 
@@ -35,5 +35,10 @@ def test_filename_once_equals_sql_where_urls_repeat(spark, tmp_path):
     assert difference(entry.queries()[name], SQL[name], spark, str(tmp_path), connect(str(tmp_path))) is None
 
 
+def test_nodes_are_stored_with_the_columns_a_query_reads(spark):
+    nodes, _ = html._stored_nodes(spark, SF_DIR, "text")
+    assert nodes.columns == ["page_id", "node_id", "end_id", "tag", "text"]
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
